@@ -17,11 +17,16 @@ from atelier.constants import POSTER_CLASS
 from atelier.functions.text import _col, strip
 
 
-def class_token_pattern(token: str) -> str:
-    """An opening tag whose class list contains ``token`` as a whole token."""
+def class_tag(token: str) -> str:
+    """Regex (no flags) of an opening tag whose class list has ``token`` as
+    a whole token."""
     if not re.match(r"^[A-Za-z0-9_\-]+$", token):
         raise ValueError(f"class token must be a plain name, got {token!r}")
-    return rf"""(?is)<[a-z][a-z0-9]*\s[^>]*class\s*=\s*["']([^"']*\s)?{token}(\s[^"']*)?["']"""
+    return rf"""<[a-z][a-z0-9]*\s[^>]*class\s*=\s*["']([^"']*\s)?{token}(\s[^"']*)?["']"""
+
+
+def class_token_pattern(token: str) -> str:
+    return "(?is)" + class_tag(token)
 
 
 def has_container(html, token: str = POSTER_CLASS) -> Column:
@@ -46,7 +51,7 @@ def body_text_outside(html, token: str = POSTER_CLASS) -> Column:
     """
     col = _col(html)
     cleaned = F.regexp_replace(col, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", "")
-    before = F.regexp_extract(cleaned, r"(?is)<body[^>]*>(.*?)" + class_token_pattern(token)[4:], 1)
+    before = F.regexp_extract(cleaned, r"(?is)<body[^>]*>(.*?)" + class_tag(token), 1)
     text = F.regexp_replace(before, r"(?s)<[^>]*>", "")
     return strip(text)
 

@@ -64,11 +64,13 @@ def strict_json(text, value_type: str) -> Column:
 def _required_ok(items: Column, required: tuple[str, ...]) -> Column:
     if not required:
         return F.lit(True)
-    cond = None
-    for f in required:
-        c = F.forall(items, lambda x, f=f: x[f].isNotNull())
-        cond = c if cond is None else (cond & c)
-    return F.coalesce(cond, F.lit(False))
+    def all_present(x):
+        cond = x[required[0]].isNotNull()
+        for f in required[1:]:
+            cond = cond & x[f].isNotNull()
+        return cond
+
+    return F.coalesce(F.forall(items, all_present), F.lit(False))
 
 
 def parse_block(text, tag: str, element_type: str = IMAGE_LAYER, required: tuple[str, ...] = ("layer_id", "layer_prompt")) -> Column:
