@@ -238,11 +238,13 @@ def missing_assets(hits: DataFrame, library: DataFrame, elem_id: str = "elem_id"
     return hits.join(library.select(elem_id).distinct(), elem_id, "left_anti")
 
 
-def asset_gate(layers: DataFrame, library: DataFrame, id_col: str, pos: str, elem_id: str = "elem_id") -> DataFrame:
+def asset_gate(layers: DataFrame, library: DataFrame, id_col: str, pos, elem_id: str = "elem_id") -> DataFrame:
     """All-or-nothing per example: one missing file fails the example.
 
     ``(id, n_layers, n_missing, ok, first_missing_pos, first_missing_elem)``;
     the first missing layer is the one the sequential loop would stop at.
+    ``pos`` is the plan-order column (or columns, the first being the
+    position that is reported).
     """
     lib = library.select(F.col(elem_id).alias("_e")).distinct().withColumn("_found", F.lit(True))
     flagged = layers.join(lib, F.col(elem_id) == F.col("_e"), "left").withColumn(
@@ -254,7 +256,7 @@ def asset_gate(layers: DataFrame, library: DataFrame, id_col: str, pos: str, ele
         F.count(F.lit(1)).cast("bigint").alias("n_layers"),
         F.count_if(miss).cast("bigint").alias("n_missing"),
         F.bool_and("_found").alias("ok"),
-        F.min(F.when(miss, F.col(pos))).alias("first_missing_pos"),
+        F.min(F.when(miss, F.col(_cols(pos)[0]))).alias("first_missing_pos"),
         F.min_by(F.when(miss, F.col(elem_id)), F.when(miss, o)).alias("first_missing_elem"),
     )
 
