@@ -98,10 +98,12 @@ def group_binding(groups: DataFrame, images: DataFrame, texts: DataFrame, id_col
     """Per group: its image layers and text layers (sorted ids), and whether
     it binds at least one of each.  Group size is bounded by one plan."""
     ch = group_children(groups, id_col)
-    img = images.select(id_col, "layer_id").distinct().withColumn("_kind", F.lit("image"))
-    txt = texts.select(id_col, "layer_id").distinct().withColumn("_kind", F.lit("text"))
+    # layers are per plan when they carry the plan id, else global
+    keys = [id_col, "layer_id"] if id_col in images.columns else ["layer_id"]
+    img = images.select(*keys).distinct().withColumn("_kind", F.lit("image"))
+    txt = texts.select(*keys).distinct().withColumn("_kind", F.lit("text"))
     kinds = img.unionByName(txt)
-    bound = ch.join(kinds, [id_col, "layer_id"], "left")
+    bound = ch.join(kinds, keys, "left")
     return bound.groupBy(id_col, "group_id").agg(
         F.array_sort(F.collect_set(F.when(F.col("_kind") == "image", F.col("layer_id")))).alias("image_layers"),
         F.array_sort(F.collect_set(F.when(F.col("_kind") == "text", F.col("layer_id")))).alias("text_layers"),

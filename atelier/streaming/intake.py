@@ -23,6 +23,7 @@ def stream_intake(
     required=("id", "prompt"),
     value_schema: str = "id string, prompt string",
     available_now: bool = True,
+    max_files_per_trigger: int | None = None,
 ):
     """Start the stream; returns the ``StreamingQuery``.
 
@@ -30,7 +31,10 @@ def stream_intake(
     ledger at ``ledger_path`` (parquet with an ``id`` column; may not exist
     yet), append ``(id, prompt, batch_id)`` to ``sink_path``.
     """
-    lines = spark.readStream.format("text").load(source_dir)
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    lines = reader.load(source_dir)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         good = intake_lines(batch, "value", required, value_schema).filter(F.col("status") == OK)
