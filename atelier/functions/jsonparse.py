@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from atelier.functions.text import _col, extract_tag, strip
+from atelier.functions.text import _col, extract_tag, let, strip
 
 # Element schemas of the plan blocks (DDL).
 IMAGE_LAYER = "struct<layer_id:bigint,layer_prompt:string>"
@@ -48,17 +48,24 @@ def strict_json(text, value_type: str) -> Column:
 
     ``valid``: the text is exactly one JSON value of the outer kind of
     ``value_type`` (array or object).  ``typed``: every present field had the
-    declared type.  ``v`` is the parsed value (NULL unless valid).
+    declared type.  ``v`` is the parsed value (NULL unless valid).  The
+    stripped text and the parse are each evaluated once per row.
     """
-    t = strip(_col(text))
-    wrapped = F.concat(F.lit('{"v":'), t, F.lit(',"_end":1}'))
-    parsed = F.from_json(wrapped, f"v {value_type}, _end int, _corrupt_record string", _OPTIONS)
+    schema = f"v {value_type}, _end int, _corrupt_record string"
     is_array = value_type.strip().lower().startswith("array")
     opener, closer = ("[", "]") if is_array else ("{", "}")
-    shaped = t.startswith(opener) & t.endswith(closer)
-    valid = F.coalesce(parsed["_end"] == 1, F.lit(False)) & F.coalesce(shaped, F.lit(False))
-    typed = valid & parsed["_corrupt_record"].isNull() & parsed["v"].isNotNull()
-    return F.struct(valid.alias("valid"), typed.alias("typed"), F.when(valid, parsed["v"]).alias("v"))
+
+    def on_text(t: Column) -> Column:
+        def on_parsed(p: Column) -> Column:
+            shaped = t.startswith(opener) & t.endswith(closer)
+            valid = F.coalesce(p["_end"] == 1, F.lit(False)) & F.coalesce(shaped, F.lit(False))
+            typed = valid & p["_corrupt_record"].isNull() & p["v"].isNotNull()
+            return F.struct(valid.alias("valid"), typed.alias("typed"), F.when(valid, p["v"]).alias("v"))
+
+        wrapped = F.concat(F.lit('{"v":'), t, F.lit(',"_end":1}'))
+        return let(F.from_json(wrapped, schema, _OPTIONS), on_parsed)
+
+    return let(strip(_col(text)), on_text)
 
 
 def _required_ok(items: Column, required: tuple[str, ...]) -> Column:
@@ -80,16 +87,21 @@ def parse_block(text, tag: str, element_type: str = IMAGE_LAYER, required: tuple
     status is TAG_MISSING, JSON_INVALID, SCHEMA_MISMATCH or OK; ``items``
     is set only for OK.
     """
-    tagged = extract_tag(text, tag)
-    parsed = strict_json(tagged["body"], f"array<{element_type}>")
-    items = parsed["v"]
-    status = (
-        F.when(~tagged["present"], F.lit(TAG_MISSING))
-        .when(~parsed["valid"], F.lit(JSON_INVALID))
-        .when(~parsed["typed"] | ~_required_ok(items, required), F.lit(SCHEMA_MISMATCH))
-        .otherwise(F.lit(OK))
-    )
-    return F.struct(status.alias("status"), F.when(status == OK, items).alias("items"))
+
+    def on_tag(tagged: Column) -> Column:
+        def on_parsed(parsed: Column) -> Column:
+            items = parsed["v"]
+            status = (
+                F.when(~tagged["present"], F.lit(TAG_MISSING))
+                .when(~parsed["valid"], F.lit(JSON_INVALID))
+                .when(~parsed["typed"] | ~_required_ok(items, required), F.lit(SCHEMA_MISMATCH))
+                .otherwise(F.lit(OK))
+            )
+            return F.struct(status.alias("status"), F.when(status == OK, items).alias("items"))
+
+        return let(strict_json(tagged["body"], f"array<{element_type}>"), on_parsed)
+
+    return let(extract_tag(text, tag), on_tag)
 
 
 def parse_layers(text, tag: str = "image_generator") -> Column:
@@ -107,9 +119,8 @@ def parse_text_elements(text, tag: str = "generate_text") -> Column:
 
 def greedy_object(text) -> Column:
     """Greedy first ``{`` to last ``}`` (dot matches newline); NULL when none."""
-    col = _col(text)
     pat = r"(?s)\{.*\}"
-    return F.when(col.rlike(pat), F.regexp_extract(col, pat, 0))
+    return let(F.regexp_extract(_col(text), pat, 0), lambda m: F.when(m != "", m))
 
 
 def extract_verdict(text) -> Column:
@@ -120,19 +131,24 @@ def extract_verdict(text) -> Column:
     (or null) ``bad_layers`` means no bad layers; a missing ``reason`` is an
     empty map.
     """
-    obj = greedy_object(text)
-    parsed = strict_json(obj, VERDICT)
-    v = parsed["v"]
-    status = (
-        F.when(obj.isNull(), F.lit(NO_JSON))
-        .when(~parsed["valid"], F.lit(JSON_INVALID))
-        .when(~parsed["typed"], F.lit(SCHEMA_MISMATCH))
-        .otherwise(F.lit(OK))
-    )
-    ok = status == OK
-    bad = F.when(ok, F.coalesce(v["bad_layers"], F.array().cast("array<bigint>")))
-    reason = F.when(ok, F.coalesce(v["reason"], F.create_map().cast("map<string,string>")))
-    return F.struct(status.alias("status"), bad.alias("bad_layers"), reason.alias("reason"))
+
+    def on_obj(obj: Column) -> Column:
+        def on_parsed(parsed: Column) -> Column:
+            v = parsed["v"]
+            status = (
+                F.when(obj.isNull(), F.lit(NO_JSON))
+                .when(~parsed["valid"], F.lit(JSON_INVALID))
+                .when(~parsed["typed"], F.lit(SCHEMA_MISMATCH))
+                .otherwise(F.lit(OK))
+            )
+            ok = status == OK
+            bad = F.when(ok, F.coalesce(v["bad_layers"], F.array().cast("array<bigint>")))
+            reason = F.when(ok, F.coalesce(v["reason"], F.create_map().cast("map<string,string>")))
+            return F.struct(status.alias("status"), bad.alias("bad_layers"), reason.alias("reason"))
+
+        return let(strict_json(obj, VERDICT), on_parsed)
+
+    return let(greedy_object(text), on_obj)
 
 
 def json_string(c) -> Column:

@@ -24,6 +24,16 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, fn) -> Column:
+    """Evaluate ``value`` once per row and hand it to ``fn`` (Column -> Column).
+
+    Python builds expression trees, so a sub-expression referenced several
+    times is repeated in the plan and evaluated once per reference.  Binding
+    it as a lambda variable evaluates it once.
+    """
+    return F.transform(F.array(value), fn)[0]
+
+
 def _check_tag(tag: str) -> str:
     if not _TAG_NAME.match(tag):
         raise ValueError(f"tag names are plain identifiers, got {tag!r}")
@@ -51,9 +61,10 @@ def extract_tag(c, tag: str) -> Column:
     """
     pat = tag_pattern(tag)
     col = _col(c)
-    present = col.rlike(pat)
-    body = F.when(present, strip(F.regexp_extract(col, pat, 1)))
-    return F.struct(present.alias("present"), body.alias("body"))
+    return let(
+        col.rlike(pat),
+        lambda present: F.struct(present.alias("present"), F.when(present, strip(F.regexp_extract(col, pat, 1))).alias("body")),
+    )
 
 
 def tag_count(c, tag: str, closing: bool = False) -> Column:
