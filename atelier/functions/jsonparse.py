@@ -46,23 +46,24 @@ _OPTIONS = {
 def strict_json(text, value_type: str) -> Column:
     """``struct(valid boolean, typed boolean, v <value_type>)``.
 
-    ``valid``: the text is exactly one JSON value of the outer kind of
-    ``value_type`` (array or object).  ``typed``: every present field had the
-    declared type.  ``v`` is the parsed value (NULL unless valid).  The
-    stripped text and the parse are each evaluated once per row.
+    ``valid``: the text is exactly one JSON value -- the wrapper parsed up
+    to its end sentinel and has exactly its two keys (text such as
+    ``[], "x": 1`` would smuggle in a third).  ``typed``: the value has the
+    declared type in every present field.  ``v`` is the parsed value (NULL
+    unless valid).  The stripped text and the parse are evaluated once per
+    row.
     """
     schema = f"v {value_type}, _end int, _corrupt_record string"
-    is_array = value_type.strip().lower().startswith("array")
-    opener, closer = ("[", "]") if is_array else ("{", "}")
 
     def on_text(t: Column) -> Column:
+        wrapped = F.concat(F.lit('{"v":'), t, F.lit(',"_end":1}'))
+
         def on_parsed(p: Column) -> Column:
-            shaped = t.startswith(opener) & t.endswith(closer)
-            valid = F.coalesce(p["_end"] == 1, F.lit(False)) & F.coalesce(shaped, F.lit(False))
+            single = F.size(F.json_object_keys(wrapped)) == 2
+            valid = F.coalesce((p["_end"] == 1) & single, F.lit(False))
             typed = valid & p["_corrupt_record"].isNull() & p["v"].isNotNull()
             return F.struct(valid.alias("valid"), typed.alias("typed"), F.when(valid, p["v"]).alias("v"))
 
-        wrapped = F.concat(F.lit('{"v":'), t, F.lit(',"_end":1}'))
         return let(F.from_json(wrapped, schema, _OPTIONS), on_parsed)
 
     return let(strip(_col(text)), on_text)

@@ -23,7 +23,8 @@ def _json_valid(line: Column) -> Column:
     parse with an end sentinel)."""
     wrapped = F.concat(F.lit('{"v":'), line, F.lit(',"_end":1}'))
     parsed = F.from_json(wrapped, "v string, _end int", {"allowSingleQuotes": "false"})
-    return F.coalesce(parsed["_end"] == 1, F.lit(False))
+    # exactly the wrapper's two keys: rejects text that smuggles in more
+    return F.coalesce((parsed["_end"] == 1) & (F.size(F.json_object_keys(wrapped)) == 2), F.lit(False))
 
 
 def intake_lines(

@@ -74,8 +74,9 @@ def group_schema(groups: DataFrame, id_col: str) -> DataFrame:
     ).withColumn("ok", (F.col("missing_fields") == 0) & (F.col("repeated_ids") == 0) & (F.col("bad_themes") == 0))
 
 
-def group_children(groups: DataFrame, id_col: str) -> DataFrame:
-    return groups.select(id_col, "group_id", F.explode("children").alias("layer_id"))
+def group_children(groups: DataFrame, id_col: str | None) -> DataFrame:
+    keys = [id_col] if id_col else []
+    return groups.select(*keys, "group_id", F.explode("children").alias("layer_id"))
 
 
 def dangling_children(groups: DataFrame, layers: DataFrame, id_col: str | None = None) -> DataFrame:

@@ -61,6 +61,6 @@ def stream_intake(spark, d):
     first = first_by(ev.select("user_id", "ts", "event_type"), "user_id", "ts")
     ledger = first.filter(F.col("event_type").isin("view", "click")).select(F.col("user_id").cast("string").alias("id"))
     ledger.write.parquet(f"{root}/ledger")
-    q = start_stream(spark, f"{root}/in", f"{root}/ledger", f"{root}/sink", f"{root}/ckpt", max_files_per_trigger=1)
+    q = start_stream(spark, f"{root}/in", f"{root}/ledger", f"{root}/sink", f"{root}/ckpt", max_files_per_trigger=2)
     q.awaitTermination()
     return spark.read.parquet(f"{root}/sink").select("id").distinct()

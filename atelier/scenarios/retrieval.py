@@ -13,7 +13,7 @@ from atelier.operators import retrieve as RT
 from atelier.operators.agg import first_by
 from atelier.operators.encode import encode_text
 from atelier.scenarios import scenario
-from atelier.session import table
+from atelier.session import materialize, table
 
 
 def _dot_sql(a: str, b: str) -> str:
@@ -222,8 +222,10 @@ def layout_prompts(spark, d):
         "conv_id", F.col("pos").cast("bigint").alias("pos"), F.col("l.layer_id").alias("layer_id"), F.col("l.layer_prompt").alias("layer_prompt")
     )
     layers = layers.withColumn("qid", F.concat_ws(":", F.col("conv_id").cast("string"), F.col("pos").cast("string")))
-    vecs = encode_text(layers, "layer_prompt", "embedding")
-    hits = RT.knn_topk(vecs.select("qid", "embedding"), _library(spark, d), k=1, query_key="qid")
+    # model stage: persisted once (reliable checkpoint) so the kNN counts and
+    # the main job do not re-run the encoder, and a lost executor never does
+    vecs = materialize(encode_text(layers.select("qid", "layer_prompt"), "layer_prompt", "embedding").select("qid", "embedding"))
+    hits = RT.knn_topk(vecs, _library(spark, d), k=1, query_key="qid")
     found = RT.asset_lookup(hits.select("qid", "pos", "sim"), _id_map(spark, d), "pos", "elem_id")
     per_layer = layers.join(found.select("qid", F.col("pos").alias("lib_pos"), "elem_id", "sim"), "qid", "left")
     gate = RT.asset_gate(per_layer.select("conv_id", "pos", "elem_id"), _part_library(spark, d), "conv_id", "pos", "elem_id")
