@@ -29,7 +29,7 @@ def stream_intake(
 
     Each micro-batch: classify lines, keep OK rows, drop ids already in the
     ledger at ``ledger_path`` (parquet with an ``id`` column; may not exist
-    yet), append ``(id, prompt, batch_id)`` to ``sink_path``.
+    yet), write ``(id, prompt)`` to ``sink_path`` under ``batch_id=<n>``.
     """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
@@ -44,7 +44,15 @@ def stream_intake(
             ledger = batch.sparkSession.createDataFrame([], "id string")
         pending = resume_pending(good, ledger, "id")
         fields = [f.strip().split()[0] for f in value_schema.split(",")]
-        pending.select(*fields).withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink_path)
+        # a retried micro-batch rewrites only its own partition: idempotent
+        (
+            pending.select(*fields)
+            .withColumn("batch_id", F.lit(batch_id))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(sink_path)
+        )
 
     writer = lines.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
