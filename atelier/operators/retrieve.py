@@ -118,18 +118,24 @@ def knn_topk(
     lib_pos: str = "pos",
     lib_vec: str = "embedding",
     block_rows: int = 4096,
+    n_queries: int | None = None,
+    n_library: int | None = None,
 ) -> DataFrame:
     """Exact top-k by inner product: ``(query_key, rank, pos, sim)``.
 
     ``query_key`` must be unique per query row; ``lib_pos`` unique per
     library row.  For unit vectors the inner product is the cosine
-    similarity.  A query against an empty library has no rows.
+    similarity.  A query against an empty library has no rows.  The block
+    counts come from the side sizes; pass ``n_queries`` / ``n_library`` when
+    they are known to skip the two ``count`` jobs (an over-estimate only
+    makes blocks smaller).
     """
     if k < 1:
         raise ValueError("k >= 1")
     q = queries.select(F.col(query_key), F.col(query_vec).alias("_qv"))
     lib = library.select(F.col(lib_pos).cast("bigint").alias("_pos"), F.col(lib_vec).alias("_lv"))
-    nq, nl = q.count(), lib.count()
+    nq = q.count() if n_queries is None else n_queries
+    nl = lib.count() if n_library is None else n_library
     if nq == 0 or nl == 0:
         return _merge_topk(
             queries.sparkSession.createDataFrame([], f"{query_key} {dict(q.dtypes)[query_key]}, pos bigint, sim double"),

@@ -6,12 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from atelier.functions import chat as CH
-from atelier.functions import jsonparse as J
 from atelier.functions import text as T
 from atelier.functions import vectors as V
 from atelier.operators import retrieve as RT
 from atelier.operators.agg import first_by
 from atelier.operators.encode import encode_text
+from atelier.operators.layers import explode_layers, parse_plan_layers
 from atelier.scenarios import scenario
 from atelier.session import materialize, table
 
@@ -217,10 +217,7 @@ def layout_prompts(spark, d):
     -> layout prompt per conversation."""
     conv = table(spark, d, "conversations")
     plans = plan_documents(spark, d)
-    parsed = plans.select("conv_id", "plan", J.parse_layers(F.col("plan")).alias("r"))
-    layers = parsed.filter(F.col("r.status") == "OK").select("conv_id", F.posexplode("r.items").alias("pos", "l")).select(
-        "conv_id", F.col("pos").cast("bigint").alias("pos"), F.col("l.layer_id").alias("layer_id"), F.col("l.layer_prompt").alias("layer_prompt")
-    )
+    layers = explode_layers(parse_plan_layers(plans, "plan", ["conv_id"]), ["conv_id"])
     layers = layers.withColumn("qid", F.concat_ws(":", F.col("conv_id").cast("string"), F.col("pos").cast("string")))
     # model stage: persisted once (reliable checkpoint) so the kNN counts and
     # the main job do not re-run the encoder, and a lost executor never does

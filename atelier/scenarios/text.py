@@ -9,6 +9,7 @@ from atelier.functions import html as H
 from atelier.functions import jsonparse as J
 from atelier.functions import text as T
 from atelier.operators.agg import ordered_concat
+from atelier.operators import layers as LY
 from atelier.plans import contract as C
 from atelier.scenarios import scenario
 from atelier.session import table
@@ -171,11 +172,8 @@ FROM conversations WHERE ({_VARIANT_SQL}) = 'CLEAN'
 """,
 )
 def explode_layers(spark, d):
-    p = plan_texts(spark, d)
-    parsed = p.select("conv_id", J.parse_layers(F.col("plan")).alias("r")).filter(F.col("r.status") == "OK")
-    return parsed.select("conv_id", F.posexplode("r.items").alias("pos", "l")).select(
-        "conv_id", F.col("pos").cast("bigint").alias("pos"), F.col("l.layer_id").alias("layer_id"), F.col("l.layer_prompt").alias("layer_prompt")
-    )
+    parsed = LY.parse_plan_layers(plan_texts(spark, d), "plan", ["conv_id"])
+    return LY.explode_layers(parsed, ["conv_id"])
 
 
 # ---------------------------------------------------------------- verdicts
