@@ -160,6 +160,7 @@ def knn_ann(
     nprobe: int = 2,
     block_rows: int = 4096,
     seed: int = 7,
+    max_iter: int = 10,
 ) -> DataFrame:
     """Approximate top-k (IVF): k-means cells over the library, each query
     scored against the library vectors of its ``nprobe`` nearest cells.
@@ -172,7 +173,7 @@ def knn_ann(
     from pyspark.ml.functions import array_to_vector
 
     lib = library.select(F.col(lib_pos).cast("bigint").alias("_pos"), F.col(lib_vec).alias("_lv"))
-    model = KMeans(k=n_cells, seed=seed, featuresCol="_f", predictionCol="_cell").fit(
+    model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, featuresCol="_f", predictionCol="_cell").fit(
         lib.select(array_to_vector("_lv").alias("_f"))
     )
     centres = np.array([c for c in model.clusterCenters()], dtype=np.float64)
