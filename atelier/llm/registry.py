@@ -20,6 +20,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from atelier.llm.near_dedup import near_dedup
+
+    return near_dedup(table(spark, sf_dir, "documents"), size=2).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in sorted(globals().items()) if name.startswith("op") and name[2:3].isdigit()}
 
