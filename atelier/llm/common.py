@@ -193,7 +193,7 @@ class Text:
         return c[self.off[1:]] - c[self.off[:-1]]
 
 
-def texts(column: pa.Array, most: int = 2 << 20) -> Iterator[Text]:
+def texts(column: pa.Array, most: int = 512 << 10) -> Iterator[Text]:
     """Runs of rows of at most ``most`` bytes of text; a longer text is a run
     of its own.  Null counts as empty.  Yields at least one run."""
     if isinstance(column, pa.ChunkedArray):
