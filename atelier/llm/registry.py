@@ -24,6 +24,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from atelier.llm.mixing import mix_report
+
+    return mix_report(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from atelier.llm.quality_rules import quality_rules
 
