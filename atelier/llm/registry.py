@@ -30,6 +30,16 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from atelier.llm.common import shared_dir
+    from atelier.llm.token_files import read_token_files, write_token_files
+
+    manifest = write_token_files(table(spark, sf_dir, "documents"), shared_dir(spark, "tokens"), public_tokenizers.path("word_bpe_49k.json"))
+    return read_token_files(manifest)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from atelier.llm.quality_rules import quality_rules
 
