@@ -302,3 +302,15 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
         F.col("key").eqNullSafe(least_key).alias("kept"),
         F.col("component").alias("component_key"),
     )
+
+
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each component of ``near_dedup``, with all its columns: the
+    one of the least key, null last; among equal keys any.  Rows without words
+    all stay."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = C.written(docs.select(F.monotonically_increasing_id().alias("rid"), row.alias("row")), "rows")
+    of = F.col(f"row.`{key}`")
+    named = rows.select(F.struct(of.isNull().alias("none"), of.alias("id"), "rid").alias("key"), F.col(f"row.`{text}`").alias("text"))
+    kept = C.written(near_dedup(named, "key", "text", size, percent).filter("kept").select("key.rid"), "kept")
+    return rows.join(kept, "rid", "left_semi").select("row.*")
