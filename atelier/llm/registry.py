@@ -24,6 +24,18 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from atelier.llm.personal_data import BASE, KINDS, find_personal_data, named_spans
+
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.size(f"found.{k.name}").cast("long").alias(f"n_{k.name}") for k in BASE]
+    return found.select(
+        "doc_id", *counts, F.sha2(named_spans("found", BASE), 256).alias("base_sha256"), named_spans("found", KINDS).alias("spans"), named_spans("found", KINDS, True).alias("scores")
+    )
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from atelier.llm.mixing import mix_report
 
