@@ -42,6 +42,16 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per repeated passage and document, first copies included."""
+    from pyspark.sql import functions as F
+
+    from atelier.llm.substring_dedup import repeated_passages
+
+    rows = table(spark, sf_dir, "documents").select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").alias("key"), "text")
+    return repeated_passages(rows).select(F.col("key").alias("doc_id"), "start", "end", "n_words", "first")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
