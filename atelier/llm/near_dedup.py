@@ -6,11 +6,11 @@ these compressed registers give candidates, a collision-corrected estimate of
 the Jaccard similarity drops the hopeless ones, and the rest are confirmed on
 the full shingle sets.  Links make components.
 
-Work per band bucket stays in proportion to its size: documents with equal
-sets are one node, each node of a bucket is compared with the bucket's least
-node only, and nodes that are then still in different components of one bucket
-are compared with each other.  Pairs within a component are never made, as
-they can't change it.
+Documents with equal sets are one node.  First each node of a band bucket is
+compared with the bucket's least node only, which joins most of what belongs
+together.  Nodes of one bucket that are then still in different components
+are compared block by block inside the tasks, which give links between
+components, not pairs; pairs within a component can't change it.
 """
 
 from __future__ import annotations
@@ -224,23 +224,91 @@ def components(edges: DataFrame) -> DataFrame:
     return labels if labels is not None else edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of the candidate ``pairs (a, b)`` whose full sets are similar."""
-    side = lambda c: nodes.select(F.col("nid").alias(c), F.col("registers").alias(f"r{c}"), F.col("n_shingles").alias(f"n{c}"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b").filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
-    near = C.written(near.filter(_hopeful(percent / 100)("ra", "rb", "na", "nb")).select("a", "b"), "candidates")
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], columns: int = 20_000) -> np.ndarray:
+    """Sizes of the intersections of all sets of a block with all of another,
+    as products of 0/1 matrices over the shingles that both blocks hold."""
+    total = np.zeros((len(left), len(right)), np.float32)
+    flat = [np.concatenate(x) for x in (left, right)]
+    row = [np.repeat(np.arange(len(x)), [len(v) for v in x]) for x in (left, right)]
+    shared = np.intersect1d(*flat)
+    for at in range(0, len(shared), columns):
+        part, dense = shared[at : at + columns], []
+        for values, of, n in zip(flat, row, (len(left), len(right)), strict=True):
+            k = np.minimum(np.searchsorted(part, values), len(part) - 1)
+            hit = part[k] == values
+            m = np.zeros((n, len(part)), np.float32)
+            m[of[hit], k[hit]] = 1
+            dense.append(m)
+        total += dense[0] @ dense[1].T
+    return total
+
+
+def _linked(percent: int):
+    """Pairs of components that a link between two blocks of nodes joins."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(block: pa.Table) -> pa.Table:
+        side, component = (block[c].to_numpy() for c in ("side", "component"))
+        sets = [np.asarray(v.values) for v in block["shingles"]]
+        at = [np.flatnonzero(side == k) for k in (0, 1)]
+        left, right = ([sets[i] for i in k] for k in at)
+        if not left or not right:
+            return schema.empty_table()
+        common = overlaps(left, right)
+        union = np.array([len(x) for x in left])[:, None] + np.array([len(x) for x in right])[None, :] - common
+        a, b = (component[k] for k in at)
+        i, j = np.nonzero((100 * common >= percent * union) & (a[:, None] != b[None, :]))
+        pairs = np.unique(np.stack([np.minimum(a[i], b[j]), np.maximum(a[i], b[j])], 1), axis=0)
+        return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
 
-    # the sets of the nodes that are left, each from one of its documents' texts
-    wanted = near.select(F.col("a").alias("nid")).union(near.select("b")).distinct()
-    wanted = C.written(nodes.select("nid", "set_id", "text_key").join(wanted, "nid", "left_semi"), "wanted")
-    text = docs.select(F.xxhash64("text").alias("text_key"), "text").join(wanted, "text_key").groupBy("nid", "set_id").agg(F.first("text").alias("text"))
-    made = text.select("nid", F.col("set_id").alias("want"), _sets(size)("text").alias("made"))
-    sets = C.written(made.filter("made.set_id = want").select("nid", "made.shingles"), "sets")
+    return run
+
+
+#: Nodes of one block, about.  Two blocks meet in a task, never a whole group.
+BLOCK = 128
+
+
+def _blocks(n: str):
+    return F.expr(f"greatest(1, ({n} + {BLOCK - 1}) div {BLOCK})")
 
-    left = sets.select(F.col("nid").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("nid").alias("b"), F.col("shingles").alias("sb"))
-    both = near.join(left, "a").join(right, "b").select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("i"), F.size("sa").alias("na"), F.size("sb").alias("nb"))
-    return C.written(both.filter(f"100 * i >= {percent} * (na + nb - i)").select("a", "b"), "links")
+
+def _joined(active: DataFrame, member: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between components, for all nodes that share a band
+    bucket but not a component, other than a pair that is a bucket of its own.
+
+    In each such bucket one component has the most nodes.  The nodes outside
+    of it are tested with the whole of it, once for all its buckets, and with
+    each other.  Tests run in pairs of blocks inside the tasks and give links
+    only, not pairs.
+    """
+    banded = active.join(member, "nid").select("nid", "component", F.explode(_bands()("registers")["keys"]).alias("bucket"))
+    split = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).filter("n > 2 and x < y")
+    apart = C.written(banded.join(split.select("bucket"), "bucket"), "apart")
+    sizes = apart.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    top = C.written(sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top")).select("bucket", F.col("top.component").alias("top")), "top")
+    outside = C.written(apart.join(top, "bucket").filter("component <> top"), "outside")
+
+    # outside nodes and the largest component
+    satellites = C.written(outside.select(F.col("top").alias("g"), "nid", "component").distinct(), "satellites")
+    n_right = satellites.groupBy("g").agg(F.count("*").alias("n_right"))
+    counts = C.written(n_right.join(member.groupBy(F.col("component").alias("g")).agg(F.count("*").alias("n_left")), "g"), "counts")
+    counts = counts.select("g", _blocks("n_left").alias("n_left"), _blocks("n_right").alias("n_right"))
+    place = lambda n: F.expr(f"pmod(xxhash64(nid), {n})")
+    every = lambda n: F.explode(F.expr(f"sequence(0L, {n} - 1)"))
+    inner = member.withColumn("g", F.col("component")).join(counts, "g").select("g", "nid", "component", F.lit(0).alias("side"), place("n_left").alias("i"), every("n_right").alias("j"))
+    outer = satellites.join(counts, "g").select("g", "nid", "component", F.lit(1).alias("side"), every("n_left").alias("i"), place("n_right").alias("j"))
+
+    # outside nodes of one bucket
+    several = outside.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
+    several = C.written(several.select("bucket", _blocks("n").alias("n")), "several")
+    own = outside.join(several, "bucket").select(F.col("bucket").alias("g"), "nid", "component", place("n").alias("own"), "n")
+    first = own.select("g", "nid", "component", F.lit(0).alias("side"), F.col("own").alias("i"), F.explode(F.expr("sequence(own, n - 1)")).alias("j"))
+    second = own.select("g", "nid", "component", F.lit(1).alias("side"), F.explode(F.expr("sequence(0L, own)")).alias("i"), F.col("own").alias("j"))
+
+    tests = inner.union(outer).withColumn("kind", F.lit(0)).union(first.union(second).withColumn("kind", F.lit(1)))
+    tests = C.written(tests, "tests").join(sets, "nid")
+    found = tests.groupBy("kind", "g", "i", "j").applyInArrow(_linked(percent), "a long, b long")
+    return C.written(found.distinct(), "joined")
 
 
 def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -266,33 +334,38 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
     )
     nodes = C.written(nodes, "nodes")
 
-    banded = nodes.select("nid", "n_shingles", F.explode(_bands()("registers")["keys"]).alias("bucket"))
+    # each node of a band bucket with the bucket's least node, the pivot
+    banded = nodes.select("nid", F.explode(_bands()("registers")["keys"]).alias("bucket"))
     pivots = banded.groupBy("bucket").agg(F.min("nid").alias("pivot"), F.max("nid").alias("last")).filter("pivot < last").drop("last")
-    pairs = banded.join(pivots, "bucket").filter("nid <> pivot").select(F.col("pivot").alias("a"), F.col("nid").alias("b")).distinct()
-    links = _confirmed(pairs, nodes, docs, size, percent)
-    found = components(links)
-
-    # nodes of one bucket that are still apart, other than from its pivot
-    named = banded.join(found.withColumnRenamed("id", "nid"), "nid", "left").withColumn("component", F.coalesce("component", "nid"))
-    split = named.groupBy("bucket").agg(F.min("nid").alias("pivot"), F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).filter("x < y and n > 2")
-    apart = C.written(named.join(split.select("bucket", "pivot"), "bucket").filter("nid <> pivot").drop("pivot"), "apart")
-    other = apart.select("bucket", F.col("nid").alias("nid2"), F.col("component").alias("component2"), F.col("n_shingles").alias("n2"))
-    rest = (
-        apart.join(other, "bucket")
-        .filter(f"nid < nid2 and component <> component2 and 100 * least(n_shingles, n2) >= {percent} * greatest(n_shingles, n2)")
-        .select(F.col("nid").alias("a"), F.col("nid2").alias("b"))
-        .distinct()
-    )
-    rest = C.written(rest, "rest")
-    if not rest.isEmpty():
-        more = _confirmed(rest, nodes, docs, size, percent)
-        if not more.isEmpty():
-            found = components(links.union(more))
-
-    named = nodes.select("set_id", "nid", "least").join(found.withColumnRenamed("id", "nid"), "nid", "left").withColumn("component", F.coalesce("component", "nid"))
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = C.written(named.select("set_id", "component").join(least, "component"), "named")
-    out = sketches.select("key", "n_shingles", "set_id").join(named, "set_id", "left")
+    pairs = C.written(banded.join(pivots, "bucket").filter("nid <> pivot").select(F.col("pivot").alias("a"), F.col("nid").alias("b")).distinct(), "pairs")
+
+    # the nodes that share a bucket, and their sets, each from one of its documents' texts;
+    # merge joins, for the same plan at every size
+    shared = C.written(pairs.select(F.col("a").alias("nid")).union(pairs.select("b")).distinct(), "shared")
+    active = C.written(nodes.join(shared.hint("merge"), "nid", "left_semi").select("nid", "set_id", "text_key", "n_shingles", "registers"), "active")
+    wanted = active.select("nid", "set_id", "text_key").hint("merge")
+    texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(wanted, "text_key").groupBy("text_key", "nid", "set_id").agg(F.first("text").alias("text"))
+    sets = texts.select("nid", "set_id", _sets(size)("text").alias("made")).filter("made.set_id = set_id")
+    sets = C.written(sets.select("nid", "made.shingles"), "sets")
+
+    side = lambda c: active.select(F.col("nid").alias(c), F.col("registers").alias(f"r{c}"), F.col("n_shingles").alias(f"n{c}"))
+    near = pairs.join(side("a"), "a").join(side("b"), "b").filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
+    near = C.written(near.filter(_hopeful(percent / 100)("ra", "rb", "na", "nb")).select("a", "b"), "candidates")
+    left = sets.select(F.col("nid").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("nid").alias("b"), F.col("shingles").alias("sb"))
+    both = near.join(left, "a").join(right, "b").select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("i"), F.size("sa").alias("na"), F.size("sb").alias("nb"))
+    links = C.written(both.filter(f"100 * i >= {percent} * (na + nb - i)").select("a", "b"), "links")
+
+    # components by these links, then the links that are left between them
+    found = components(links).withColumnRenamed("id", "nid")
+    member = C.written(active.select("nid").join(found, "nid", "left").select("nid", F.coalesce("component", "nid").alias("component")), "members")
+    merged = components(_joined(active.select("nid", "registers"), member, sets, percent)).select(F.col("id").alias("component"), F.col("component").alias("root"))
+    member = member.join(merged, "component", "left").select("nid", F.coalesce("root", "component").alias("component"))
+
+    named = nodes.select("set_id", "nid", "least").join(member, "nid", "left").select("set_id", "least", F.coalesce("component", "nid").alias("component"))
+    named = C.written(named, "named")
+    least = C.written(named.groupBy("component").agg(F.min("least").alias("component_id")), "least")
+    out = sketches.select("key", "n_shingles", "set_id").join(named.select("set_id", "component").join(least, "component"), "set_id", "left")
     single = F.col("set_id").isNull()
     least_key = F.when(single, F.col("key")).otherwise(F.col("component_id"))
     return out.select(
