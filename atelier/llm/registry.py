@@ -24,6 +24,18 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from atelier.llm.toxicity import TOXIC_AT, classify_toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    labelled = docs.join(table(spark, sf_dir, "labels"), "doc_id").filter(~held_out)
+    scored = classify_toxicity(docs, labelled)
+    return scored.select("doc_id", held_out.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= TOXIC_AT).cast("int").alias("predicted"))
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
