@@ -64,6 +64,13 @@ def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(rows).select(F.col("key").alias("doc_id"), "start", "end", "n_words", "first")
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from atelier.llm.url_filter import filter_urls
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return filter_urls(pages).select("page_id", "filter.host", "filter.path", "filter.rule", "filter.verdict", "filter.score")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
