@@ -37,7 +37,9 @@ from atelier.llm import common as C
 INDEX, SEEK, FOOT = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 FRAME_IDS = 1 << 20
 #: Words whose ids a worker keeps, and the bytes of the longest such word.
-KEPT_WORDS, KEPT_BYTES = 400_000, 48
+KEPT_WORDS, KEPT_BYTES = 1_000_000, 32
+#: ASCII punctuation that ends a word; not the apostrophe, which starts tokens such as 's.
+ENDS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 LEVEL = 3
 
 
@@ -57,20 +59,33 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
 
+    def _ids(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of words that aren't kept yet.  A word of an ASCII letter or
+        digit and punctuation after it is two words to the tokenizer, so that
+        its ends are looked up apart."""
+        parts = {}
+        for w in words:
+            stem = w.rstrip(ENDS)
+            parts[w] = (stem, w[len(stem) :]) if len(stem) < len(w) and stem and stem[-1] < 128 and stem[-1:].isalnum() else (w,)
+        new = list({p for x in parts.values() for p in x if p not in self.known})
+        made = {w: array("I", e.ids).tobytes() for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True)}
+        ids = {w: b"".join([made[p] if p in made else self.known[p] for p in x]) for w, x in parts.items()}
+        if len(self.known) < KEPT_WORDS:
+            self.known.update((w, i) for some in (made, ids) for w, i in some.items() if len(w) <= KEPT_BYTES)
+        return ids
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
-        split = []
+        found = []
         for t in texts:
             raw = t.encode()
-            split.append((raw if b"<|" in raw else raw.lower()).split())
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        made = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        fresh = {w: array("I", e.ids).tobytes() for w, e in zip(new, made, strict=True)}
-        if len(known) < KEPT_WORDS:
-            known.update((w, ids) for w, ids in fresh.items() if len(w) <= KEPT_BYTES)
-        for words in split:
-            yield b"".join([known[w] if w in known else fresh[w] for w in words])
+            words = (raw if b"<|" in raw else raw.lower()).split()
+            found.append((words, list(map(self.known.get, words))))
+        fresh = self._ids(list({w for words, ids in found for w, i in zip(words, ids, strict=True) if i is None}))
+        for words, ids in found:
+            if None in ids:
+                ids = [fresh[w] if i is None else i for w, i in zip(words, ids, strict=True)]
+            yield b"".join(ids)
 
 
 def _open(path: str) -> tuple[pa.fs.FileSystem, str]:
