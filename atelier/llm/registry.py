@@ -96,6 +96,18 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"), size=2).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings 0 to 2 from the labels: low quality, good but toxic, good."""
+    from pyspark.sql import functions as F
+
+    from atelier.llm.quality_classifier import grade_quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rated = docs.join(table(spark, sf_dir, "labels"), "doc_id").filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
+    rated = rated.withColumn("rating", F.when(F.col("quality") == 0, 0).otherwise(F.when(F.col("toxic") == 1, 1).otherwise(2)))
+    return grade_quality(docs, rated).select("doc_id", "quality.expected", "quality.tail", "quality.grade", "quality.selected")
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in sorted(globals().items()) if name.startswith("op") and name[2:3].isdigit()}
 
