@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from atelier.session import scratch_root
+
 #: ASCII white space that separates words: \x20 and \x09-\x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -31,11 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession, what: str) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which all executors
-    see.  Raises if the session names no such folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{root.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    see.  Without that setting a cluster raises; a local session makes one."""
+    return f"{scratch_root(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
