@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from atelier.functions.text import strip
+from atelier.session import written
 from atelier.operators.agg import _cols, order_struct, sized_broadcast
 
 # Intake statuses.
@@ -101,27 +102,24 @@ def shard_stride(
     No single-partition window: the rows are range-partitioned on the order
     key (a hot id is split by ``pos``), each partition is sorted and numbered
     locally, and a table of per-partition counts (one row per partition,
-    broadcast) turns local numbers into global ranks.
+    broadcast) turns local numbers into global ranks.  The bounds of a range
+    partitioning are sampled anew whenever it is planned, so the numbered rows
+    are written once to the shared folder and counts and ranks both come from
+    there.  ``(string(id), pos)`` should be unique; the order of ties is open.
     """
     if num_shards < 1:
         raise ValueError("num_shards >= 1")
-    spark = df.sparkSession
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sid = "_sid"
-    keyed = df.withColumn(sid, F.col(id_col).cast("string"))
-    ranged = keyed.repartitionByRange(p, F.col(sid), F.col(pos_col))
-    counts = ranged.groupBy(F.spark_partition_id().alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    p = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sid, mid = "_sid", "_mid"
+    ranged = df.withColumn(sid, F.col(id_col).cast("string")).repartitionByRange(p, F.col(sid), F.col(pos_col))
+    numbered = written(ranged.sortWithinPartitions(sid, pos_col).withColumn(mid, F.monotonically_increasing_id()).drop(sid), "numbered")
+    pid, local = F.shiftright(mid, 33), F.col(mid).bitwiseAND(F.lit((1 << 33) - 1))
+    counts = numbered.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # one row per partition: the window below is over `p` rows only
     offsets = counts.select("_pid", (F.sum("_n").over(w) - F.col("_n")).alias("_off"))
-    numbered = ranged.sortWithinPartitions(sid, pos_col).withColumn("_mid", F.monotonically_increasing_id())
-    numbered = numbered.withColumn("_pid", F.shiftright("_mid", 33).cast("int")).withColumn(
-        "_local", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    )
-    ranked = numbered.join(F.broadcast(offsets), "_pid").withColumn("rank", F.col("_off") + F.col("_local"))
-    out = ranked.withColumn("shard", F.pmod(F.col("rank"), F.lit(num_shards)).cast("int")).drop(
-        sid, "_mid", "_pid", "_local", "_off"
-    )
+    ranked = numbered.withColumn("_pid", pid).join(F.broadcast(offsets), "_pid").withColumn("rank", F.col("_off") + local)
+    out = ranked.withColumn("shard", F.pmod(F.col("rank"), F.lit(num_shards)).cast("int")).drop(mid, "_pid", "_off")
     if shard_index is not None:
         out = out.filter(F.col("shard") == shard_index)
     return out

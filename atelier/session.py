@@ -7,7 +7,9 @@ helpers here are for the callers (tests, bench, scenarios).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,14 +51,17 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for materialised intermediate tables.
 
     Reads ``spark.checkpoint.dir`` from the session (a cluster names a shared
-    folder there).  Only when it is unset -- local tests -- a fresh temporary
-    folder is created and registered.
+    folder there) and raises if a cluster names none, as its executors can't
+    see each other's folders.  Only a local session, which is one process, gets
+    a fresh temporary folder of its own.
     """
+    sc = spark.sparkContext
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="atelier-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(conf_dir)
     return conf_dir
@@ -76,3 +81,11 @@ def materialize(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     spark = spark or df.sparkSession
     scratch_root(spark)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, what: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: what follows
+    starts from the same rows, however often it is evaluated."""
+    path = scratch_path(df.sparkSession, f"{what}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
