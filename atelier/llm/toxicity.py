@@ -117,7 +117,10 @@ class Model:
             p = z.ZstdCompressionParameters.from_level(LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False)
             return z.ZstdCompressor(dict_data=d, compression_params=p).compress
 
-        return one(self.toxic), one(self.ordinary)
+        # a window is compressed behind the end of the base, one match for both: zstandard leaves short input
+        # as it is unless enough of it compresses
+        end, toxic, ordinary = self.toxic[-64:], one(self.toxic), one(self.ordinary)
+        return (lambda w: toxic(end + w)), (lambda w: ordinary(end + w))
 
     def score(self, features: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(features @ self.weights + self.bias, -50, 50)))
