@@ -23,6 +23,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
@@ -66,7 +67,8 @@ class WordEncoder:
         parts = {}
         for w in words:
             stem = w.rstrip(ENDS)
-            parts[w] = (stem, w[len(stem) :]) if len(stem) < len(w) and stem and stem[-1] < 128 and stem[-1:].isalnum() else (w,)
+            apart = len(stem) < len(w) and stem and stem[-1] < 128 and stem[-1:].isalnum() and b"<|" not in w
+            parts[w] = (stem, w[len(stem) :]) if apart else (w,)
         new = list({p for x in parts.values() for p in x if p not in self.known})
         made = {w: array("I", e.ids).tobytes() for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True)}
         ids = {w: b"".join([made[p] if p in made else self.known[p] for p in x]) for w, x in parts.items()}
@@ -90,7 +92,7 @@ class WordEncoder:
 
 def _open(path: str) -> tuple[pa.fs.FileSystem, str]:
     """File system and path of a URI, or of an absolute local path."""
-    return pa.fs.FileSystem.from_uri(path)
+    return pa.fs.FileSystem.from_uri(quote(path, safe="/:@%") if "://" in path or path.startswith("file:") else path)
 
 
 class ShardWriter:
