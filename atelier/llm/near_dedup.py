@@ -344,7 +344,8 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
     shared = C.written(pairs.select(F.col("a").alias("nid")).union(pairs.select("b")).distinct(), "shared")
     active = C.written(nodes.join(shared.hint("merge"), "nid", "left_semi").select("nid", "set_id", "text_key", "n_shingles", "registers"), "active")
     wanted = active.select("nid", "set_id", "text_key").hint("merge")
-    texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(wanted, "text_key").groupBy("text_key", "nid", "set_id").agg(F.first("text").alias("text"))
+    # copies of a text meet map-side first, so that a hot text is no hot task
+    texts = docs.groupBy(F.xxhash64("text").alias("text_key")).agg(F.first("text").alias("text")).join(wanted, "text_key")
     sets = texts.select("nid", "set_id", _sets(size)("text").alias("made")).filter("made.set_id = set_id")
     sets = C.written(sets.select("nid", "made.shingles"), "sets")
 
