@@ -32,7 +32,7 @@ JSON_INVALID = "JSON_INVALID"
 SCHEMA_MISMATCH = "SCHEMA_MISMATCH"
 OK = "OK"
 
-_OPTIONS = {
+STRICT_OPTIONS = {
     "mode": "PERMISSIVE",
     "allowSingleQuotes": "false",
     "allowUnquotedFieldNames": "false",
@@ -43,15 +43,16 @@ _OPTIONS = {
 }
 
 
-def strict_json(text, value_type: str) -> Column:
+def strict_json(text, value_type: str, stripped: bool = True) -> Column:
     """``struct(valid boolean, typed boolean, v <value_type>)``.
 
-    ``valid``: the text is exactly one JSON value -- the wrapper parsed up
-    to its end sentinel and has exactly its two keys (text such as
-    ``[], "x": 1`` would smuggle in a third).  ``typed``: the value has the
+    ``valid``: the text is exactly one JSON value, as Python's ``json.loads``
+    reads it (``NaN`` included) -- the wrapper parsed up to its end sentinel,
+    and the text is one element when put in brackets (text such as
+    ``[], "x": 1`` would smuggle in a key).  ``typed``: the value has the
     declared type in every present field.  ``v`` is the parsed value (NULL
-    unless valid).  The stripped text and the parse are evaluated once per
-    row.
+    unless valid).  The text, stripped unless told otherwise, and the parse
+    are evaluated once per row.
     """
     schema = f"v {value_type}, _end int, _corrupt_record string"
 
@@ -59,14 +60,14 @@ def strict_json(text, value_type: str) -> Column:
         wrapped = F.concat(F.lit('{"v":'), t, F.lit(',"_end":1}'))
 
         def on_parsed(p: Column) -> Column:
-            single = F.size(F.json_object_keys(wrapped)) == 2
+            single = F.size(F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<string>", STRICT_OPTIONS)) == 1
             valid = F.coalesce((p["_end"] == 1) & single, F.lit(False))
             typed = valid & p["_corrupt_record"].isNull() & p["v"].isNotNull()
             return F.struct(valid.alias("valid"), typed.alias("typed"), F.when(valid, p["v"]).alias("v"))
 
-        return let(F.from_json(wrapped, schema, _OPTIONS), on_parsed)
+        return let(F.from_json(wrapped, schema, STRICT_OPTIONS), on_parsed)
 
-    return let(strip(_col(text)), on_text)
+    return let(strip(_col(text)) if stripped else _col(text), on_text)
 
 
 def _required_ok(items: Column, required: tuple[str, ...]) -> Column:

@@ -88,15 +88,3 @@ def ordered_concat(
     else:
         raise ValueError("null_policy is 'propagate' or 'skip'")
     return level2.select(*keys, text.alias(out))
-
-
-def sized_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast-hint ``df`` only when it has at most ``max_rows`` rows.
-
-    The check runs one ``limit(max_rows + 1).count()`` job.  ``None`` leaves
-    the choice to the optimizer and AQE (runtime size statistics).
-    """
-    if max_rows is None:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

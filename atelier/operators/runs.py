@@ -7,86 +7,108 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from atelier.functions.jsonparse import STRICT_OPTIONS, strict_json
 from atelier.functions.text import strip
+from atelier.operators.agg import _cols, order_struct
 from atelier.session import written
-from atelier.operators.agg import _cols, order_struct, sized_broadcast
 
 # Intake statuses.
 BLANK = "BLANK"
 MALFORMED = "MALFORMED"
 MISSING_KEY = "MISSING_KEY"
+MISTYPED = "MISTYPED"
 OK = "OK"
 
+# Ledger statuses.
+SUCCESS = "success"
+FAILURE = "failure"
 
-def _json_valid(line: Column) -> Column:
-    """True when ``line`` is exactly one JSON value.
 
-    The wrapper ``{"v": <line>, "_end": 1}`` has exactly two top-level keys
-    only then: malformed text makes the key listing NULL, and text such as
-    ``1, "x": 2`` adds keys.  One parse, no value materialised.
-    """
-    wrapped = F.concat(F.lit('{"v":'), line, F.lit(',"_end":1}'))
-    return F.coalesce(F.size(F.json_object_keys(wrapped)) == 2, F.lit(False))
+def _schema(value_schema: T.StructType | str) -> T.StructType:
+    return value_schema if isinstance(value_schema, T.StructType) else T.StructType.fromDDL(value_schema)
 
 
 def intake_lines(
     lines: DataFrame,
     line: str = "value",
     required: Sequence[str] = ("id", "prompt"),
-    value_schema: str = "id string, prompt string",
+    value_schema: T.StructType | str = "id string, prompt string",
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Classify JSONL lines and type the good ones.
 
-    status: BLANK (empty or whitespace), MALFORMED (not one JSON value),
-    MISSING_KEY (not an object, or a required key absent), OK.  A key with
-    an explicit ``null`` is present (the value column is then NULL, see
-    ``has_null``).  Output: ``keep`` columns, ``status``, ``has_null`` and
-    the fields of ``value_schema``.
+    status: BLANK (empty or whitespace), MALFORMED (not one JSON value as
+    ``json.loads`` reads it), MISSING_KEY (not an object, or a required key
+    absent), MISTYPED (a field of ``value_schema`` is there, not null, and not
+    of its type), OK.  A key with an explicit ``null`` is present (the value
+    column is then NULL, see ``has_null``).  Output: ``keep`` columns,
+    ``status``, ``has_null`` and the fields of ``value_schema`` (a
+    ``StructType`` or its DDL).
     """
+    schema = _schema(value_schema)
     raw = F.col(line)
-    s = strip(raw)
-    keys = F.json_object_keys(s)
-    has_keys = F.lit(True)
+    read = lines.select(
+        *keep,
+        raw.alias("_line"),
+        strict_json(raw, schema.simpleString(), stripped=False).alias("_p"),
+        F.from_json(raw, "map<string,string>", STRICT_OPTIONS).alias("_m"),
+    )
+    keys, typed = F.coalesce(F.map_keys("_m"), F.array().cast("array<string>")), F.col("_p.v")
+    has = lambda k: F.array_contains(keys, k)
+    value = lambda k: F.get(F.map_values("_m"), F.array_position(keys, k).cast("int") - 1)
+    missing = ~F.startswith(strip(F.col("_line")), F.lit("{"))
     for k in required:
-        has_keys = has_keys & F.coalesce(F.array_contains(keys, k), F.lit(False))
+        missing = missing | ~has(k)
+    mistyped = F.lit(False)
+    for f in schema.names:
+        mistyped = mistyped | (has(f) & value(f).isNotNull() & typed[f].isNull())
     status = (
-        F.when(raw.isNull() | (s == ""), F.lit(BLANK))
-        .when(~_json_valid(s), F.lit(MALFORMED))
-        .when(~s.startswith("{") | ~has_keys, F.lit(MISSING_KEY))
+        F.when(F.col("_line").isNull() | (strip(F.col("_line")) == ""), F.lit(BLANK))
+        .when(~F.col("_p.valid"), F.lit(MALFORMED))
+        .when(missing, F.lit(MISSING_KEY))
+        .when(mistyped, F.lit(MISTYPED))
         .otherwise(F.lit(OK))
     )
-    typed = F.from_json(s, value_schema)
-    fields = [f.strip().split()[0] for f in value_schema.split(",")]
-    has_null = F.lit(False)
-    for f in required:
-        if f in fields:
-            has_null = has_null | typed[f].isNull()
-    out = lines.select(*keep, status.alias("status"), typed.alias("_t"), has_null.alias("_hn"))
-    return out.select(
-        *keep,
-        "status",
-        F.when(F.col("status") == OK, F.col("_hn")).alias("has_null"),
-        *[F.when(F.col("status") == OK, F.col("_t")[f]).alias(f) for f in fields],
-    )
+    null = F.lit(False)
+    for k in required:
+        null = null | (has(k) & value(k).isNull())
+    good = F.col("status") == OK
+    out = read.select(*keep, status.alias("status"), null.alias("_null"), typed.alias("_t"))
+    return out.select(*keep, "status", F.when(good, F.col("_null")).alias("has_null"), *[F.when(good, F.col("_t")[f]).alias(f) for f in schema.names])
 
 
-def prompt_intake(spark, path: str, required=("id", "prompt"), value_schema: str = "id string, prompt string"):
+def prompt_intake(spark, path: str, required=("id", "prompt"), value_schema: T.StructType | str = "id string, prompt string"):
     """JSONL prompt set -> ``(good, quarantine)`` DataFrames.
 
-    ``pos`` is the file order (file name, then line order within the file
-    split).  It comes from ``monotonically_increasing_id`` and is stable only
-    for the same input splits: write ``good`` out (``write_intake``) before
-    it feeds later stages so it is never recomputed.
+    ``pos`` numbers the lines from 0 in file order: by file path, then by the
+    line's place in the file, whatever order the splits are read in.  The
+    lines are written once to the shared folder, so that the numbers are the
+    same in both results and in every later run over them.
     """
-    lines = spark.read.text(path).select(
-        F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("pos"), "value"
+    meta = spark.read.text(path).select("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("n"), "value")
+    lines = written(meta, "lines")
+    blocks = lines.groupBy("file_path", "file_block_start").agg(F.min("n").alias("first"), F.count(F.lit(1)).alias("size"))
+    # one row per file split
+    before = Window.orderBy("file_path", "file_block_start").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("base", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    placed = lines.join(blocks, ["file_path", "file_block_start"]).select(
+        F.col("file_path").alias("file"), (F.col("base") + F.col("n") - F.col("first")).alias("pos"), "value"
     )
-    out = intake_lines(lines, "value", required, value_schema, keep=("file", "pos"))
+    out = intake_lines(placed, "value", required, value_schema, keep=("file", "pos"))
     return out.filter(F.col("status") == OK), out.filter(F.col("status") != OK)
 
 
+def locally_numbered(df: DataFrame, id_col: str, pos_col: str, out: str, partitions: int | None = None) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``(string(id), pos)``; ``out``
+    holds the partition (from bit 33 on) and the row's number in it.  Every
+    evaluation samples new bounds: write the result before it is used twice."""
+    p = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.withColumn("_sid", F.col(id_col).cast("string")).repartitionByRange(p, F.col("_sid"), F.col(pos_col))
+    return ranged.sortWithinPartitions("_sid", pos_col).withColumn(out, F.monotonically_increasing_id()).drop("_sid")
+
+
 def shard_stride(
     df: DataFrame,
     id_col: str,
@@ -109,10 +131,8 @@ def shard_stride(
     """
     if num_shards < 1:
         raise ValueError("num_shards >= 1")
-    p = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sid, mid = "_sid", "_mid"
-    ranged = df.withColumn(sid, F.col(id_col).cast("string")).repartitionByRange(p, F.col(sid), F.col(pos_col))
-    numbered = written(ranged.sortWithinPartitions(sid, pos_col).withColumn(mid, F.monotonically_increasing_id()).drop(sid), "numbered")
+    mid = "_mid"
+    numbered = written(locally_numbered(df, id_col, pos_col, mid, partitions), "numbered")
     pid, local = F.shiftright(mid, 33), F.col(mid).bitwiseAND(F.lit((1 << 33) - 1))
     counts = numbered.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -125,25 +145,40 @@ def shard_stride(
     return out
 
 
-def run_counts(df: DataFrame, shard: str = "shard") -> DataFrame:
-    """Rows per shard plus the total (shard NULL), in one rollup."""
-    return df.rollup(shard).agg(F.count(F.lit(1)).alias("n"))
+def run_counts(df: DataFrame, shard: str = "shard", vectors: DataFrame | None = None, id_map: DataFrame | None = None) -> DataFrame:
+    """Rows per shard plus the total (shard NULL), in one rollup; with
+    ``vectors`` and ``id_map`` also the number of index vectors and of map
+    entries, on every row."""
+    out = df.rollup(shard).agg(F.count(F.lit(1)).alias("n"))
+    for name, side in (("n_vectors", vectors), ("n_map", id_map)):
+        if side is not None:
+            out = out.crossJoin(F.broadcast(side.agg(F.count(F.lit(1)).alias(name))))  # one row
+    return out
 
 
-def ledger_ids(ledger: DataFrame, id_col: str = "id") -> DataFrame:
-    """Ledger lines -> distinct stripped non-empty ids (set semantics)."""
-    s = strip(F.col(id_col).cast("string"))
-    return ledger.select(s.alias(id_col)).filter(F.col(id_col) != "").distinct()
+def ledger_ids(ledger: DataFrame, id_col: str = "id", status: str | None = None) -> DataFrame:
+    """Ledger rows -> distinct stripped non-empty ids (set semantics); with
+    ``status`` only rows of that status, where the ledger records one."""
+    if status is not None and "status" in ledger.columns:
+        ledger = ledger.filter(F.col("status") == status)
+    return ledger.select(strip(F.col(id_col).cast("string")).alias(id_col)).filter(F.col(id_col) != "").distinct()
 
 
-def resume_pending(df: DataFrame, ledger: DataFrame, id_col: str = "id", broadcast_max_rows: int | None = None) -> DataFrame:
-    """Rows whose id is not in the success ledger (left anti join on the
-    string id).  The ledger grows with every run, so it is broadcast only
-    behind ``broadcast_max_rows``; otherwise AQE picks the join at runtime."""
-    done = sized_broadcast(ledger_ids(ledger, id_col).withColumnRenamed(id_col, "_lid"), broadcast_max_rows)
+def resume_pending(df: DataFrame, ledger: DataFrame, id_col: str = "id") -> DataFrame:
+    """Rows whose id no success in the ledger names (left anti join on the
+    string id): a failed id is tried again.  The ledger grows with every run,
+    so the join is left to AQE, which knows its size."""
+    done = ledger_ids(ledger, id_col, SUCCESS).withColumnRenamed(id_col, "_lid")
     return df.join(done, F.col(id_col).cast("string") == F.col("_lid"), "left_anti")
 
 
+def current_failures(ledger: DataFrame, id_col: str = "id") -> DataFrame:
+    """Failed ids of the latest run, the one with the latest time (each run
+    starts its list of failures anew)."""
+    latest = ledger.agg(F.max(F.struct("ts", "run_id")).alias("last")).select("last.run_id")
+    return ledger_ids(ledger.join(F.broadcast(latest), "run_id", "left_semi"), id_col, FAILURE)
+
+
 def promote_success(attempted: DataFrame, failed: DataFrame, id_col: str = "id") -> DataFrame:
     """Attempted ids that are not among this run's failures."""
     att = ledger_ids(attempted, id_col)
@@ -167,6 +202,10 @@ def duplicate_id_policy(attempts: DataFrame, id_col: str, order, ok: str) -> Dat
     )
 
 
+#: Tasks over which the rounds of one id spread.
+ROUND_SALTS = 8
+
+
 def last_good_round(
     rounds: DataFrame,
     id_col: str,
@@ -178,21 +217,27 @@ def last_good_round(
     """Refinement stops at the first failed round; the current artifact is
     the path of the last round before it, else the input artifact.
 
-    Two aggregates and one join instead of a running window per id, so a
-    hot id is pre-aggregated map-side.
+    The first failure per id is a map-side aggregate.  The rounds before it
+    are then counted per (id, salt) against a copy of the per-id row for each
+    salt, so the rounds of a hot id spread over ``ROUND_SALTS`` tasks, and the
+    few salted rows are combined per id.
     """
     o = order_struct(order)
     r = rounds.select(F.col(id_col), o.alias("_o"), F.col(ok).alias("_ok"), F.col(path).alias("_path"))
+    salt = F.pmod(F.xxhash64("_o"), F.lit(ROUND_SALTS))
     first_fail = r.groupBy(id_col).agg(
         F.min(F.when(~F.col("_ok"), F.col("_o"))).alias("_ff"),
         F.count(F.lit(1)).alias("n_rounds"),
     )
-    good = (
-        r.join(first_fail.select(id_col, "_ff"), id_col)
+    salted = first_fail.select(id_col, "_ff", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(ROUND_SALTS - 1).cast("bigint"))).alias("_salt"))
+    part = (
+        r.withColumn("_salt", salt)
+        .join(salted, [id_col, "_salt"])
         .filter(F.col("_ff").isNull() | (F.col("_o") < F.col("_ff")))
-        .groupBy(id_col)
-        .agg(F.count(F.lit(1)).alias("good_rounds"), F.max_by("_path", "_o").alias("_last"))
+        .groupBy(id_col, "_salt")
+        .agg(F.count(F.lit(1)).alias("_n"), F.max("_o").alias("_last_o"), F.max_by("_path", "_o").alias("_last"))
     )
+    good = part.groupBy(id_col).agg(F.sum("_n").alias("good_rounds"), F.max_by("_last", "_last_o").alias("_last"))
     out = first_fail.join(good, id_col, "left")
     fallback = F.lit(None).cast("string") if input_path is None else (F.lit(input_path) if isinstance(input_path, str) else input_path)
     return out.select(

@@ -3,6 +3,7 @@ id map, image library, ledgers, artifacts)."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +11,9 @@ from atelier.functions.text import strip
 from atelier.operators.runs import prompt_intake  # noqa: F401  (re-exported)
 from atelier.operators.sft import TRAINING_SCHEMA
 
+#: Rows of a ledger, one per id and outcome of a run.
+LEDGER_SCHEMA = "id string, pos bigint, status string, stage string, ts timestamp, run_id string"
+
 
 def training_scan(spark: SparkSession, path: str) -> DataFrame:
     """JSONL training set with the explicit five-string schema."""
@@ -48,12 +52,23 @@ def ledger_scan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(s.alias("id")).filter(F.col("id") != "").distinct()
 
 
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger table at ``path`` (see ``write_ledger``), empty if there is
+    no such path; any other fault is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+
+
 def artifact_scan(spark: SparkSession, path: str) -> DataFrame:
-    """Text artifacts ``(path, text)``; undecodable bytes become U+FFFD."""
-    files = spark.read.format("binaryFile").load(path)
+    """Text artifacts ``(path, text)`` of all folders below; undecodable bytes become U+FFFD."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select("path", F.expr("make_valid_utf8(cast(content as string))").alias("text"))
 
 
 def image_bytes_scan(spark: SparkSession, path: str, suffix: str = ".png") -> DataFrame:
-    """Raw image bytes ``(path, content)``."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(path).select("path", "content")
+    """Raw image bytes ``(path, content)`` of all folders below."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(path).select("path", "content")

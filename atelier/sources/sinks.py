@@ -23,8 +23,13 @@ def write_layout_prompts(df: DataFrame, path: str, partition_by: str | None = "s
 
 
 def write_artifacts(df: DataFrame, path: str, stage: str, round_: int = 0) -> None:
-    """Append ``(id, stage, round, path?, html)`` to the artifact lineage."""
+    """Append ``(id, path, ok, stage, round, ...)`` to the artifact lineage:
+    a path that ``df`` doesn't have is NULL, and an artifact is ok unless
+    ``df`` says otherwise."""
     out = df.withColumn("stage", F.lit(stage)).withColumn("round", F.lit(round_))
+    for name, value in (("path", F.lit(None).cast("string")), ("ok", F.lit(True))):
+        if name not in df.columns:
+            out = out.withColumn(name, value)
     out.write.mode("append").partitionBy("stage").parquet(path)
 
 
@@ -40,11 +45,21 @@ def write_repair_summary(df: DataFrame, path: str) -> None:
 
 
 def write_ledger(df: DataFrame, path: str, run_id: str | None = None, status: str = "success") -> str:
-    """Append ``(run_id, id, status, ts)``; returns the run id.  Current
-    failures are the rows of the latest run id."""
+    """Append ``(id, pos, status, stage, ts, run_id)``; returns the run id.
+
+    ``pos`` and ``stage`` (where a failure happened) are taken from ``df`` if
+    it has them; a ``status`` column there goes before the argument.  The
+    failures in force are those of the latest run, see ``current_failures``.
+    """
     rid = run_id or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    out = df.select(F.col("id").cast("string").alias("id")).withColumn("status", F.lit(status)).withColumn(
-        "run_id", F.lit(rid)
-    ).withColumn("ts", F.current_timestamp())
+    has = lambda c, kind: F.col(c).cast(kind) if c in df.columns else F.lit(None).cast(kind)
+    out = df.select(
+        F.col("id").cast("string").alias("id"),
+        has("pos", "bigint").alias("pos"),
+        F.coalesce(has("status", "string"), F.lit(status)).alias("status"),
+        has("stage", "string").alias("stage"),
+        F.current_timestamp().alias("ts"),
+        F.lit(rid).alias("run_id"),
+    )
     out.write.mode("append").partitionBy("run_id").parquet(path)
     return rid

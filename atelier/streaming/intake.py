@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atelier.operators.runs import OK, intake_lines, resume_pending
+from atelier.operators.runs import OK, _schema, intake_lines, resume_pending
+from atelier.sources.scans import read_ledger
 
 
 def stream_intake(
@@ -28,8 +29,8 @@ def stream_intake(
     """Start the stream; returns the ``StreamingQuery``.
 
     Each micro-batch: classify lines, keep OK rows, drop ids already in the
-    ledger at ``ledger_path`` (parquet with an ``id`` column; may not exist
-    yet), write ``(id, prompt)`` to ``sink_path`` under ``batch_id=<n>``.
+    success ledger at ``ledger_path`` (parquet with an ``id`` column; no such
+    path means that nothing is done yet, any other fault is raised), write ``(id, prompt)`` to ``sink_path`` under ``batch_id=<n>``.
     """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
@@ -38,15 +39,11 @@ def stream_intake(
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         good = intake_lines(batch, "value", required, value_schema).filter(F.col("status") == OK)
-        try:
-            ledger = batch.sparkSession.read.parquet(ledger_path).select("id")
-        except Exception:  # no ledger yet: nothing is done
-            ledger = batch.sparkSession.createDataFrame([], "id string")
+        ledger = read_ledger(batch.sparkSession, ledger_path)
         pending = resume_pending(good, ledger, "id")
-        fields = [f.strip().split()[0] for f in value_schema.split(",")]
         # a retried micro-batch rewrites only its own partition: idempotent
         (
-            pending.select(*fields)
+            pending.select(*_schema(value_schema).names)
             .withColumn("batch_id", F.lit(batch_id))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

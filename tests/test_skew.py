@@ -51,15 +51,3 @@ def test_first_last_and_duplicates_on_hot_key(spark):
             n += 1
         expect[k] = n
     assert rounds == expect
-
-
-def test_sized_broadcast(spark):
-    small = spark.range(5)
-    big = spark.range(50)
-    j1 = spark.range(100).join(A.sized_broadcast(small, 10), "id")
-    j2 = spark.range(100).join(A.sized_broadcast(big, 10), "id")
-    from atelier.plans.inspect import formatted
-
-    assert "BroadcastHashJoin" in formatted(j1)
-    # over the bound: no hint is given (the optimizer and AQE decide)
-    assert j2.count() == 50
