@@ -38,7 +38,9 @@ from atelier.llm import common as C
 INDEX, SEEK, FOOT = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 FRAME_IDS = 1 << 20
 #: Words whose ids a worker keeps, and the bytes of the longest such word.
-KEPT_WORDS, KEPT_BYTES = 1_000_000, 32
+KEPT_WORDS, KEPT_BYTES = 1_500_000, 32
+#: Words of letters that are encoded as one text.
+RUN = 200
 #: ASCII punctuation that ends a word; not the apostrophe, which starts tokens such as 's.
 ENDS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 LEVEL = 3
@@ -59,6 +61,30 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word of letters
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Words of letters are mostly one piece each to the tokenizer; they
+        are encoded in runs, which the last ids of the pieces cut again if
+        there is one for each word.  Others are encoded one by one."""
+        made = {}
+        letters = [w for w in words if w.decode().isalpha()]
+        for i in range(0, len(letters), RUN):
+            run = letters[i : i + RUN]
+            ids = np.array(self.tokenizer.encode(b" ".join(run).decode(), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(run):
+                continue
+            raw, at = ids.tobytes(), 0
+            for w, end in zip(run, (4 * ends).tolist(), strict=True):
+                made[w] = raw[at:end]
+                at = end
+        others = [w for w in words if w not in made]
+        for w, e in zip(others, self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False), strict=True):
+            made[w] = array("I", e.ids).tobytes()
+        return made
 
     def _ids(self, words: list[bytes]) -> dict[bytes, bytes]:
         """The ids of words that aren't kept yet.  A word of an ASCII letter or
@@ -69,25 +95,23 @@ class WordEncoder:
             stem = w.rstrip(ENDS)
             apart = len(stem) < len(w) and stem and stem[-1] < 128 and stem[-1:].isalnum() and b"<|" not in w
             parts[w] = (stem, w[len(stem) :]) if apart else (w,)
-        new = list({p for x in parts.values() for p in x if p not in self.known})
-        made = {w: array("I", e.ids).tobytes() for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True)}
-        ids = {w: b"".join([made[p] if p in made else self.known[p] for p in x]) for w, x in parts.items()}
-        if len(self.known) < KEPT_WORDS:
-            self.known.update((w, i) for some in (made, ids) for w, i in some.items() if len(w) <= KEPT_BYTES)
-        return ids
+        made = self._encode(list({p for x in parts.values() for p in x if p not in self.known}))
+        return made | {w: b"".join([made[p] if p in made else self.known[p] for p in x]) for w, x in parts.items()}
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
+    def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
-        found = []
+        split = []
         for t in texts:
             raw = t.encode()
-            words = (raw if b"<|" in raw else raw.lower()).split()
-            found.append((words, list(map(self.known.get, words))))
-        fresh = self._ids(list({w for words, ids in found for w, i in zip(words, ids, strict=True) if i is None}))
-        for words, ids in found:
-            if None in ids:
-                ids = [fresh[w] if i is None else i for w, i in zip(words, ids, strict=True)]
-            yield b"".join(ids)
+            split.append((raw if b"<|" in raw else raw.lower()).split())
+        # the batch's words in a small table of their own: what is kept is looked up once for each
+        words = set().union(*split)
+        here = dict(zip(words, map(self.known.get, words), strict=True))
+        fresh = self._ids([w for w, ids in here.items() if ids is None])
+        here.update(fresh)
+        if len(self.known) < KEPT_WORDS:
+            self.known.update((w, ids) for w, ids in fresh.items() if len(w) <= KEPT_BYTES)
+        return [b"".join(map(here.__getitem__, words)) for words in split]
 
 
 def _open(path: str) -> tuple[pa.fs.FileSystem, str]:
