@@ -70,6 +70,23 @@ def join_small(big: DataFrame, small: DataFrame, key: str, n_small: int, how: st
     return big.withColumn("_salt", F.floor(F.rand(11) * salt).cast("int")).join(salted, [key, "_salt"], how).drop("_salt")
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, label: str, classes: list[int], most: int) -> tuple[DataFrame, dict[int, int]]:
+    """Rows of ``docs`` with a label, at most ``most`` labels of each class by
+    the order of their key's hash, and the count of all labels by class.
+
+    The labels are sampled before they meet the documents, so what is
+    broadcast is bounded by ``most`` rows a class, and the documents are read
+    once and not shuffled.
+    """
+    labels = labels.select(key, F.col(label).cast("int").alias(label)).filter(F.col(key).isNotNull() & F.col(label).isin(*classes))
+    counts = {r[0]: r[1] for r in labels.groupBy(label).count().collect()}
+    some = None
+    for k in classes:
+        part = labels.filter(F.col(label) == k).orderBy(F.xxhash64(key), key).limit(most)
+        some = part if some is None else some.union(part)
+    return written(docs.join(F.broadcast(some), key), "labelled"), counts
+
+
 def running_totals(df: DataFrame, group: str, order: str, value: str, out: str, block: int = 1000) -> DataFrame:
     """Exclusive running total of ``value`` by ``order`` (0, 1, 2, ... within
     the group), in two levels so that no task holds more than one block of a

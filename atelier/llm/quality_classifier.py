@@ -135,13 +135,14 @@ def train(x: np.ndarray, grade: np.ndarray, share: np.ndarray) -> Model:
     return Model(p[:k].astype(np.float32), p[k] + np.concatenate([[0], np.cumsum(np.exp(np.clip(p[k + 1 :], -10, 10)))]))
 
 
-def fit(rated: DataFrame, key: str, text: str, rating: str, grades: int) -> Model:
+def fit(rated: DataFrame, key: str, text: str, rating: str, grades: int, counts: dict[int, int] | None = None) -> Model:
     """A model of rated texts (ratings 0 ... ``grades`` - 1; others don't
     count), from at most SAMPLE_ROWS rows and SAMPLE_BYTES bytes of each grade
-    by the order of their key's hash.  Without two different ratings all get
-    the grade there is."""
+    by the order of their key's hash.  ``counts``: of each rating, if
+    ``rated`` is a sample of them.  Without two different ratings all get the
+    grade there is."""
     rated = rated.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"), F.col(rating).cast("int").alias("r")).filter(f"t is not null and r between 0 and {grades - 1}")
-    counts = {r[0]: r[1] for r in rated.groupBy("r").count().collect()}
+    counts = counts or {r[0]: r[1] for r in rated.groupBy("r").count().collect()}
     if len(counts) < 2:
         only = next(iter(counts), 0)
         return Model(np.zeros(SIZE, np.float32), np.where(np.arange(1, grades) <= only, -10.0, 10.0))
@@ -162,7 +163,7 @@ def fit(rated: DataFrame, key: str, text: str, rating: str, grades: int) -> Mode
 _LOADED: dict[str, Model] = {}
 
 
-def grade_quality(docs: DataFrame, rated: DataFrame, key: str = "doc_id", text: str = "text", rating: str = "rating", grades: int = 3, out: str = "quality") -> DataFrame:
+def grade_quality(docs: DataFrame, rated: DataFrame, key: str = "doc_id", text: str = "text", rating: str = "rating", grades: int = 3, out: str = "quality", counts: dict[int, int] | None = None) -> DataFrame:
     """``docs`` with a struct column ``out``: the ``expected`` grade, the
     ``tail`` probability of grade GRADE or more, the likeliest ``grade`` and
     ``selected``.
@@ -171,7 +172,7 @@ def grade_quality(docs: DataFrame, rated: DataFrame, key: str = "doc_id", text:
     for grades, so repeated texts have equal ones; null and empty texts have
     those of a text without words.
     """
-    model, name = docs.sparkSession.sparkContext.broadcast(fit(rated, key, text, rating, grades)), uuid.uuid4().hex
+    model, name = docs.sparkSession.sparkContext.broadcast(fit(rated, key, text, rating, grades, counts)), uuid.uuid4().hex
 
     def run(column: pa.Array) -> list[pa.Array]:
         if name not in _LOADED:

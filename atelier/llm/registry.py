@@ -27,12 +27,14 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
-    from atelier.llm.toxicity import TOXIC_AT, classify_toxicity
+    from atelier.llm.common import labelled_sample
+    from atelier.llm.toxicity import SAMPLE_ROWS, TOXIC_AT, classify_toxicity
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
-    labelled = docs.join(table(spark, sf_dir, "labels"), "doc_id").filter(~held_out)
-    scored = classify_toxicity(docs, labelled)
+    labels = table(spark, sf_dir, "labels").filter(~held_out)
+    labelled, counts = labelled_sample(docs, labels, "doc_id", "toxic", [0, 1], SAMPLE_ROWS)
+    scored = classify_toxicity(docs, labelled, counts=counts)
     return scored.select("doc_id", held_out.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= TOXIC_AT).cast("int").alias("predicted"))
 
 
@@ -100,12 +102,14 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratings 0 to 2 from the labels: low quality, good but toxic, good."""
     from pyspark.sql import functions as F
 
-    from atelier.llm.quality_classifier import grade_quality
+    from atelier.llm.common import labelled_sample
+    from atelier.llm.quality_classifier import SAMPLE_ROWS, grade_quality
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rated = docs.join(table(spark, sf_dir, "labels"), "doc_id").filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
-    rated = rated.withColumn("rating", F.when(F.col("quality") == 0, 0).otherwise(F.when(F.col("toxic") == 1, 1).otherwise(2)))
-    return grade_quality(docs, rated).select("doc_id", "quality.expected", "quality.tail", "quality.grade", "quality.selected")
+    labels = table(spark, sf_dir, "labels").filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
+    labels = labels.withColumn("rating", F.when(F.col("quality") == 0, 0).otherwise(F.when(F.col("toxic") == 1, 1).otherwise(2)))
+    rated, counts = labelled_sample(docs, labels, "doc_id", "rating", [0, 1, 2], SAMPLE_ROWS)
+    return grade_quality(docs, rated, counts=counts).select("doc_id", "quality.expected", "quality.tail", "quality.grade", "quality.selected")
 
 
 def queries() -> dict[str, Query]:

@@ -182,10 +182,9 @@ def train(texts: list[str], toxic: list[int], odds: float) -> Model:
     return model
 
 
-def training_rows(labelled: DataFrame, key: str, text: str, label: str) -> tuple[list[str], list[int], float]:
+def training_rows(labelled: DataFrame, key: str, text: str, label: str) -> tuple[list[str], list[int]]:
     """Different texts of each class, at most SAMPLE_ROWS rows and SAMPLE_BYTES
-    bytes, by the order of their key's hash, and the odds among all rows."""
-    counts = {r[0]: r[1] for r in labelled.filter(F.col(label).isin(0, 1)).groupBy(F.col(label).cast("int")).count().collect()}
+    bytes, by the order of their key's hash."""
     texts: dict[str, int] = {}
     for k in (0, 1):
         rows = labelled.filter(F.col(label) == k).select(F.col(text).cast("string").alias("t"), F.xxhash64(key).alias("h"), F.xxhash64(text).alias("g"))
@@ -197,7 +196,7 @@ def training_rows(labelled: DataFrame, key: str, text: str, label: str) -> tuple
             texts.setdefault(r[0], k)
     names = list(texts)
     order = np.random.Generator(np.random.PCG64(1)).permutation(len(names))
-    return [names[i] for i in order], [texts[names[i]] for i in order], counts.get(1, 0) / max(counts.get(0, 0), 1)
+    return [names[i] for i in order], [texts[names[i]] for i in order]
 
 
 _LOADED: dict[str, tuple] = {}
@@ -218,12 +217,18 @@ def toxicity_score(model: Model, text: Column) -> Column:
     return score(text.cast("string"))
 
 
-def classify_toxicity(docs: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", out: str = "toxicity") -> DataFrame:
+def classify_toxicity(
+    docs: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", out: str = "toxicity", counts: dict[int, int] | None = None
+) -> DataFrame:
     """``docs`` with a column ``out``: the score of a model trained on the
-    rows of ``labelled`` (``key``, ``text``, ``label`` 0 or 1; others don't count).
+    rows of ``labelled`` (``key``, ``text``, ``label`` 0 or 1; others don't
+    count).  ``counts``: of each label, if ``labelled`` is a sample of them.
 
     Every row stays; a column named ``out`` is replaced.  Without rows of both
     classes every score is the share of toxic rows, nearly.  Only texts are
     read for scores, so repeated texts score equally.
     """
-    return C.with_struct(docs, out, toxicity_score(train(*training_rows(labelled, key, text, label)), F.col(text)))
+    if counts is None:
+        counts = {r[0]: r[1] for r in labelled.filter(F.col(label).isin(0, 1)).groupBy(F.col(label).cast("int")).count().collect()}
+    model = train(*training_rows(labelled, key, text, label), counts.get(1, 0) / max(counts.get(0, 0), 1))
+    return C.with_struct(docs, out, toxicity_score(model, F.col(text)))
