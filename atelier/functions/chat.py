@@ -8,12 +8,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from atelier.constants import (
+    ASSISTANT_SYSTEM_PROMPT,
     CHATML_END_LINE,
     CHATML_START,
     CRITIC_SYSTEM_PROMPT,
     CRITIQUE_TEMPLATE,
     GENERATION_ROLE,
     IMAGE_SYSTEM_PROMPT,
+    KEY_COLOUR_QUESTION,
+    LAYOUT_SYSTEM_PROMPT,
+    REFINE_LEAD,
+    REFINE_SYSTEM_PROMPT,
     RESULT_TAG,
     USER_INPUT_TAG,
 )
@@ -111,6 +116,27 @@ def critic_messages(layout_prompt, html, image_url) -> Column:
     )
 
 
+def layout_messages(layout_prompt) -> Column:
+    """The request of the HTML stage, which follows the layout prompt."""
+    return chat_messages(LAYOUT_SYSTEM_PROMPT, layout_prompt)
+
+
+def refine_messages(html, rendered_url, reference_url) -> Column:
+    """The request of a layout refinement: lead text and HTML, then the
+    rendered image and the refined reference."""
+    return F.struct(
+        F.lit(REFINE_SYSTEM_PROMPT).alias("system"),
+        multimodal_request([F.lit(REFINE_LEAD), _col(html)], [rendered_url, reference_url]).alias("user"),
+    )
+
+
+def key_colour_messages(image_url) -> Column:
+    """The request that asks whether an image has the key colour."""
+    return F.struct(
+        F.lit(ASSISTANT_SYSTEM_PROMPT).alias("system"), multimodal_request([F.lit(KEY_COLOUR_QUESTION)], [image_url]).alias("user")
+    )
+
+
 def manifest_entry(layer_id, url) -> Column:
     """One ``{"layer_id": <id>, "url": "<url>"}`` object with ``": "`` separators."""
     return F.concat(

@@ -12,13 +12,16 @@ repeats calls that finished.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from atelier.constants import STATUS_DEPRECATED
 
 RESULT_FIELDS = "response string, ok boolean, error_class string, error_text string"
+_RESULT = pa.struct([("response", pa.string()), ("ok", pa.bool_()), ("error_class", pa.string()), ("error_text", pa.string())])
 
 
 class ModelCallError(Exception):
@@ -51,26 +54,31 @@ def model_score(
     options: dict | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Adds ``response, ok, error_class, error_text`` to every row."""
+    """Adds ``response, ok, error_class, error_text`` to every row.
+
+    Only the request goes to Python; all other columns stay as they are.  A
+    column of ``df`` with one of the four names is replaced.
+    """
     opts = dict(options or {})
     src = df.repartition(partitions) if partitions else df
-    schema = src.schema.simpleString()[len("struct<"):-1]
-    out_schema = f"{schema}, {RESULT_FIELDS}" if schema else RESULT_FIELDS
 
-    def run(batches):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         client = client_factory()
-        for pdf in batches:
-            resp, ok, cls, txt = [], [], [], []
-            for req in pdf[request].tolist():
+        for batch in batches:
+            out = []
+            for req in batch.to_pylist():
                 try:
-                    r = client.call(req, opts)
-                    resp.append(r), ok.append(True), cls.append(None), txt.append(None)
+                    out.append({"response": client.call(req, opts), "ok": True, "error_class": None, "error_text": None})
                 except Exception as e:  # classified, never raised per row
-                    c, t = classify(e)
-                    resp.append(None), ok.append(False), cls.append(c), txt.append(t)
-            yield pdf.assign(response=resp, ok=ok, error_class=cls, error_text=txt)
+                    kind, text = classify(e)
+                    out.append({"response": None, "ok": False, "error_class": kind, "error_text": text})
+            yield pa.array(out, _RESULT)
 
-    return src.mapInPandas(run, out_schema)
+    call = F.arrow_udf(run, RESULT_FIELDS).asNondeterministic()
+    names = [f.split()[0] for f in RESULT_FIELDS.split(", ")]
+    keep = [c for c in src.columns if c not in names]
+    called = src.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), call(F.col(f"`{request}`").cast("string")).alias("result"))
+    return called.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], *[f"result.{n}" for n in names])
 
 
 def score_and_materialize(df: DataFrame, request: str, client_factory, options=None, partitions=None) -> DataFrame:
@@ -79,6 +87,35 @@ def score_and_materialize(df: DataFrame, request: str, client_factory, options=N
     return materialize(model_score(df, request, client_factory, options, partitions))
 
 
+def score_stage(
+    df: DataFrame, request: str, client_factory, results: str, ledger: str, stage: str, key: str = "id", run_id: str | None = None, options=None, partitions=None
+) -> DataFrame:
+    """One resumable model stage: calls only for rows whose key has no success
+    in the ledger of this stage, stores the results, writes successes and
+    failures to the ledger, and returns the stored successes of ``df``.
+
+    ``results`` and ``ledger`` are tables in shared storage; a second run after
+    a fault or a failure repeats no call that succeeded.
+    """
+    from atelier.operators.runs import SUCCESS, ledger_ids, resume_pending
+    from atelier.session import written
+    from atelier.sources.scans import read_ledger
+    from atelier.sources.sinks import write_ledger
+
+    spark = df.sparkSession
+    done = read_ledger(spark, ledger)
+    if "stage" in done.columns:
+        done = done.filter(F.col("stage") == stage)
+    pending = resume_pending(df, done, key)
+    scored = written(model_score(pending.select(F.col(key).cast("string").alias("id"), F.col(request).alias("request")), "request", client_factory, options, partitions), "scored")
+    scored.filter("ok").select("id", "response").withColumn("stage", F.lit(stage)).write.mode("append").partitionBy("stage").parquet(results)
+    write_ledger(scored.select("id", F.when(F.col("ok"), SUCCESS).otherwise("failure").alias("status"), F.lit(stage).alias("stage")), ledger, run_id)
+    stored = spark.read.parquet(results).filter(F.col("stage") == stage).select(F.col("id").alias("_id"), "response")
+    good = ledger_ids(read_ledger(spark, ledger).filter(F.col("stage") == stage), status=SUCCESS)
+    stored = stored.dropDuplicates(["_id"]).join(good, F.col("_id") == F.col("id"), "left_semi")
+    return df.join(stored, F.col(key).cast("string") == F.col("_id")).drop("_id")
+
+
 class StubClient:
     """Deterministic stand-in for a chat model (tests, fixtures).
 

@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from atelier.constants import CRITIQUE_TEMPLATE, IMAGE_SYSTEM_PROMPT, PLAN_TAGS, PLANNER_SYSTEM_PROMPT
+from atelier.constants import (
+    ASSISTANT_SYSTEM_PROMPT,
+    CRITIC_SYSTEM_PROMPT,
+    CRITIQUE_TEMPLATE,
+    IMAGE_SYSTEM_PROMPT,
+    KEY_COLOUR_QUESTION,
+    LAYOUT_SYSTEM_PROMPT,
+    PLAN_TAGS,
+    PLANNER_SYSTEM_PROMPT,
+    REFINE_LEAD,
+    REFINE_SYSTEM_PROMPT,
+)
 from atelier.functions import chat as CH
 from atelier.functions import text as T
 from atelier.operators import retrieve as RT
@@ -293,3 +304,58 @@ def plan_report(spark, d):
         C.tag_order(F.col("plan")).alias("tags_ordered"),
     )
     return C.plan_report(flags, "conv_id", ["blocks_present", "tags_once", "tags_ordered"])
+
+
+# ---------------------------------------------------------------- stage requests
+
+_URL_A, _URL_B = "'data:image/png;base64,' || 'a' || doc_id", "'data:image/png;base64,' || 'b' || doc_id"
+
+
+def _parts(user: str):
+    """A request's parts as one line each: type, then text or url."""
+    part = F.transform(user, lambda p: F.concat(p["type"], F.lit("="), F.coalesce(p["text"], p["url"])))
+    return F.array_join(part, chr(30))
+
+
+@scenario(
+    "layout_request",
+    f"SELECT doc_id, 'system=' || {sql_literal(LAYOUT_SYSTEM_PROMPT)} || chr(30) || 'user=' || text AS request FROM documents",
+)
+def layout_request(spark, d):
+    messages = CH.layout_messages(F.col("text"))
+    line = F.array_join(F.transform(messages, lambda m: F.concat(m["role"], F.lit("="), m["content"])), chr(30))
+    return table(spark, d, "documents").select("doc_id", line.alias("request"))
+
+
+@scenario(
+    "refine_request",
+    f"""SELECT doc_id, {sql_literal(REFINE_SYSTEM_PROMPT)} AS system,
+  concat_ws(chr(30), 'text=' || {sql_literal(REFINE_LEAD)}, 'text=' || text, 'image_url=' || {_URL_A}, 'image_url=' || {_URL_B}) AS parts
+FROM documents""",
+)
+def refine_request(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text", F.expr(_URL_A).alias("a"), F.expr(_URL_B).alias("b"))
+    docs = docs.withColumn("m", CH.refine_messages("text", "a", "b"))
+    return docs.select("doc_id", "m.system", _parts("m.user").alias("parts"))
+
+
+@scenario(
+    "key_colour_request",
+    f"""SELECT doc_id, {sql_literal(ASSISTANT_SYSTEM_PROMPT)} AS system,
+  'text=' || {sql_literal(KEY_COLOUR_QUESTION)} || chr(30) || 'image_url=' || {_URL_A} AS parts
+FROM documents""",
+)
+def key_colour_request(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", F.expr(_URL_A).alias("a")).withColumn("m", CH.key_colour_messages("a"))
+    return docs.select("doc_id", "m.system", _parts("m.user").alias("parts"))
+
+
+@scenario(
+    "critic_request",
+    f"""SELECT doc_id, {sql_literal(CRITIC_SYSTEM_PROMPT)} AS system,
+  'text=' || replace(replace({sql_literal(CRITIQUE_TEMPLATE)}, '{{layout_prompt}}', source), '{{html_content}}', lang) || chr(30) || 'image_url=' || {_URL_A} AS parts
+FROM documents""",
+)
+def critic_request(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", F.expr(_URL_A).alias("a"), CH.critic_messages("source", "lang", F.expr(_URL_A)).alias("m"))
+    return docs.select("doc_id", "m.system", _parts("m.user").alias("parts"))

@@ -56,7 +56,7 @@ def stream_intake(spark, d):
     ev = table(spark, d, "events")
     root = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     lines = ev.select(F.to_json(F.struct(F.col("user_id").cast("string").alias("id"), F.col("event_type").alias("prompt"))).alias("value"))
-    lines.repartition(4).write.text(f"{root}/in")
+    lines.write.text(f"{root}/in")
     # done already: users whose first event was a view or a click
     first = first_by(ev.select("user_id", "ts", "event_type"), "user_id", "ts")
     ledger = first.filter(F.col("event_type").isin("view", "click")).select(F.col("user_id").cast("string").alias("id"))

@@ -12,6 +12,7 @@ from atelier.operators import retrieve as RT
 from atelier.operators.agg import first_by
 from atelier.operators.encode import encode_text
 from atelier.operators.layers import explode_layers, parse_plan_layers
+from atelier.operators.runs import stage_outcome
 from atelier.scenarios import scenario
 from atelier.session import materialize, table
 
@@ -214,22 +215,36 @@ def plan_documents(spark, d):
 def layout_prompts(spark, d):
     """Flagship: plan text -> parsed layers -> text vectors -> nearest
     library vector -> element id -> all-or-nothing asset gate -> manifest
-    -> layout prompt per conversation."""
+    -> layout prompt, one row for every conversation: a plan that doesn't
+    parse or whose assets are missing has its first failed stage, and an empty
+    plan has an empty manifest."""
     conv = table(spark, d, "conversations")
     plans = plan_documents(spark, d)
-    layers = explode_layers(parse_plan_layers(plans, "plan", ["conv_id"]), ["conv_id"])
+    parsed = parse_plan_layers(plans, "plan", ["conv_id"])
+    layers = explode_layers(parsed, ["conv_id"])
     layers = layers.withColumn("qid", F.concat_ws(":", F.col("conv_id").cast("string"), F.col("pos").cast("string")))
-    # model stage: persisted once (reliable checkpoint) so the kNN counts and
-    # the main job do not re-run the encoder, and a lost executor never does
-    vecs = materialize(encode_text(layers.select("qid", "layer_prompt"), "layer_prompt", "embedding").select("qid", "embedding"))
-    hits = RT.knn_topk(vecs, _library(spark, d), k=1, query_key="qid")
+    # parse and model stage: persisted once (reliable checkpoint) so the kNN counts and
+    # the main job do not re-run them, and a lost executor never does
+    layers = materialize(encode_text(layers, "layer_prompt", "embedding"))
+    hits = RT.knn_topk(layers.select("qid", "embedding"), _library(spark, d), k=1, query_key="qid")
     found = RT.asset_lookup(hits.select("qid", "pos", "sim"), _id_map(spark, d), "pos", "elem_id")
-    per_layer = layers.join(found.select("qid", F.col("pos").alias("lib_pos"), "elem_id", "sim"), "qid", "left")
+    per_layer = layers.drop("embedding").join(found.select("qid", F.col("pos").alias("lib_pos"), "elem_id", "sim"), "qid", "left")
     gate = RT.asset_gate(per_layer.select("conv_id", "pos", "elem_id"), _part_library(spark, d), "conv_id", "pos", "elem_id")
     manifest = RT.layer_manifest(per_layer.select("conv_id", "pos", "layer_id"), "conv_id", "pos", "layer_id")
     user = first_by(conv.filter("role = 'user'").select("conv_id", "turn", "text"), "conv_id", "turn").select(
         "conv_id", F.col("text").alias("user_input")
     )
-    out = gate.join(manifest, "conv_id").join(user, "conv_id").join(plans, "conv_id")
+    out = plans.join(parsed.select("conv_id", F.col("status").alias("parse_status"), F.size("items").alias("_n")), "conv_id", "left")
+    out = out.join(gate.select("conv_id", "n_layers", "n_missing", F.col("ok").alias("_gate")), "conv_id", "left")
+    out = out.join(manifest, "conv_id", "left").join(user, "conv_id", "left")
+    empty = F.col("_n") == 0
+    out = (
+        out.withColumn("_plan", F.col("parse_status") == "OK")
+        .withColumn("_gate", F.coalesce("_gate", empty))
+        .withColumn("manifest", F.coalesce("manifest", F.when(empty, F.lit("[]"))))
+        .withColumn("n_layers", F.coalesce("n_layers", F.when(empty, F.lit(0).cast("bigint"))))
+        .withColumn("n_missing", F.coalesce("n_missing", F.when(empty, F.lit(0).cast("bigint"))))
+    )
+    out = stage_outcome(out, [("plan", "_plan"), ("retrieval", "_gate")])
     prompt = F.when(F.col("ok"), CH.assemble_layout_prompt("user_input", "plan", "manifest"))
-    return out.select("conv_id", "ok", "n_layers", "n_missing", prompt.alias("layout_prompt"))
+    return out.select("conv_id", "parse_status", "ok", "failed_stage", "n_layers", "n_missing", prompt.alias("layout_prompt"))

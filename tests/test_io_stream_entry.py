@@ -78,3 +78,76 @@ def test_every_query_runs_small(spark, key):
     df.write.format("noop").mode("overwrite").save()
     assert key in E.queries()
     _ = F
+
+
+def test_layout_prompts_keep_every_conversation(spark):
+    import __spark_entry__ as E
+
+    got = E.queries()["layout_prompts"](spark, SF_SMALL).collect()
+    conv = {r.conv_id for r in spark.read.parquet(f"{SF_SMALL}/conversations.parquet").collect()}
+    assert {r.conv_id for r in got} == conv and len(got) == len(conv)
+    for r in got:
+        assert (r.parse_status == "OK") == (r.failed_stage != "plan")
+        assert r.ok == (r.failed_stage is None) == (r.layout_prompt is not None)
+
+
+def test_model_score_keeps_other_columns(spark):
+    from decimal import Decimal
+
+    rows = [(2**53 + 1, "a", Decimal("1.10"), [1, None]), (None, None, None, None), (7, "b", Decimal("2.00"), [])]
+    df = spark.createDataFrame(rows, "`my id` bigint, request string, d decimal(10,2), ok array<int>")
+    got = model_score(df, "request", stub_factory(0.0)).collect()
+    assert sorted((str(r["my id"]), str(r.d), r.ok) for r in got) == sorted((str(r[0]), str(r[2]), r[1] is not None) for r in rows)
+
+
+class CountingClient:
+    def __init__(self, path, bad):
+        self.path, self.bad = path, bad
+
+    def call(self, request, options):
+        with open(f"{self.path}/{request}", "a") as f:
+            f.write("x")
+        if request in self.bad:
+            raise ValueError("down")
+        return request.upper()
+
+
+def test_score_stage_resumes(spark, tmp_path):
+    from atelier.operators.score import score_stage
+
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    df = spark.createDataFrame([(i, f"r{i}") for i in range(12)], "id bigint, request string")
+    where = dict(results=f"{tmp_path}/results", ledger=f"{tmp_path}/ledger", stage="html")
+    folder = str(calls)
+    first = score_stage(df, "request", lambda: CountingClient(folder, {"r3", "r5"}), run_id="1", **where)
+    assert sorted(r.id for r in first.collect()) == [i for i in range(12) if i not in (3, 5)]
+    assert sorted(r.id for r in R.current_failures(scans.read_ledger(spark, where["ledger"])).collect()) == ["3", "5"]
+    second = score_stage(df, "request", lambda: CountingClient(folder, set()), run_id="2", **where)
+    assert sorted((r.id, r.response) for r in second.collect()) == [(i, f"R{i}") for i in range(12)]
+    assert {p.name: len(p.read_text()) for p in calls.iterdir()} == {f"r{i}": 2 if i in (3, 5) else 1 for i in range(12)}
+    third = score_stage(df, "request", lambda: CountingClient(folder, {"r1"}), run_id="3", **where)
+    assert third.count() == 12
+
+
+def test_sinks_and_scans_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([("a/1", "<p>x</p>", 0), ("b", "<p>y</p>", 1)], "id string, html string, shard int")
+    sinks.write_layout_prompts(df.withColumnRenamed("html", "layout_prompt"), f"{tmp_path}/prompts")
+    assert spark.read.parquet(f"{tmp_path}/prompts").filter("shard = 1").first().id == "b"
+    sinks.write_artifacts(df.drop("shard"), f"{tmp_path}/art", "init")
+    sinks.write_artifacts(sinks.copy_stage(df.drop("shard"), "after").withColumn("ok", F.lit(False)), f"{tmp_path}/art", "after", 1)
+    art = spark.read.parquet(f"{tmp_path}/art")
+    assert sorted((r.id, r.stage, r.round, r.ok, r.path) for r in art.collect()) == [("a/1", "after", 1, False, None), ("a/1", "init", 0, True, None), ("b", "after", 1, False, None), ("b", "init", 0, True, None)]
+    sinks.write_intake(df, f"{tmp_path}/intake")
+    assert spark.read.parquet(f"{tmp_path}/intake").count() == 2
+    summary = spark.createDataFrame([("a", [1], 0.5), ("b", [], 0.0)], "id string, refined_layers array<int>, refine_rate double")
+    sinks.write_repair_summary(summary, f"{tmp_path}/summary")
+    assert [r.id for r in spark.read.json(f"{tmp_path}/summary").collect()] == ["a"]
+    spark.createDataFrame([(3, [0.5, 1.0])], "pos int, embedding array<double>").write.parquet(f"{tmp_path}/vec")
+    assert [(r.pos, r.embedding) for r in scans.vector_scan(spark, f"{tmp_path}/vec").collect()] == [(3, [0.5, 1.0])]
+    for name in ("x", "y"):
+        os.makedirs(f"{tmp_path}/files/{name}")
+        open(f"{tmp_path}/files/{name}/out.html", "w").write(name)
+        open(f"{tmp_path}/files/{name}/img.png", "wb").write(b"1")
+    assert sorted(r.text for r in scans.artifact_scan(spark, f"{tmp_path}/files").collect() if r.path.endswith("html")) == ["x", "y"]
+    assert scans.image_bytes_scan(spark, f"{tmp_path}/files").count() == 2
