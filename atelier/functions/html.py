@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from atelier.constants import POSTER_CLASS
-from atelier.functions.text import _col, strip
+from atelier.functions.text import _col, let, strip
 
 
 def class_tag(token: str) -> str:
@@ -80,3 +80,67 @@ def render_ready(html, token: str = POSTER_CLASS) -> Column:
 def tag_position(html, token: str) -> Column:
     """1-based code-point position of a literal token, 0 when absent."""
     return F.instr(_col(html), token).cast("bigint")
+
+
+# Elements without an end tag, and those that show nothing by themselves.
+VOID = ("area", "br", "col", "embed", "hr", "img", "input", "source", "track", "wbr")
+SILENT = ("", "html", "body", "meta", "link", "base")
+
+
+def outside_container(html, token: str = POSTER_CLASS) -> Column:
+    """``struct(text_chars bigint, elements bigint)``: visible text and
+    elements outside the first container.
+
+    Scripts, styles, comments and the head show nothing.  The container ends
+    where as many end tags of its name as start tags have come.  An element
+    around the container is not outside of it; one that ends before it, or
+    starts after it, is.  NULL without a container.
+    """
+    gone = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<head\b.*?</head>|<title\b.*?</title>|<!doctype[^>]*>"
+    pieces = F.regexp_extract_all(F.regexp_replace(_col(html), gone, ""), F.lit(r"(?s)<[^>]*>|[^<]+|<"), F.lit(0))
+    tags = F.transform(
+        pieces,
+        lambda p: F.struct(
+            p.alias("p"),
+            F.lower(F.regexp_extract(p, r"^</?([A-Za-z][A-Za-z0-9]*)[^>]*>$", 1)).alias("name"),
+            p.startswith("</").alias("ends"),
+            (p.startswith("<") & p.endswith(">")).alias("tag"),
+            p.rlike(class_token_pattern(token)).alias("box"),
+        ),
+    )
+    # depth: -1 before the container, 0 after it, else its open tags of its own name
+    start = F.struct(F.lit(-1).alias("depth"), F.lit("").alias("name"), F.lit(0).cast("bigint").alias("text"), F.lit(0).cast("bigint").alias("elements"))
+
+    def state(depth: Column, name: Column, text: Column, elements: Column) -> Column:
+        return F.struct(depth.alias("depth"), name.alias("name"), text.alias("text"), elements.alias("elements"))
+
+    def step(a: Column, x: Column) -> Column:
+        same = x["name"] == a["name"]
+        inside = state(a["depth"] + F.when(~same, 0).when(x["ends"], -1).otherwise(1), a["name"], a["text"], a["elements"])
+        shows = F.when(x["name"].isin(*VOID), ~x["ends"]).otherwise(F.when(a["depth"] < 0, x["ends"]).otherwise(~x["ends"])) & ~x["name"].isin(*SILENT)
+        beside = state(a["depth"], a["name"], a["text"], a["elements"] + F.when(shows, 1).otherwise(0))
+        words = state(a["depth"], a["name"], a["text"] + F.length(strip(x["p"])), a["elements"])
+        return (
+            F.when(a["depth"] > 0, F.when(x["tag"], inside).otherwise(a))
+            .when(~x["tag"], words)
+            .when((a["depth"] < 0) & x["box"] & ~x["ends"], state(F.lit(1), x["name"], a["text"], a["elements"]))
+            .otherwise(beside)
+        )
+
+    end = F.aggregate(tags, start, step)
+    return let(end, lambda e: F.when(e["depth"] >= 0, F.struct(e["text"].alias("text_chars"), e["elements"].alias("elements"))))
+
+
+def poster_contract(html, token: str = POSTER_CLASS) -> Column:
+    """The whole contract: HTML only, no code fence, and all content inside
+    the container -- text, images and elements, before it and after it, with
+    or without ``<body>``.  (``html_contract`` looks at the text in front.)"""
+
+    def judge(o: Column) -> Column:
+        clean = F.coalesce((o["text_chars"] == 0) & (o["elements"] == 0), F.lit(False))
+        return F.struct(
+            has_container(html, token).alias("has_container"), o["text_chars"].alias("outside_chars"), o["elements"].alias("outside_elements"),
+            (has_container(html, token) & clean & ~in_code_fence(html) & only_html(html)).alias("ok"),
+        )
+
+    return let(outside_container(html, token), judge)

@@ -23,7 +23,7 @@ TEXT_ELEMENT = (
     "text:string,font:string,font_size:double,text_align:string,angle:double,"
     "capitalize:boolean,line_height:double,letter_spacing:double>"
 )
-VERDICT = "struct<bad_layers:array<bigint>,reason:map<string,string>>"
+VERDICT = "struct<bad_layers:array<bigint>,reason:string>"
 
 # Statuses, in the order they are decided.
 TAG_MISSING = "TAG_MISSING"
@@ -128,10 +128,11 @@ def greedy_object(text) -> Column:
 def extract_verdict(text) -> Column:
     """Quality verdict inside free model text.
 
-    ``struct(status, bad_layers array<bigint>, reason map<string,string>)``.
-    status: NO_JSON (no braces), JSON_INVALID, SCHEMA_MISMATCH, OK.  A missing
-    (or null) ``bad_layers`` means no bad layers; a missing ``reason`` is an
-    empty map.
+    ``struct(status, bad_layers array<bigint>, reason map<string,string>,
+    reason_json string)``.  status: NO_JSON (no braces), JSON_INVALID,
+    SCHEMA_MISMATCH, OK.  A missing (or null) ``bad_layers`` means no bad
+    layers.  Any ``reason`` goes through as ``reason_json`` (its text, or its
+    JSON if it isn't text); the map is empty unless it is an object.
     """
 
     def on_obj(obj: Column) -> Column:
@@ -145,8 +146,9 @@ def extract_verdict(text) -> Column:
             )
             ok = status == OK
             bad = F.when(ok, F.coalesce(v["bad_layers"], F.array().cast("array<bigint>")))
-            reason = F.when(ok, F.coalesce(v["reason"], F.create_map().cast("map<string,string>")))
-            return F.struct(status.alias("status"), bad.alias("bad_layers"), reason.alias("reason"))
+            empty = F.create_map().cast("map<string,string>")
+            parts = F.when(v["reason"].startswith("{"), F.from_json(v["reason"], "map<string,string>", STRICT_OPTIONS))
+            return F.struct(status.alias("status"), bad.alias("bad_layers"), F.when(ok, F.coalesce(parts, empty)).alias("reason"), F.when(ok, v["reason"]).alias("reason_json"))
 
         return let(strict_json(obj, VERDICT), on_parsed)
 

@@ -11,7 +11,7 @@ from atelier.functions import text as T
 from atelier.operators.agg import ordered_concat
 from atelier.operators import layers as LY
 from atelier.plans import contract as C
-from atelier.scenarios import scenario
+from atelier.scenarios import scenario, sql_literal
 from atelier.session import table
 
 WS = PY_WHITESPACE_CLASS
@@ -387,3 +387,41 @@ def strip_q(spark, d):
     c = table(spark, d, "conversations")
     padded = F.concat(F.lit("\u00a0\u3000\t"), F.col("text"), F.lit("\n\x1c\x1f "))
     return c.select("conv_id", "turn", T.strip(padded).alias("stripped"))
+
+
+# ---------------------------------------------------------------- whole contract
+
+# page variants by document: what is put around a container, and what is then outside of it
+_AROUND = (
+    ("", "", 0, 0),
+    ("<html><head><title>t</title><style>p{}</style></head><body>", "</body></html>", 0, 0),
+    ("<main><section>", "</section></main>", 0, 0),
+    ("before", "", 6, 0),
+    ("", " after ", 5, 0),
+    ("<body>", "<p>after</p></body>", 5, 1),
+    ("<img src='x.png'>", "", 0, 1),
+    ("", "<img src='x.png'/>", 0, 1),
+    ("<div></div>", "", 0, 1),
+    ("<!-- note --><script>var t = '</div>';</script>", "<script>1</script>", 0, 0),
+    ("<div><p>a</p>", "</div>", 1, 1),
+)
+_INNER = "'<div>' || replace(text, '<', '&lt;') || '<br><div><p>x</div></div>'"
+
+
+def _pick(k: int) -> str:
+    return "CASE doc_id % {n} {when} END".format(
+        n=len(_AROUND), when=" ".join(f"WHEN {i} THEN {sql_literal(v[k]) if isinstance(v[k], str) else v[k]}" for i, v in enumerate(_AROUND))
+    )
+
+
+@scenario(
+    "poster_contract",
+    f"""SELECT doc_id, true AS has_container, CAST({_pick(2)} AS BIGINT) AS outside_chars, CAST({_pick(3)} AS BIGINT) AS outside_elements,
+  ({_pick(2)}) = 0 AND ({_pick(3)}) = 0 AS ok
+FROM documents""",
+)
+def poster_contract(spark, d):
+    docs = table(spark, d, "documents")
+    page = F.concat(F.expr(_pick(0)), F.lit("<div class='big poster'>"), F.expr(_INNER), F.lit("</div>"), F.expr(_pick(1)))
+    page = F.when(F.expr(f"doc_id % {len(_AROUND)} IN (3, 4)"), F.concat(F.lit("<html>"), page, F.lit("</html>"))).otherwise(page)
+    return docs.select("doc_id", H.poster_contract(page).alias("c")).select("doc_id", "c.*")

@@ -160,3 +160,16 @@ def test_chat_render_chatml(spark):
     got = [r.r for r in df.select(CH.chat_render(CH.chat_messages(F.col("s"), "u")).alias("r")).collect()]
     assert got[0] == "<|im_start|>system\nsys<|im_end|>\n<|im_start|>user\nhi<|im_end|>\n<|im_start|>assistant\n"
     assert got[1] is None
+
+
+def test_verdict_takes_any_reason(spark):
+    from pyspark.sql import functions as F
+
+    from atelier.functions.jsonparse import extract_verdict
+
+    texts = ['x {"bad_layers": [1], "reason": {"1": "blurred"}} y', '{"reason": "all fine"}', '{"bad_layers": [], "reason": ["a", 1]}', '{"reason": null}', '{"bad_layers": [NaN]}', '{"n": NaN}']
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r.i: r.v for r in df.select("i", extract_verdict(F.col("t")).alias("v")).collect()}
+    assert [got[i].status for i in (0, 1, 2, 3, 5)] == ["OK"] * 5
+    assert got[0].reason == {"1": "blurred"} and got[0].bad_layers == [1]
+    assert got[1].reason_json == "all fine" and got[1].reason == {} and got[2].reason_json == '["a",1]' and got[3].reason_json is None
