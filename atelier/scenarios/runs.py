@@ -103,6 +103,72 @@ def run_counts(spark, d):
     return R.run_counts(s, "shard").select("shard", F.col("n").cast("bigint"))
 
 
+@scenario(
+    "shard_stride_texts",
+    """
+SELECT doc_id, text, lang, source, pos, rn - 1 AS rank, CAST((rn - 1) % 7 AS BIGINT) AS shard
+FROM (SELECT doc_id, text, lang, source, n_chars * 100000 + doc_id AS pos,
+        row_number() OVER (ORDER BY source, n_chars * 100000 + doc_id) AS rn FROM documents)
+""",
+)
+def shard_stride_texts(spark, d):
+    """All shards of whole documents: few ids, a position of its own."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang", "source", F.expr("n_chars * 100000 + doc_id").alias("pos"))
+    s = R.shard_stride(docs, "source", "pos", 7)
+    return s.withColumn("rank", F.col("rank").cast("bigint")).withColumn("shard", F.col("shard").cast("bigint"))
+
+
+@scenario(
+    "shard_stride_events",
+    """
+SELECT event_id, user_id, props, rn - 1 AS rank, CAST((rn - 1) % 4 AS BIGINT) AS shard
+FROM (SELECT event_id, user_id, props, row_number() OVER (ORDER BY CAST(user_id AS VARCHAR), event_id) AS rn FROM events)
+""",
+)
+def shard_stride_events(spark, d):
+    ev = table(spark, d, "events").select("event_id", "user_id", "props")
+    parts = [R.shard_stride(ev, "user_id", "event_id", 4, k) for k in range(4)]  # four jobs, as in a run of four shards
+    out = parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    return out.select("event_id", "user_id", "props", F.col("rank").cast("bigint"), F.col("shard").cast("bigint"))
+
+
+@scenario(
+    "run_totals",
+    f"""SELECT shard, count(*) AS n, (SELECT count(*) FROM embeddings) AS n_vectors, (SELECT count(*) FROM part) AS n_map
+FROM ({_SHARD_SQL}) GROUP BY ROLLUP (shard)""",
+)
+def run_totals(spark, d):
+    s = _sharded(spark, d).withColumn("shard", F.col("shard").cast("bigint"))
+    return R.run_counts(s, "shard", table(spark, d, "embeddings"), table(spark, d, "part"))
+
+
+# a ledger of three runs: each label is an outcome, runs by doc_id
+_LEDGER_SQL = """SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN quality = 1 THEN 'success' ELSE 'failure' END AS status,
+  'run' || CAST(doc_id % 3 AS VARCHAR) AS run_id, TIMESTAMP '2024-01-01 00:00:00' + INTERVAL '1' DAY * CAST(doc_id % 3 AS INT) AS ts FROM labels"""
+
+
+@scenario("current_failures", f"SELECT id FROM ({_LEDGER_SQL}) WHERE status = 'failure' AND run_id = 'run2'")
+def current_failures(spark, d):
+    labels = table(spark, d, "labels")
+    ledger = labels.select(
+        F.col("doc_id").cast("string").alias("id"),
+        F.when(F.col("quality") == 1, R.SUCCESS).otherwise(R.FAILURE).alias("status"),
+        F.concat(F.lit("run"), F.col("doc_id") % 3).alias("run_id"),
+        F.timestamp_add("DAY", (F.col("doc_id") % 3).cast("int"), F.lit("2024-01-01 00:00:00").cast("timestamp")).alias("ts"),
+    )
+    return R.current_failures(ledger)
+
+
+@scenario(
+    "resume_mixed_ledger",
+    f"SELECT doc_id FROM documents WHERE CAST(doc_id AS VARCHAR) NOT IN (SELECT id FROM ({_LEDGER_SQL}) WHERE status = 'success')",
+)
+def resume_mixed_ledger(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id"), "doc_id")
+    ledger = table(spark, d, "labels").select(F.col("doc_id").cast("string").alias("id"), F.when(F.col("quality") == 1, R.SUCCESS).otherwise(R.FAILURE).alias("status"))
+    return R.resume_pending(docs, ledger, "id").select("doc_id")
+
+
 # ---------------------------------------------------------------- duplicates and rounds
 
 
