@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from atelier.constants import STATUS_DEPRECATED
 from atelier.functions.text import _col
 from atelier.operators.agg import first_by, order_struct
+from atelier.operators.runs import ROUND_SALTS
 
 SELECTED = "SELECTED"
 SKIPPED = "SKIPPED"
@@ -82,18 +83,18 @@ def repair_summary(
 def repair_run_status(regens: DataFrame, id_col: str, order, ok: str) -> DataFrame:
     """Regenerations run in verdict order and stop at the first failure:
     ``(id, ok, replaced)``; ``replaced`` counts the layers regenerated before
-    the failure.  Two aggregates and a join, no per-id window."""
+    the failure.  Aggregates and a salted join, no per-id window."""
     r = regens.select(F.col(id_col), order_struct(order).alias("_o"), F.col(ok).alias("_ok"))
     ff = r.groupBy(id_col).agg(F.min(F.when(~F.col("_ok"), F.col("_o"))).alias("_ff"))
-    before = (
-        r.join(ff, id_col)
-        .groupBy(id_col)
-        .agg(
-            F.first(F.col("_ff").isNull()).alias("ok"),
-            F.count_if(F.col("_ff").isNull() | (F.col("_o") < F.col("_ff"))).cast("bigint").alias("replaced"),
-        )
+    # a copy of the per-id row for each salt, so that a hot id spreads over tasks
+    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(ROUND_SALTS - 1).cast("bigint")))
+    part = (
+        r.withColumn("_salt", F.pmod(F.xxhash64("_o"), F.lit(ROUND_SALTS)))
+        .join(ff.withColumn("_salt", salts), [id_col, "_salt"])
+        .groupBy(id_col, "_salt")
+        .agg(F.count_if(F.col("_ff").isNull() | (F.col("_o") < F.col("_ff"))).alias("_n"), F.bool_and(F.col("_ff").isNull()).alias("_all"))
     )
-    return before
+    return part.groupBy(id_col).agg(F.bool_and("_all").alias("ok"), F.sum("_n").cast("bigint").alias("replaced"))
 
 
 # ------------------------------------------------------------ classification

@@ -24,12 +24,14 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from atelier.functions.chat import format_manifest_json, manifest_entry
 from atelier.functions.text import layer_url
 from atelier.operators.agg import _cols, last_by, order_struct, ordered_concat
+from atelier.session import written
 
 HIT = "hit"
 NO_HIT = "NO_HIT"
@@ -156,7 +158,7 @@ def knn_ann(
     query_vec: str = "embedding",
     lib_pos: str = "pos",
     lib_vec: str = "embedding",
-    n_cells: int = 16,
+    n_cells: int | None = None,
     nprobe: int = 2,
     block_rows: int = 4096,
     seed: int = 7,
@@ -165,52 +167,42 @@ def knn_ann(
     """Approximate top-k (IVF): k-means cells over the library, each query
     scored against the library vectors of its ``nprobe`` nearest cells.
 
-    Cells are fitted with Spark ML ``KMeans``; the centre table has
-    ``n_cells`` rows (its size is the parameter, so it is safe to ship to
-    tasks).  A hot cell is split into sub-blocks of ``block_rows``.
+    Cells are fitted with Spark ML ``KMeans``, by default as many as the root
+    of the library's size, 4096 at most; the fitted model assigns the library
+    without a shuffle.  Queries probe cells that have vectors, so none is lost.
+    The centre and size tables have a row per cell, so they are safe to ship.
+    A hot cell is split into sub-blocks of about ``block_rows``.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    lib = library.select(F.col(lib_pos).cast("bigint").alias("_pos"), F.col(lib_vec).alias("_lv"))
-    model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, featuresCol="_f", predictionCol="_cell").fit(
-        lib.select(array_to_vector("_lv").alias("_f"))
-    )
-    centres = np.array([c for c in model.clusterCenters()], dtype=np.float64)
     spark = library.sparkSession
-    cdf = spark.createDataFrame(
-        [(i, [float(x) for x in c]) for i, c in enumerate(centres)], "_cell int, _cv array<double>"
-    )
-    # library cell = nearest centre by inner product (vectors are unit length)
-    lib_cells = _merge_topk(
-        _block_join_topk(
-            lib.select(F.col("_pos").alias("_lid"), F.col("_lv").alias("_qv")),
-            cdf.select(F.col("_cell").cast("bigint").alias("_pos"), F.col("_cv").alias("_lv")),
-            1,
-            "_lid",
-            max(1, math.ceil(lib.count() / block_rows)),
-            1,
-        ),
-        "_lid",
-        1,
-    ).select(F.col("_lid").alias("_pos"), F.col("pos").alias("_cell"))
-    q = queries.select(F.col(query_key), F.col(query_vec).alias("_qv"))
-    nq = q.count()
-    q_cells = _merge_topk(
-        _block_join_topk(q, cdf.select(F.col("_cell").cast("bigint").alias("_pos"), F.col("_cv").alias("_lv")), nprobe, query_key, max(1, math.ceil(nq / block_rows)), 1),
-        query_key,
-        nprobe,
-    ).select(query_key, F.col("pos").alias("_cell"))
-    lib_c = lib.join(lib_cells, "_pos")
+    lib = library.select(F.col(lib_pos).cast("bigint").alias("_pos"), F.col(lib_vec).alias("_lv"), array_to_vector(F.col(lib_vec).cast("array<double>")).alias("_f"))
+    qkey_type = dict(queries.dtypes)[query_key]
+    cells = n_cells or max(1, min(4096, math.isqrt(lib.count())))
+    fitted = None if lib.isEmpty() else KMeans(k=cells, seed=seed, maxIter=max_iter, featuresCol="_f", predictionCol="_cell").fit(lib)
+    if fitted is None:
+        none = spark.createDataFrame([], f"{query_key} {qkey_type}, pos bigint, sim double")
+        return _merge_topk(none, query_key, k).select(query_key, "rank", "pos", "sim")
+    # kept once in the shared folder: sizes, and the cells' vectors
+    lib_c = written(fitted.transform(lib).select("_cell", "_pos", "_lv"), "cells")
     sizes = lib_c.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
-    # split each cell into ceil(n / block_rows) sub-blocks; the size table has n_cells rows
-    lib_c = lib_c.join(F.broadcast(sizes), "_cell").withColumn(
-        "_sub", F.pmod(F.xxhash64("_pos"), F.ceil(F.col("_n") / F.lit(block_rows)))
-    )
-    qc = q.join(q_cells, query_key).join(F.broadcast(sizes), "_cell").withColumn(
-        "_sub", F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("_n") / F.lit(block_rows)) - 1))
-    )
-    qkey_type = dict(q.dtypes)[query_key]
+    filled = np.array(sorted(r[0] for r in sizes.select("_cell").collect()))  # a number per cell
+    centres = np.array(fitted.clusterCenters())[filled]
+    probes = min(nprobe, len(filled))
+
+    @F.arrow_udf("array<int>")
+    def nearest(vectors: pa.Array) -> pa.Array:
+        v = np.asarray(vectors.values, np.float64).reshape(len(vectors), -1) if len(vectors) else np.zeros((0, centres.shape[1]))
+        far = (centres**2).sum(1)[None, :] - 2 * v @ centres.T
+        best = np.argsort(far, axis=1, kind="stable")[:, :probes]
+        return pa.array(filled[best].tolist(), pa.list_(pa.int32()))
+
+    subs = F.ceil(F.col("_n") / F.lit(block_rows))
+    lib_c = lib_c.join(F.broadcast(sizes), "_cell").withColumn("_sub", F.pmod(F.xxhash64("_pos"), subs))
+    q = queries.select(F.col(query_key), F.col(query_vec).alias("_qv"))
+    qc = q.withColumn("_cell", F.explode(nearest("_qv"))).join(F.broadcast(sizes), "_cell")
+    qc = qc.withColumn("_sub", F.explode(F.sequence(F.lit(0).cast("bigint"), subs - 1)))
     fn = _block_topk_fn(k, query_key, _pandas_dtype(qkey_type))
     cands = (
         qc.select("_cell", "_sub", query_key, "_qv")

@@ -203,6 +203,13 @@ def knn_ann(spark, d):
     return r.select("qid", "rank", "pos", F.round("sim", 6).alias("sim"))
 
 
+@scenario("knn_ann_all_cells", _TOP1_SQL + "SELECT qid, pos, round(sim, 6) AS sim FROM top1")
+def knn_ann_all_cells(spark, d):
+    """Every cell probed: as exact as ``top1``."""
+    r = RT.knn_ann(derived_queries(spark, d), _library(spark, d), k=1, query_key="qid", n_cells=8, nprobe=8)
+    return r.select("qid", "pos", F.round("sim", 6).alias("sim"))
+
+
 def plan_documents(spark, d):
     """Planner-shaped text per conversation: the user turn is the request,
     each turn becomes an image layer whose prompt is the turn's text."""
