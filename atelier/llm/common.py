@@ -6,9 +6,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,13 +36,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession, what: str) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which all executors
     see.  Without that setting a cluster raises; a local session makes one."""
-    return f"{scratch_root(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    return f"{(_GROUP[-1] if _GROUP else scratch_root(spark)).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: later steps start
-    from files that survive a lost executor."""
-    path = shared_dir(df.sparkSession, what)
+#: Folders of the groups of written tables that are open.
+_GROUP: list[str] = []
+
+
+@contextmanager
+def short_lived(spark: SparkSession, what: str) -> Iterator[None]:
+    """Tables written inside go to a folder of their own, which goes at the
+    end: nothing that is used later may read them.  A file system that Arrow
+    can't open keeps the folder."""
+    folder = shared_dir(spark, what)
+    _GROUP.append(folder)
+    try:
+        yield
+    finally:
+        _GROUP.remove(folder)
+    with suppress(pa.ArrowInvalid, FileNotFoundError):
+        fs, path = pa.fs.FileSystem.from_uri(folder)
+        fs.delete_dir(path)
+
+
+def written(df: DataFrame, what: str, path: str | None = None) -> DataFrame:
+    """``df`` written to the shared folder (or to ``path``) and read again:
+    later steps start from files that survive a lost executor."""
+    path = path or shared_dir(df.sparkSession, what)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

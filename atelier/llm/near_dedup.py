@@ -386,5 +386,8 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     rows = C.written(docs.select(F.monotonically_increasing_id().alias("rid"), row.alias("row")), "rows")
     of = F.col(f"row.`{key}`")
     named = rows.select(F.struct(of.isNull().alias("none"), of.alias("id"), "rid").alias("key"), F.col(f"row.`{text}`").alias("text"))
-    kept = C.written(near_dedup(named, "key", "text", size, percent).filter("kept").select("key.rid"), "kept")
-    return rows.join(kept, "rid", "left_semi").select("row.*")
+    path = C.shared_dir(docs.sparkSession, "kept")
+    with C.short_lived(docs.sparkSession, "near_dedup"):
+        kept = C.written(near_dedup(named, "key", "text", size, percent).filter("kept").select("key.rid"), "kept", path)
+    # the same plan at every size
+    return rows.join(kept.hint("merge"), "rid", "left_semi").select("row.*")
