@@ -64,12 +64,14 @@ def _place_counts(docs: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray, np
     front of it if need be."""
     data = np.frombuffer(b"\n".join(docs) + b"\n", np.uint8)
     sums = C.Text(data, np.array([0, len(data)])).sums(C.BYTE_CODE)
-    gaps = np.concatenate([[0], np.cumsum((data == 32) | (data == 10))])
-    at = np.arange(max(len(data) - n + 1, 0))
+    gaps = np.zeros(len(data) + 1, np.int32)
+    np.cumsum((data == 32) | (data == 10), out=gaps[1:])
+    at = np.arange(max(len(data) - n + 1, 0), dtype=np.int32)
     at = at[(gaps[at + n] - gaps[at + 1] == 0) & (data[at] != 10)]
-    before = np.maximum(at - CONTEXT, 0)
-    _, place = np.unique(C.Text.hashes(sums, before, at + n), return_index=True)
+    del gaps
+    _, place = np.unique(C.Text.hashes(sums, np.maximum(at - CONTEXT, 0), at + n), return_index=True)
     at = at[place]
+    del place
     h, first, count = np.unique(C.Text.hashes(sums, at, at + n), return_index=True, return_counts=True)
     return h, at[first], count, data
 
