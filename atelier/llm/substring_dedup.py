@@ -4,7 +4,7 @@ A gear hash rolls over the bytes of a text; a chunk ends where the hash is
 greatest among its neighbours, so that cuts depend on the bytes nearby only
 and come back in step right after an insertion.  Chunks with equal digests in
 different documents are repeats; runs of them with enough words are repeated
-passages, of which the first document keeps its copy.
+passages, of which each chunk stays in the first document that holds it.
 """
 
 from __future__ import annotations
@@ -84,7 +84,12 @@ def chunks(text: pa.Array) -> list[pa.Array]:
 def repeated_passages(rows: DataFrame, rid: str = "rid", key: str = "key", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """Passages that other documents share: ``rid``, ``key``, ``start`` and
     ``end`` (code points, end exclusive), ``n_words``, and ``first``: whether
-    no chunk of it is in a document of a lesser (key, rid).
+    this document is the least by (key, rid) that holds its chunks.
+
+    A stretch of shared chunks counts if it has ``least_words``; it is given in
+    parts, one for each change of ``first``, and ``n_words`` is that of the
+    whole stretch.  So each chunk is first in one document only, and a common
+    line next to a passage doesn't change whose the passage is.
 
     ``rid`` is unique; null keys come first.  Null and empty texts have no
     passages.  Repeats within one document only don't count.  The count per
@@ -95,14 +100,15 @@ def repeated_passages(rows: DataFrame, rid: str = "rid", key: str = "key", text:
     made = C.written(made, "chunks")
     each = made.select("rid", "key", F.posexplode(F.arrays_zip("c.digest", "c.start", "c.end", "c.words")).alias("i", "x"))
     each = each.select("rid", "key", "i", "x.digest", "x.start", "x.end", "x.words")
-    holders = each.groupBy("digest").agg(F.min("rid").alias("a"), F.max("rid").alias("b"), F.min("key").alias("least_key"), F.count("*").alias("n"), F.count("key").alias("n_keys"))
-    shared = C.written(holders.filter("a < b").select("digest", F.when(F.col("n") > F.col("n_keys"), F.lit(None)).otherwise(F.col("least_key")).alias("least_key")), "shared")
-    found = each.join(shared, "digest").select("rid", "key", "i", "start", "end", "words", F.col("key").eqNullSafe(F.col("least_key")).alias("first"))
-    run = F.col("i") - F.row_number().over(Window.partitionBy("rid").orderBy("i"))
-    passages = found.withColumn("run", run).groupBy("rid", "run").agg(
-        F.first("key").alias("key"), F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("n_words"), F.min("first").alias("first")
+    holders = each.groupBy("digest").agg(F.min("rid").alias("a"), F.max("rid").alias("b"), F.min(F.struct("key", "rid"))["rid"].alias("least"))
+    shared = C.written(holders.filter("a < b").select("digest", "least"), "shared")
+    found = each.join(shared, "digest").select("rid", "key", "i", "start", "end", "words", (F.col("rid") == F.col("least")).alias("first"))
+    number = lambda *by: F.col("i") - F.row_number().over(Window.partitionBy(*by).orderBy("i"))  # noqa: E731  the same in consecutive chunks
+    parts = found.withColumn("run", number("rid")).withColumn("part", number("rid", "first")).groupBy("rid", "run", "first", "part").agg(
+        F.first("key").alias("key"), F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words")
     )
-    return passages.filter(F.col("n_words") >= least_words).drop("run")
+    passages = parts.withColumn("n_words", F.sum("words").over(Window.partitionBy("rid", "run")))
+    return passages.filter(F.col("n_words") >= least_words).select("rid", "key", "start", "end", "n_words", "first")
 
 
 def _without_spans(text: pa.Array, spans: pa.Array) -> pa.Array:
@@ -123,8 +129,8 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", ou
     """``docs`` without the later copies of repeated passages, and an array
     column ``out`` of the passages removed (start, end in the old text).
 
-    Every row stays; rows of equal keys all keep their copies of what is first
-    theirs.  A column named ``out`` is replaced.
+    Every row stays, and each shared chunk in the row of the least key, of
+    equal keys in the first row read.  A column named ``out`` is replaced.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = C.written(docs.select(F.monotonically_increasing_id().alias("rid"), row.alias("row")), "rows")

@@ -154,6 +154,36 @@ def test_later_copies_go(spark):
     assert out[3].text is None and out[4].text == ""
 
 
+def test_every_shared_chunk_stays_in_its_least_document(spark):
+    """Passages next to a line, in front or behind, that lesser documents hold."""
+    line, p, q = prose(20, 30), prose(21, 90), prose(22, 90)
+    own = [prose(200 + i, 40) for i in range(8)]
+    texts = [(3, f"{own[0]} {line} {own[1]}"), (5, f"{own[2]} {line} {p} {own[3]}"), (9, f"{line} {p} {q}"), (7, f"{own[4]} {q} {line} {p} {own[5]}"), (9, f"{own[6]} {p} {line} {own[7]} {q}"), (None, q)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    out = S.substring_dedup(docs.withColumn("n", F.monotonically_increasing_id())).collect()
+    got = sorted(out, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.n))
+    old = [texts[r.n][1] for r in got]
+    assert p in got[2].text and p not in got[3].text and got[0].text == q and got[1].text == old[1]
+    chunked = _rows(old)
+    holders = {}
+    for i, row in enumerate(chunked):
+        for x in row["digest"]:
+            holders.setdefault(x, set()).add(i)
+    for i, row in enumerate(chunked):
+        stretch = []
+        for k in range(len(row["digest"]) + 1):
+            if k < len(row["digest"]) and len(holders[row["digest"][k]]) > 1:
+                stretch.append(k)
+                continue
+            long = sum(row["words"][x] for x in stretch) >= S.LEAST_WORDS
+            for x in stretch:
+                gone = any(c.start <= row["start"][x] and row["end"][x] <= c.end for c in got[i].repeats)
+                assert gone == (long and min(holders[row["digest"][x]]) < i)
+            stretch = []
+        kept = "".join(old[i][s:e] for s, e in zip(row["start"], row["end"], strict=True) if not any(c.start <= s < c.end for c in got[i].repeats))
+        assert kept == got[i].text
+
+
 def test_passage_edges(spark):
     df = edge_table(spark, True)
     out = S.substring_dedup(df)
