@@ -1,8 +1,9 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
-Benchmark items are cut into probes.  An occurrence of a probe of length m
-with at most k edits shares at least m - q + 1 - kq character q-grams with it,
-all within k + 1 neighbouring diagonals.  So the q-grams that a document
+Benchmark items are cut into probes: whole, and as short parts that overlap,
+so that a beginning, middle or end is found too.  An occurrence of a probe of
+length m with at most k edits shares at least m - q + 1 - kq character q-grams
+with it, all within k + 1 neighbouring diagonals.  So the q-grams that a document
 shares with a probe are counted in overlapping diagonal bands, bands that
 reach the bound are kept, and a banded alignment confirms them.
 """
@@ -22,8 +23,12 @@ from atelier.llm import common as C
 #: Characters of a q-gram; edits per character of a probe; bytes of a probe at
 #: most, and of an item at least (a shorter one names no leak).
 Q, EDITS, PROBE, LEAST = 8, 0.1, 256, 24
-#: Half the width of a diagonal band; it is no less than any probe's edits.
-HALF = 32
+#: Bytes of a part: a third of its item, within these bounds.  A short item's
+#: parts have four fifths of it at most.
+PARTS = 48, 96
+#: Half the widths of diagonal bands: a probe has the least that is no less
+#: than its edits.
+HALVES = np.array([8, 16, 32])
 #: Bytes of normalised benchmark text that go to the executors at once.
 BLOCK_BYTES = 4 << 20
 _GAP = 64  # zero bytes between documents: more than any budget of edits
@@ -32,7 +37,7 @@ _U = np.uint64
 HITS = T.ArrayType(
     T.StructType(
         [T.StructField("item", T.LongType()), T.StructField("item_start", T.IntegerType()), T.StructField("length", T.IntegerType())]
-        + [T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("edits", T.IntegerType())]
+        + [T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("edits", T.IntegerType()), T.StructField("probes", T.IntegerType())]
     )
 )
 
@@ -61,33 +66,58 @@ def _grams(b: np.ndarray) -> np.ndarray:
     return g
 
 
+def _spans(n: int) -> list[tuple[int, int]]:
+    """The probes of an item of ``n`` bytes.  Pieces of at most PROBE bytes
+    tile it.  Parts lie half a part apart, or a quarter in an item too short
+    for a third of it to be a part: a stretch of half the item, of 60 bytes
+    at least and never over 144, holds one whole, and so does each end."""
+    cuts = np.linspace(0, n, -(-n // PROBE) + 1).astype(int).tolist()
+    part = max(LEAST, min(max(n // 3, PARTS[0]), PARTS[1], 4 * n // 5))
+    step = part // 2 if n >= 3 * PARTS[0] else part // 4
+    starts = [*range(0, n - part, step), n - part]
+    return list(dict.fromkeys([*zip(cuts[:-1], cuts[1:], strict=True), *((a, a + part) for a in starts)]))
+
+
 class _Index:
     """The q-grams of a block of items."""
 
     def __init__(self, items: list[tuple[int | None, str]]):
-        self.item, self.at, probes = [], [], []
+        self.item, self.at, self.owner, probes, whole = [], [], [], [], []
         for item, text in items:
             b = _folded(np.frombuffer(text.encode(), np.uint8))[0]
             b = np.frombuffer(b.tobytes().strip(), np.uint8)
             if len(b) < LEAST:
                 continue
-            cuts = np.linspace(0, len(b), -(-len(b) // PROBE) + 1).astype(int)
-            for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            for s, e in _spans(len(b)):
                 self.item.append(item)
-                self.at.append(int(s))
+                self.at.append(s)
+                self.owner.append(len(whole))
                 probes.append(b[s:e])
+            whole.append(b)
         self.n = len(probes)
         self.length = np.array([len(p) for p in probes], np.int64)
         self.budget = np.minimum((self.length * EDITS).astype(np.int64), np.maximum((self.length - Q) // Q, 0))
         self.least = self.length - Q + 1 - self.budget * Q
+        self.half = HALVES[np.searchsorted(HALVES, self.budget)]
         self.text = np.zeros((self.n, PROBE), np.uint8)
         for i, p in enumerate(probes):
             self.text[i, : len(p)] = p
-        gram = np.concatenate([_grams(p) for p in probes] or [np.zeros(0, _U)])
-        probe = np.repeat(np.arange(self.n), np.maximum(self.length - Q + 1, 0))
-        pos = np.concatenate([np.arange(len(p) - Q + 1) for p in probes] or [np.zeros(0, np.int64)])
+        # the q-grams of whole items, and the probes that hold each
+        gram = np.concatenate([_grams(b) for b in whole] or [np.zeros(0, _U)])
+        sizes = np.array([len(b) - Q + 1 for b in whole], np.int64)
+        base = np.cumsum(sizes) - sizes
+        self.of = np.repeat(np.arange(len(whole), dtype=np.int32), sizes)
+        self.place = (np.arange(len(gram)) - np.repeat(base, sizes)).astype(np.int32)
+        self.start = np.array(self.at, np.int64)
+        grams = np.maximum(self.length - Q + 1, 0)
+        held = np.repeat(base[self.owner] + self.start - (np.cumsum(grams) - grams), grams) + np.arange(grams.sum()) if self.n else np.zeros(0, np.int64)
+        self.holder = np.repeat(np.arange(self.n, dtype=np.int32), grams)[np.argsort(held, kind="stable")]
+        self.holders = np.bincount(held, minlength=len(gram))
+        self.holder_first = np.cumsum(self.holders) - self.holders
+        self.item_least = np.full(len(whole), PROBE, np.int64)
+        np.minimum.at(self.item_least, np.array(self.owner, np.int64), self.least)
         order = np.argsort(gram, kind="stable")
-        self.probe, self.pos = probe[order], pos[order]
+        self.entry = order.astype(np.int32)
         self.gram, self.first, self.many = np.unique(gram[order], return_index=True, return_counts=True)
         self.bits = max(16, int(np.ceil(np.log2(max(len(self.gram), 1)))) + 5)
         self.seen = np.zeros(1 << self.bits, bool)
@@ -96,6 +126,18 @@ class _Index:
     def _slot(self, g: np.ndarray) -> np.ndarray:
         return (g * _U(0x9E3779B97F4A7C15)) >> _U(64 - self.bits)
 
+    def _near(self, entry: np.ndarray, where: np.ndarray) -> np.ndarray:
+        """Which shared q-grams may be in a band of a probe that reaches its
+        bound: a band lies in three of the item's widest half bands.  They
+        are counted in a table where different ones may meet, which only adds."""
+        of = self.of[entry]
+        bits = max(10, int(len(entry)).bit_length() + 2)
+        slot = of * np.int64(0x9E3779B1) + (where - self.place[entry]) // HALVES[-1] & (1 << bits) - 1
+        count = np.bincount(slot, minlength=1 << bits)
+        three = count + np.roll(count, 1) + np.roll(count, -1)
+        most = np.maximum(three, np.maximum(np.roll(three, 1), np.roll(three, -1)))
+        return most[slot] >= self.item_least[of]
+
     def bands(self, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Probe and lower half band of every band that reaches its bound."""
         g = _grams(stream)
@@ -104,11 +146,17 @@ class _Index:
         real = self.gram[k] == g[where]
         where, k = where[real], k[real]
         many = self.many[k]
-        entry = np.repeat(self.first[k] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-        probe = self.probe[entry]
-        half = (np.repeat(where, many) - self.pos[entry]) // HALF
-        wide = len(stream) // HALF + 4
-        key, count = np.unique(probe * wide + half, return_counts=True)
+        entry = self.entry[np.repeat(self.first[k] - (np.cumsum(many) - many), many) + np.arange(many.sum())]
+        where = np.repeat(where, many)
+        near = self._near(entry, where)
+        entry, where = entry[near], where[near]
+        many = self.holders[entry]
+        probe = self.holder[np.repeat(self.holder_first[entry] - (np.cumsum(many) - many), many) + np.arange(many.sum())].astype(np.int64)
+        diagonal = np.repeat(where - self.place[entry], many) + self.start[probe]
+        real = diagonal >= 0  # what occurs starts behind a gap, wider than its edits
+        probe, diagonal = probe[real], diagonal[real]
+        wide = len(stream) // HALVES[0] + 4
+        key, count = np.unique(probe * wide + diagonal // self.half[probe] + 1, return_counts=True)
         # the q-grams of two neighbouring halves
         after = np.zeros(len(key), np.int64)
         after[:-1] = np.where(key[1:] == key[:-1] + 1, count[1:], 0)
@@ -117,17 +165,17 @@ class _Index:
         need = self.least[key // wide]
         low = np.concatenate([key[count + after >= need], key[count + before >= need] - 1])
         low = np.unique(low)
-        return low // wide, low % wide
+        return low // wide, low % wide - 1
 
     def align(self, stream: np.ndarray, probe: np.ndarray, half: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Least edits of each probe within its band, with start and end in
-        the stream; more than its budget where it was given up.  Cost and
-        start share a number, so that the least cost wins and among equals
-        the first start."""
-        k = HALF
-        width = 2 * HALF + 2 * k
+        """Least edits of each probe within its band, all of one width, with
+        start and end in the stream; more than its budget where it was given
+        up.  Cost and start share a number, so that the least cost wins and
+        among equals the first start."""
+        k = int(self.half[probe].max(initial=0))
+        width = 4 * k
         one = np.int64(1) << 32
-        lo = half * HALF - k
+        lo = half * k - k
         pad = 2 * PROBE + width
         padded = np.concatenate([np.zeros(pad, np.uint8), stream, np.zeros(pad, np.uint8)])
         col = np.arange(width)
@@ -163,9 +211,10 @@ class _Index:
         stream[new] = b
         probe, half = self.bands(stream)
         got = [[np.zeros(0, np.int64)] * 5]
-        for i in range(0, len(probe), 4096):
-            p = probe[i : i + 4096]
-            edits, s, e = self.align(stream, p, half[i : i + 4096])
+        groups = [np.flatnonzero(self.half[probe] == k) for k in HALVES]
+        for some in (g[i : i + 4096] for g in groups for i in range(0, len(g), 4096)):
+            p = probe[some]
+            edits, s, e = self.align(stream, p, half[some])
             ok = edits <= self.budget[p]
             p, edits, s, e = p[ok], edits[ok], s[ok], e[ok]
             s, e = np.searchsorted(new, s), np.searchsorted(new, e - 1)
@@ -181,6 +230,30 @@ class _Index:
         first[1:] = (r[1:] != r[:-1]) | (p[1:] != p[:-1]) | (e[1:] != e[:-1])
         return r[first], p[first], s[first], e[first], k[first]
 
+    def stretches(self, r: np.ndarray, p: np.ndarray, s: np.ndarray, e: np.ndarray, k: np.ndarray) -> list[tuple]:
+        """Row and hit of every stretch: probes of one item whose places in a
+        row overlap.  Its edits are those of probes that don't overlap, the
+        first and longest of them."""
+        found: list[tuple] = []
+        owner, at, length = (np.array(x, np.int64)[p] for x in (self.owner, self.at, self.length))
+        for i in np.lexsort((s, owner, r)):
+            one = (int(at[i]), -int(length[i]), int(k[i]), int(p[i]))
+            if found and found[-1][0] == (r[i], owner[i]) and s[i] < found[-1][2]:
+                found[-1][2] = max(found[-1][2], int(e[i]))
+                found[-1][3].append(one)
+            else:
+                found.append([(r[i], owner[i]), int(s[i]), int(e[i]), [one]])
+        out = []
+        for (row, _), start, end, probes in found:
+            probes.sort()
+            done = edits = 0
+            for a, n, cost, _ in probes:
+                if a >= done:
+                    done, edits = a - n, edits + cost
+            length = max(a - n for a, n, *_ in probes) - probes[0][0]
+            out.append((int(row), (self.item[probes[0][3]], probes[0][0], length, start, end, edits, len({x[3] for x in probes}))))
+        return out
+
 
 _INDEXES: dict[str, _Index] = {}
 
@@ -192,16 +265,13 @@ def _finder(spark, items: list[tuple[int | None, str]]) -> Column:
         if name not in _INDEXES:
             _INDEXES.clear()
             _INDEXES[name] = _Index(shared.value)
-        index, counts, parts = _INDEXES[name], [], []
+        index, counts, hits = _INDEXES[name], [], []
         for t in C.texts(text):
-            r, *rest = index.search(t) if index.n and len(t.data) else [np.zeros(0, np.int64)] * 5
-            counts.append(np.bincount(r, minlength=t.n))
-            parts.append(rest)
-        p, s, e, k = (np.concatenate(x).astype(np.int64) for x in zip(*parts, strict=True))
-        fields = [
-            pa.array([index.item[i] for i in p], pa.int64()), pa.array([index.at[i] for i in p], pa.int32()),
-            pa.array(index.length[p] if index.n else p, pa.int64()).cast(pa.int32()), pa.array(s), pa.array(e), pa.array(k).cast(pa.int32()),
-        ]
+            got = index.stretches(*index.search(t)) if index.n and len(t.data) else []
+            counts.append(np.bincount(np.array([r for r, _ in got], np.int64), minlength=t.n))
+            hits += [h for _, h in got]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        fields = [pa.array([h[i] for h in hits], kind) for i, kind in enumerate(kinds)]
         off = np.zeros(len(text) + 1, np.int32)
         np.cumsum(np.concatenate(counts)[: len(text)], out=off[1:])
         return [pa.ListArray.from_arrays(pa.array(off), pa.StructArray.from_arrays(fields, names=[f.name for f in HITS.elementType.fields]))]
@@ -224,9 +294,10 @@ def _blocks(benchmark: DataFrame, item: str, text: str):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", out: str = "hits") -> DataFrame:
-    """``docs`` with an array column ``out`` of the benchmark probes found:
-    item, where the probe starts in the normalised item and its length, start
-    and end in the document (code points, end exclusive) and edits.
+    """``docs`` with an array column ``out`` of the stretches of benchmark
+    items found: item, where the stretch starts in the normalised item and its
+    length, start and end in the document (code points, end exclusive), edits
+    (of probes that don't overlap) and how many of the item's probes it holds.
 
     Every row stays; a column named ``out`` is replaced.  Case, and runs of
     ASCII characters that are neither letters nor digits, don't count.  Null

@@ -19,7 +19,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_item = "aggregate(filter(hits, h -> h.item <=> item), cast(null as bigint), (a, h) -> coalesce({f}(a, h.{c}), h.{c}))"
     return found.filter("size(hits) > 0").selectExpr("doc_id", "hits", "explode(array_distinct(hits.item)) as item").selectExpr(
         "doc_id", "item as item_id", per_item.format(f="least", c="start") + " as start", per_item.format(f="greatest", c="end") + " as end",
-        "cast(size(filter(hits, h -> h.item <=> item)) as bigint) as n_probes",
+        "aggregate(filter(hits, h -> h.item <=> item), 0L, (a, h) -> a + h.probes) as n_probes",
         "aggregate(filter(hits, h -> h.item <=> item), 0L, (a, h) -> a + h.edits) as edits",
     )
 

@@ -98,6 +98,37 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     assert none.count() == len(EDGES) and none.filter(F.size("hits") > 0).count() == 0
 
 
+def test_a_text_that_starts_inside_an_item():
+    """Its q-grams lie on diagonals in front of the stream."""
+    item = prose(77, 40)
+    index = D._Index([(1, item)])
+    for n in (20, 100, 150, len(item)):
+        row, *_ = index.search(next(C.texts(pa.array([item[-n:], prose(78, 3000)]), 1 << 22)))
+        assert set(row.tolist()) == ({0} if n >= 100 else set())
+
+
+def test_beginnings_middles_and_ends_of_items_are_found(spark):
+    """Parts of short and long items in clean documents, and across the cuts."""
+    items = [(n, prose(900 + n, n)) for n in (8, 12, 16, 20, 30, 40, 60, 90, 200)]
+    rows = []
+    for n, text in items:
+        b = len(text)
+        parts = {(0, b * 4 // 5), (b // 5, b)}
+        if b >= 100:
+            parts |= {(b // 5, b * 4 // 5)}
+        if b >= 120:
+            parts |= {(0, b // 2), (b // 4, b * 3 // 4), (b // 2, b)}
+        if b > 300:
+            parts |= {(c - 80, c + 80) for c in range(80, b - 80, 45)}
+        rows += [(len(rows) + k, n, f"{prose(5000 + len(rows) + k, 40)} {text[s:e]} {prose(7000 + len(rows) + k, 40)}") for k, (s, e) in enumerate(sorted(parts))]
+    rows += [(len(rows) + k, -1, prose(9000 + k, 150)) for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, item long, text string")
+    for r in D.decontaminate(docs, spark.createDataFrame(items, "item_id long, text string")).collect():
+        assert {h.item for h in r.hits} == ({r.item} if r.item > 0 else set()), r.doc_id
+        for h in r.hits:
+            assert h.probes >= 1 and r.text[h.start : h.end] and h.length >= D.LEAST
+
+
 # ------------------------------------------------------------ repeated passages
 
 
