@@ -112,6 +112,28 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grade_quality(docs, rated, counts=counts).select("doc_id", "quality.expected", "quality.tail", "quality.grade", "quality.selected")
 
 
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the text that they decode to."""
+    import public_tokenizers
+
+    from atelier.llm.bpe import bpe_round_trip
+
+    made = bpe_round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return made.selectExpr("doc_id", "bpe.n_tokens", "sha2(bpe.ids, 256) as ids_sha256", "sha2(cast(bpe.decoded as binary), 256) as decoded_sha256")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups, links and pair counts of two tokenizers for every document."""
+    import public_tokenizers
+    from pyspark.sql import functions as F
+
+    from atelier.llm.alignment import align_tokenizers
+
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups"), 256))
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return align_tokenizers(table(spark, sf_dir, "documents"), *paths, keep={"groups_sha256": digest})[0]
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in sorted(globals().items()) if name.startswith("op") and name[2:3].isdigit()}
 
