@@ -112,6 +112,13 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grade_quality(docs, rated, counts=counts).select("doc_id", "quality.expected", "quality.tail", "quality.grade", "quality.selected")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each filter removes per part, order of the five filters and step."""
+    from atelier.llm.filter_audit import filter_masks, interaction_audit
+
+    return interaction_audit(filter_masks(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
+
+
 def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the text that they decode to."""
     import public_tokenizers
@@ -155,7 +162,38 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN m USING (doc_id)
 """
 
 
+#: Masks of the failed filters, then every order of the five.
+_AUDIT_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+m AS (
+  SELECT doc_id, part, (len(ws) < 200)::INT + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::INT
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > least, false)::INT AS mask FROM w),
+f AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+c AS (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM m LEFT JOIN f USING (doc_id) GROUP BY part, mask),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS b),
+o AS (
+  SELECT p.x || q.x || r.x || s.x || t.x AS filter_order, [p.b, q.b, r.b, s.b, t.b] AS bits FROM l p, l q, l r, l s, l t
+  WHERE p.b + q.b + r.b + s.b + t.b = 31 AND (p.b | q.b | r.b | s.b | t.b) = 31),
+k AS (
+  SELECT filter_order, step::INT AS step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+  FROM o, range(1, 6) AS steps(step))
+SELECT part, filter_order, step,
+  coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0)::BIGINT AS kept,
+  coalesce(sum(n) FILTER (mask & bit > 0 AND mask & before = 0), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (mask & bit > 0 AND mask & before > 0), 0)::BIGINT AS redundant,
+  coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+  coalesce(sum(good) FILTER (mask & bit > 0 AND mask & before = 0), 0)::BIGINT AS good_lost,
+  coalesce(sum(toxic) FILTER (mask & bit > 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost,
+  coalesce(sum(n * (120 // greatest(bit_count(mask), 1))) FILTER (mask & bit > 0), 0)::BIGINT AS shapley
+FROM c, k GROUP BY part, filter_order, step
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the query that it can express on whole tables; tests hold the
     others against brute force, round trips or held-out rows."""
-    return {"op10_near_dedup": _NEAR_SQL}
+    return {"op10_near_dedup": _NEAR_SQL, "op11_filter_audit": _AUDIT_SQL}
