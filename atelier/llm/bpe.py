@@ -27,8 +27,9 @@ from pyspark.sql import types as T
 
 from atelier.llm import common as C
 
-#: Bytes of text that are encoded at once.
-SLICE = 4 << 20
+#: Bytes of text that are encoded at once, and ids that are decoded at once.
+IDS = 1 << 20
+SLICE = 2 << 20
 LETTER, NUMBER, SPACE, OTHER = range(4)
 #: Ends that the split pattern cuts off behind an apostrophe.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -46,8 +47,12 @@ def byte_chars() -> list[str]:
 
 def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The indexes ``starts[i] ... starts[i] + counts[i] - 1`` of all i in a row."""
-    before = np.cumsum(counts) - counts
-    return np.repeat(starts - before, counts) + np.arange(int(counts.sum()))
+    end = np.cumsum(counts)
+    total = int(end[-1]) if len(end) else 0
+    kind = np.int32 if total + int(starts.max(initial=0)) < 2**31 else np.int64
+    out = np.repeat((starts - (end - counts)).astype(kind), counts)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 class Automaton:
@@ -308,7 +313,7 @@ class ByteBpe:
         # offset table of the ids' bytes
         bytes_of = {i: bytes(byte_of[c] for c in t) for t, i in model["vocab"].items()} | {i: t.encode() for t, i in self.special.items()}
         ordered = [bytes_of.get(i, b"") for i in range(max(bytes_of) + 1)]
-        self.size = np.array([len(b) for b in ordered], np.int64)
+        self.size = np.array([len(b) for b in ordered], np.int32)
         self.offset = np.cumsum(self.size) - self.size
         self.blob = np.frombuffer(b"".join(ordered), np.uint8)
         self.classes = char_classes(Tokenizer.from_file(path).pre_tokenizer)
@@ -413,7 +418,8 @@ class ByteBpe:
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of the ids, and how many each has; unknown ids have none."""
         known = ids < len(self.size)
-        ids = ids.astype(np.int64) if known.all() else np.where(known, ids, 0).astype(np.int64)
+        if not known.all():
+            ids = np.where(known, ids, 0)
         size = self.size[ids] * known
         return self.blob[ragged(self.offset[ids], size)], size
 
@@ -482,8 +488,10 @@ def decode_column(path: str, ids: Column) -> Column:
         off = np.frombuffer(filled.buffers()[1], np.int64)[filled.offset : filled.offset + len(filled) + 1] if len(filled) else np.zeros(1, np.int64)
         raw = filled.buffers()[2]
         flat = np.frombuffer(raw, "<u4", int(off[-1] - off[0]) // 4, int(off[0])) if raw is not None and raw.size else np.zeros(0, "<u4")
-        data, size = tokenizer(path).decode(flat)
-        total = np.concatenate([[0], np.cumsum(size)])
+        parts = [tokenizer(path).decode(flat[i : i + IDS]) for i in range(0, len(flat), IDS)]
+        data = np.concatenate([np.zeros(0, np.uint8), *[d for d, _ in parts]])
+        total = np.concatenate([[0], *[n for _, n in parts]], dtype=np.int64).cumsum()
+        del parts
         out = binaries(data, np.diff(total[(off - off[0]) // 4]))
         try:
             out = out.cast(pa.large_string())
@@ -501,7 +509,7 @@ def bpe_round_trip(docs: DataFrame, path: str, text: str = "text", out: str = "b
     ``path`` names a tokenizer file on every machine.  Null texts count as
     empty: no ids, empty text.  Rows are independent: ties, repeated rows and
     null keys have their own results, an empty table gives none; a column named
-    as ``out`` is replaced.  No row is shuffled; a task holds a slice of 4 MiB
+    as ``out`` is replaced.  No row is shuffled; a task holds a slice of 2 MiB
     of text at a time, or a longer text in pieces, besides its Arrow batch.
     """
     made = C.with_struct(docs, out, encode_column(path, F.col(f"`{text}`"), special))
