@@ -17,12 +17,14 @@ Layout, all little-endian:
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from urllib.parse import quote
 
 import numpy as np
@@ -34,25 +36,51 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from atelier.llm import common as C
+from atelier.llm.bpe import Merges, byte_chars, ragged
 
 INDEX, SEEK, FOOT = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 FRAME_IDS = 1 << 20
-#: Words whose ids a worker keeps, and the bytes of the longest such word.
-KEPT_WORDS, KEPT_BYTES = 1_500_000, 32
-#: Words of letters that are encoded as one text.
-RUN = 200
-#: ASCII punctuation that ends a word; not the apostrophe, which starts tokens such as 's.
-ENDS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Bytes of text that are encoded at once, and of a shard's texts at most (a longer text apart).
+SLICE, SHARD_BYTES = 4 << 20, 512 << 20
+#: Words of letters that are encoded as one text, and bytes that are read at once.
+RUN, READ_BYTES = 200, 8 << 20
 LEVEL = 3
+#: Endings that the tokenizer's split pattern cuts off behind an apostrophe.
+CONTRACTIONS = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+
+
+#: Code points below this are handled here: two bytes at most, and nothing composes among them.
+SIMPLE = 0x280
+LETTER, DIGIT, OTHER, ODD = range(4)
+
+
+def _simple_chars(tokenizer) -> tuple[np.ndarray, np.ndarray]:
+    """Kind and folded form of the code points below ``SIMPLE``, as the
+    tokenizer's normalizer and pattern have them; odd are those that fold to
+    another length or to white space."""
+    kind, low = np.full(SIMPLE, OTHER, np.uint8), np.arange(SIMPLE)
+    for c in range(SIMPLE):
+        n = tokenizer.normalizer.normalize_str(chr(c))
+        if len(n) != 1 or (ord(n) < 128) != (c < 128) or ord(n) >= SIMPLE:
+            kind[c] = ODD
+            continue
+        low[c] = ord(n)
+        behind = [[end for _, (_, end) in tokenizer.pre_tokenizer.pre_tokenize_str(mark + n)] for mark in "a!"]
+        kind[c] = LETTER if behind[0] == [2] else ODD if behind[0] == [1] else OTHER if behind[1] == [2] else DIGIT
+    return kind, low
 
 
 class WordEncoder:
-    """Encodes texts word by word with a tokenizer that drops white space.
+    """Encodes texts word by word with a BPE of word ends whose tokenizer
+    folds case and drops white space.
 
     As neither its normalizer nor its split joins anything across ASCII white
-    space, a text's ids are those of its words one after the other.  ASCII
-    capitals are folded first, as the tokenizer folds them anyway, unless the
-    text may hold a special token's string.
+    space, a text's ids are those of its words one after the other, and each
+    distinct word of a slice is encoded once: those in Latin letters by the
+    merges, a word's last symbol being another than the same one inside; the
+    others by the tokenizer.  So are whole texts that may hold a special token's string.
     """
 
     def __init__(self, path: str):
@@ -60,58 +88,134 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab()
-        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word of letters
-        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-
-    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        end, chars = model["end_of_word_suffix"], byte_chars()
+        written = [*chars, *(c + end for c in chars)]
+        number = {t: i for i, t in enumerate(written)}
+        pieces, pairs = [chr(i) for i in range(512)], []
+        for left, right in (m.split(" ") if isinstance(m, str) else m for m in model["merges"]):
+            pairs.append((number[left], number[right]))
+            number[left + right] = len(pieces)
+            pieces.append(pieces[number[left]] + pieces[number[right]])
+            written.append(left + right)
+        self.merges = Merges(512, pieces, pairs)
+        self.id_of = np.array([model["vocab"][t] for t in written], np.uint32)
+        self.last = np.zeros(max(model["vocab"].values()) + 1, bool)  # ids that end a word of letters
+        self.last[[i for t, i in model["vocab"].items() if t.endswith(end)]] = True
+        self.kinds, self.low = _simple_chars(self.tokenizer)
+
+    def _pieces(self, char: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Where the pieces of words begin: letters, single digits, and others,
+        with contractions cut off.  ``first``: where words begin."""
+        n, kind = len(char), self.kinds[char]
+        head = np.zeros(n + 3, bool)
+        head[first] = head[n:] = True
+        start = head[:n] | (kind == DIGIT)
+        start[1:] |= kind[1:] != kind[:-1]
+        quote = np.flatnonzero((char == 39) & start)
+        for end in CONTRACTIONS:
+            hit = quote
+            for k, c in enumerate(end, 1):
+                hit = hit[~head[hit + k]]
+                hit = hit[char[hit + k] == c]
+            start[hit + 1] = False
+            after = hit + 1 + len(end)
+            start[after[after < n]] = True
+        return np.flatnonzero(start)
+
+    def _odd(self, data: np.ndarray) -> np.ndarray:
+        """Bytes that begin a code point which is not handled here."""
+        odd = data >= 0xC0 | SIMPLE >> 6
+        two = np.flatnonzero((data >= 0xC2) & ~odd)
+        odd[two] = self.kinds[(data[two] & 0x1F).astype(np.int64) << 6 | data[two + 1] & 0x3F] == ODD
+        return odd
+
+    def _simple(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of words without odd code points and how many each has."""
+        place = np.flatnonzero((data & 0xC0) != 0x80)
+        char = self.low[np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4")]
+        two = char >= 128
+        data[place[~two]] = char[~two]
+        data[place[two]], data[place[two] + 1] = 0xC0 | char[two] >> 6, 0x80 | char[two] & 0x3F
+        start = place[self._pieces(char, np.searchsorted(place, off[:-1]))]
+        end = np.append(start[1:], len(data))
+        symbols = data.astype(np.uint16)
+        symbols[end - 1] += 256
+        text = C.Text(data, np.array([0, len(data)]))
+        _, one, which = np.unique(text.hashes(text.sums(C.BYTE_CODE), start, end), return_index=True, return_inverse=True)
+        size = (end - start)[one]
+        numbers, n = self.merges.encode(symbols[ragged(start[one], size)], np.concatenate([[0], np.cumsum(size)]))
+        counts = n[which]
+        total = np.concatenate([[0], np.cumsum(counts)])
+        return self.id_of[numbers][ragged((np.cumsum(n) - n)[which], counts)], np.diff(total[np.searchsorted(start, off)])
+
+    def _others(self, words: list[str]) -> list[np.ndarray]:
         """Words of letters are mostly one piece each to the tokenizer; they
         are encoded in runs, which the last ids of the pieces cut again if
         there is one for each word.  Others are encoded one by one."""
-        made = {}
-        letters = [w for w in words if w.decode().isalpha()]
-        for i in range(0, len(letters), RUN):
-            run = letters[i : i + RUN]
-            ids = np.array(self.tokenizer.encode(b" ".join(run).decode(), add_special_tokens=False).ids, "<u4")
+        out: list = [None] * len(words)
+        letters = [i for i, w in enumerate(words) if w.isalpha()]
+        for k in range(0, len(letters), RUN):
+            run = letters[k : k + RUN]
+            ids = np.array(self.tokenizer.encode(" ".join(words[i] for i in run), add_special_tokens=False).ids, "<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(run):
-                continue
-            raw, at = ids.tobytes(), 0
-            for w, end in zip(run, (4 * ends).tolist(), strict=True):
-                made[w] = raw[at:end]
-                at = end
-        others = [w for w in words if w not in made]
-        for w, e in zip(others, self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False), strict=True):
-            made[w] = array("I", e.ids).tobytes()
-        return made
-
-    def _ids(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """The ids of words that aren't kept yet.  A word of an ASCII letter or
-        digit and punctuation after it is two words to the tokenizer, so that
-        its ends are looked up apart."""
-        parts = {}
-        for w in words:
-            stem = w.rstrip(ENDS)
-            apart = len(stem) < len(w) and stem and stem[-1] < 128 and stem[-1:].isalnum() and b"<|" not in w
-            parts[w] = (stem, w[len(stem) :]) if apart else (w,)
-        made = self._encode(list({p for x in parts.values() for p in x if p not in self.known}))
-        return made | {w: b"".join([made[p] if p in made else self.known[p] for p in x]) for w, x in parts.items()}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+            if len(ends) == len(run):
+                for i, made in zip(run, np.split(ids, ends[:-1]), strict=True):
+                    out[i] = made
+        rest = [i for i, made in enumerate(out) if made is None]
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False), strict=True):
+            out[i] = np.array(e.ids, "<u4")
+        return out
+
+    def _words(self, data: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of words of case-folded text and how many each has."""
+        text = C.Text(data, np.array([0, len(data)]))
+        _, one, which = np.unique(text.hashes(text.sums(C.BYTE_CODE), s, e), return_index=True, return_inverse=True)
+        s1, size = s[one], (e - s)[one]
+        if not np.array_equal(size[which], e - s) or not np.array_equal(data[ragged(s1[which], size[which])], data[ragged(s, e - s)]):  # two words of one hash
+            made = self._others([data[i:j].tobytes().decode() for i, j in zip(s.tolist(), e.tolist(), strict=True)])
+            return np.concatenate(made), np.array([len(m) for m in made])
+        odd = np.concatenate([[0], np.cumsum(self._odd(data))])
+        plain = odd[s1 + size] == odd[s1]
+        ids, n = [np.zeros(0, np.uint32)], np.zeros(len(one), np.int64)
+        p, q = np.flatnonzero(plain), np.flatnonzero(~plain)
+        if len(p):
+            flat, n[p] = self._simple(data[ragged(s1[p], size[p])], np.concatenate([[0], np.cumsum(size[p])]))
+            ids.append(flat)
+        made = self._others([data[s1[i] : s1[i] + size[i]].tobytes().decode() for i in q])
+        ids += made
+        n[q] = [len(m) for m in made]
+        at = np.empty(len(one), np.int64)
+        order = np.concatenate([p, q])
+        at[order] = np.cumsum(n[order]) - n[order]
+        return np.concatenate(ids)[ragged(at[which], n[which])], n[which]
+
+    def encode(self, column: pa.Array) -> Iterator[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
-        split = []
-        for t in texts:
-            raw = t.encode()
-            split.append((raw if b"<|" in raw else raw.lower()).split())
-        # the batch's words in a small table of their own: what is kept is looked up once for each
-        words = set().union(*split)
-        here = dict(zip(words, map(self.known.get, words), strict=True))
-        fresh = self._ids([w for w, ids in here.items() if ids is None])
-        here.update(fresh)
-        if len(self.known) < KEPT_WORDS:
-            self.known.update((w, ids) for w, ids in fresh.items() if len(w) <= KEPT_BYTES)
-        return [b"".join(map(here.__getitem__, words)) for words in split]
+        for view in C.texts(column, SLICE):
+            if not view.n:
+                continue
+            raw, off = view.data.tobytes(), view.off.tolist()
+            s, e, row = view.words()
+            own = [i for i in range(view.n) if raw.find(b"<|", off[i], off[i + 1]) >= 0] if b"<|" in raw else []
+            if own:
+                keep = ~np.isin(row, own)
+                s, e, row = s[keep], e[keep], row[keep]
+            ids, n = self._words(_FOLD[view.data], s, e) if len(s) else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+            flat = ids.astype("<u4").tobytes()
+            stop = (4 * np.cumsum(np.bincount(row, n, view.n).astype(np.int64))).tolist()
+            special = dict(zip(own, self.tokenizer.encode_batch_fast([raw[off[i] : off[i + 1]].decode() for i in own], add_special_tokens=False), strict=True))
+            at = 0
+            for i, to in enumerate(stop):
+                yield np.array(special[i].ids, "<u4").tobytes() if i in special else flat[at:to]
+                at = to
+
+
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """The tables of a tokenizer file, made once in a worker."""
+    return WordEncoder(path)
 
 
 def _open(path: str) -> tuple[pa.fs.FileSystem, str]:
@@ -180,19 +284,29 @@ class ShardReader:
 
     def document(self, i: int) -> bytes:
         """The ids of the shard's i-th document; raises if a checksum fails."""
+        return next(self.documents(i, i + 1))
+
+    def documents(self, start: int, stop: int) -> Iterator[bytes]:
+        """The ids of consecutive documents, read in ranges of ``READ_BYTES``
+        or of one longer document."""
+        while start < stop:
+            low = int(self.where[self.first[start]])
+            end = self.where[self.first[start + 1 : stop + 1]]
+            some = max(1, int(np.searchsorted(end, low + READ_BYTES, "right")))
+            held = memoryview(self._at(low, int(end[some - 1]) - low))
+            for i in range(start, start + some):
+                parts = [self._frame(k, held[int(self.where[k]) - low : int(self.where[k + 1]) - low]) for k in range(int(self.first[i]), int(self.first[i + 1]))]
+                yield parts[0] if len(parts) == 1 else b"".join(parts)
+            start += some
+
+    def _frame(self, k: int, raw: memoryview) -> bytes:
         import xxhash
 
-        out = []
-        for k in range(int(self.first[i]), int(self.first[i + 1])):
-            size, plain, check = (int(x) for x in self.seek[k])
-            part = self.unzip.decompress(self._at(int(self.where[k]), size), max_output_size=plain) if plain else b""
-            if len(part) != plain or xxhash.xxh64_intdigest(part) & 0xFFFFFFFF != check:
-                raise ValueError(f"{self.path}: frame {k} is damaged")
-            out.append(part)
-        return out[0] if len(out) == 1 else b"".join(out)
-
-
-_ENCODERS: dict[str, WordEncoder] = {}
+        _, plain, check = (int(x) for x in self.seek[k])
+        part = self.unzip.decompress(raw, max_output_size=plain) if plain else b""
+        if len(part) != plain or xxhash.xxh64_intdigest(part) & 0xFFFFFFFF != check:
+            raise ValueError(f"{self.path}: frame {k} is damaged")
+        return part
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = 1, shards: int | None = None) -> DataFrame:
@@ -203,28 +317,28 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key: str = "
     machine) without special tokens, then ``end_id``.  Null text counts as
     empty; null keys come first; rows of one key are ordered by their text's
     hash and may share out over shards, so that a hot key is no hot shard.
+    There are as many shards as shuffle partitions, or more if these would hold
+    over ``SHARD_BYTES`` of text on average.
     The manifest names only files of tasks that succeeded: what a lost or
     repeated task leaves behind is never read.  An empty table gives an empty
     manifest.
     """
-    n = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("h", F.xxhash64("text")).repartitionByRange(n, F.col("key").asc_nulls_first(), "h").sortWithinPartitions(F.col("key").asc_nulls_first(), "h")
+    if not shards:
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
+    rows = rows.withColumn("h", F.xxhash64("text")).repartitionByRange(shards, F.col("key").asc_nulls_first(), "h").sortWithinPartitions(F.col("key").asc_nulls_first(), "h")
     end = struct.pack("<I", end_id)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, writer = TaskContext.get().partitionId(), None
         path = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.zst"
-        if tokenizer not in _ENCODERS:
-            _ENCODERS[tokenizer] = WordEncoder(tokenizer)
-        encoder, count = _ENCODERS[tokenizer], 0
+        encoder, count = word_encoder(tokenizer), 0
         for batch in batches:
-            for i in range(0, batch.num_rows, 200):
-                part = batch.slice(i, 200)
+            for k, ids in zip(batch["key"].to_pylist(), encoder.encode(batch["text"]), strict=True):
                 writer = writer or ShardWriter(path)
-                for k, ids in zip(part["key"].to_pylist(), encoder.encode(part["text"].to_pylist()), strict=True):
-                    writer.add(k, ids + end)
-                    count += 1
+                writer.add(k, ids + end)
+                count += 1
         if writer:
             writer.close()
             yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [path], "docs": [count], "ids": [writer.ids]}, pa.schema([("shard", pa.int64()), ("path", pa.string()), ("docs", pa.int64()), ("ids", pa.int64())]))
@@ -235,7 +349,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key: str = "
 def read_token_files(manifest: DataFrame, key: str = "doc_id", keep_ids: bool = False) -> DataFrame:
     """Every document of the files: ``key``, ``start`` (ids of all documents
     before it), ``n_tokens``, ``ids_crc32`` (of the little-endian unsigned
-    32-bit ids) and, with ``keep_ids``, the ``ids``.  Checksums are verified.
+    32-bit ids) and, with ``keep_ids``, the ``ids``.  Checksums are verified;
+    a damaged file raises.  Null keys come back as null, repeated rows each
+    have their own, an empty text has its end id alone; an empty manifest gives
+    no rows.
     """
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
     files = C.written(manifest.select("path", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base")), "shards")
@@ -250,8 +367,7 @@ def read_token_files(manifest: DataFrame, key: str = "doc_id", keep_ids: bool =
                 for lo in range(0, len(shard.keys), 500):
                     hi = min(lo + 500, len(shard.keys))
                     cols: list[list] = [[] for _ in fields]
-                    for i in range(lo, hi):
-                        raw = shard.document(i)
+                    for i, raw in enumerate(shard.documents(lo, hi), lo):
                         values = (None if shard.nulls[i] else int(shard.keys[i]), start, len(raw) // 4, zlib.crc32(raw), np.frombuffer(raw, "<u4").astype(np.int64))
                         for c, v in zip(cols, values, strict=False):
                             c.append(v)
