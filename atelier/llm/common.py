@@ -79,17 +79,19 @@ def with_struct(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in keep], value.alias(name))
 
 
-def join_small(big: DataFrame, small: DataFrame, key: str, n_small: int, how: str = "inner", salt: int = 32) -> DataFrame:
+def join_small(big: DataFrame, small: DataFrame, key: str, n_small: int, by: list[str], how: str = "inner", salt: int = 32) -> DataFrame:
     """Join a table to one with a row per key.
 
     ``n_small`` is the counted size of ``small``: it is broadcast up to
     ``SMALL_ROWS`` rows.  Beyond that both sides are dealt by (key, salt), each
     small row repeated ``salt`` times, so that a hot key spreads over tasks.
+    The salt is a hash of the columns ``by``, so a task that runs again deals
+    its rows as before.
     """
     if n_small <= SMALL_ROWS:
         return big.join(F.broadcast(small), key, how)
     salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    return big.withColumn("_salt", F.floor(F.rand(11) * salt).cast("int")).join(salted, [key, "_salt"], how).drop("_salt")
+    return big.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(salt)).cast("int")).join(salted, [key, "_salt"], how).drop("_salt")
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, label: str, classes: list[int], most: int) -> tuple[DataFrame, dict[int, int]]:
@@ -109,6 +111,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, label: str, cl
     return written(docs.join(F.broadcast(some), key), "labelled"), counts
 
 
+def numbered(df: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """``df`` with its rows' places 0, 1, 2, ... in an order that leaves no
+    ties, by a range partitioning: what is broadcast is a count per partition."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    dealt = written(dealt, "numbered")
+    part = F.shiftright("_at", 33)
+    sizes = dealt.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    sizes = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return dealt.withColumn("_part", part).join(F.broadcast(sizes), "_part").withColumn(out, F.col("_before") + F.col("_at") - F.shiftleft(F.col("_part"), 33)).drop("_part", "_at", "_before")
+
+
 def running_totals(df: DataFrame, group: str, order: str, value: str, out: str, block: int = 1000) -> DataFrame:
     """Exclusive running total of ``value`` by ``order`` (0, 1, 2, ... within
     the group), in two levels so that no task holds more than one block of a
@@ -161,22 +177,22 @@ LOWER_CODE = BYTE_CODE.copy()
 LOWER_CODE[65:91] = BYTE_CODE[97:123]
 
 _BASE = 0x9E3779B97F4A7C15
-_POW = np.ones(1, np.uint64)
-_INV = np.ones(1, np.uint64)
+#: Powers are products of one of the first 2^16 and one of every 2^16th.
+_STEP = 1 << 16
+
+
+def _run(base: int, n: int) -> np.ndarray:
+    steps = np.full(n, base, np.uint64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
+_LOW = _run(_BASE, _STEP)
+_LOW_INVERSE = _run(pow(_BASE, -1, 2**64), _STEP)
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base modulo 2^64 and their inverses."""
-    global _POW, _INV
-    if len(_POW) < n:
-        size = max(n, 1 << 16)
-        made = []
-        for base in (_BASE, pow(_BASE, -1, 2**64)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            made.append(np.multiply.accumulate(steps))
-        _POW, _INV = made
-    return _POW, _INV
+def _high(n: int, base: int) -> np.ndarray:
+    return _run(pow(base, _STEP, 2**64), n // _STEP + 1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -213,16 +229,17 @@ class Text:
 
     def sums(self, code: np.ndarray) -> np.ndarray:
         """Running sums from which ``hashes`` takes the hash of any span."""
-        power, _ = _powers(len(self.data) + 1)
         c = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(code[self.data] * power[: len(self.data)], out=c[1:])
-        return c
+        for k, power in enumerate(_high(len(self.data), _BASE)):
+            part = self.data[k * _STEP : (k + 1) * _STEP]
+            np.multiply(code[part], _LOW[: len(part)] * power, out=c[1 + k * _STEP : 1 + k * _STEP + len(part)])
+        return np.cumsum(c, out=c)
 
     @staticmethod
     def hashes(sums: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
         """64-bit hash of the bytes of each span."""
-        _, inverse = _powers(len(sums))
-        return mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        inverse = _LOW_INVERSE[s % _STEP] * _high(len(sums), pow(_BASE, -1, 2**64))[s // _STEP]
+        return mix((sums[e] - sums[s]) * inverse + (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
     def row_sums(self, weight: np.ndarray) -> np.ndarray:
         """Sum of a value per byte over each row."""

@@ -2,9 +2,12 @@
 
 The words of each source are packed, document after document, into blocks of
 fixed length.  Every output shard draws multinomial counts of its slots over
-the sources; a source's slots, numbered over all shards, map to its blocks by
-a pseudorandom permutation of the block numbers, another one for each pass
-over the source; slots and blocks are joined by that number.
+the sources.  A source that has met its quota takes no more of what later
+shards draw, and the slots that these have left go to the sources that are
+still short, in order.  A source's slots, numbered over the shards, map to its
+blocks by a pseudorandom permutation of the block numbers, another one for each
+pass over the source; slots and blocks are joined by that number.  Within a
+shard the slots are permuted too.
 """
 
 from __future__ import annotations
@@ -22,8 +25,8 @@ from pyspark.sql.window import Window
 from atelier.llm import common as C
 
 BLOCK_WORDS, SHARD_SLOTS, MOST_PASSES, SEED = 512, 4096, 3, 20240607
-#: Documents of a source that are laid out by one task.
-BUCKET_ROWS = 1000
+#: Documents of a source that are laid out by one task; sources that a shard draws from at once.
+BUCKET_ROWS, GROUP_SOURCES = 1000, 1000
 _U = np.uint64
 _ROUNDS = C.mix(np.arange(1, 7, dtype=_U))
 
@@ -54,8 +57,8 @@ def targets(sources: DataFrame) -> DataFrame:
     the excess is shared again among the rest until none is above.  One number
     per round reaches the driver.
     """
-    order = Window.orderBy(F.col("source").isNull(), "source")
-    s = C.written(sources.withColumn("no", (F.row_number().over(order) - 1).cast("long")).withColumn("weight", (F.col("no") % 3 + 1).cast("double")), "sources")
+    s = C.numbered(sources, [F.col("source").isNull(), F.col("source")], "no")
+    s = C.written(s.withColumn("weight", (F.col("no") % 3 + 1).cast("double")), "sources")
     most = F.lit(float(MOST_PASSES)) * F.col("source_size")
     total = float(s.agg(F.sum("source_size")).first()[0] or 0)
     level = 0.0
@@ -71,33 +74,91 @@ def targets(sources: DataFrame) -> DataFrame:
     return s.withColumn("target", F.least(most, level * F.col("weight")))
 
 
-def _draw(quotas: np.ndarray, batches):
-    """Multinomial counts over the sources for each shard."""
-    p = quotas / quotas.sum()
+def _draw(shares: np.ndarray, total: int, slots: int, seed: int, batches):
+    """Multinomial counts over the groups of sources for each shard."""
+    p = shares / shares.sum()
     for batch in batches:
         for shard in batch["shard"]:
-            n = np.random.Generator(np.random.PCG64([SEED, int(shard)])).multinomial(SHARD_SLOTS, p)
+            n = np.random.Generator(np.random.PCG64([seed, int(shard)])).multinomial(min(slots, total - slots * int(shard)), p)
             some = np.flatnonzero(n)
-            yield pd.DataFrame({"shard": np.int64(shard), "no": some.astype(np.int64), "n": n[some].astype(np.int64)})
+            yield pd.DataFrame({"shard": np.int64(shard), "group": some.astype(np.int64), "n": n[some].astype(np.int64)})
 
 
-def _to_blocks(no: pa.Array, slot: pa.Array, full: pa.Array, blocks: pa.Array) -> pa.Array:
-    no, slot, full, blocks = (a.to_numpy().astype(np.int64) for a in (no, slot, full, blocks))
+def _draw_within(seed: pa.Array, shard: pa.Array, group: pa.Array, n: pa.Array, quotas: pa.Array) -> pa.Array:
+    """Multinomial counts over the sources of a group."""
+    out = []
+    for z, k, g, m, q in zip(*(a.to_pylist() for a in (seed, shard, group, n, quotas)), strict=True):
+        q = np.array(q, float)
+        out.append(np.random.Generator(np.random.PCG64([z, k, g])).multinomial(m, q / q.sum()).tolist())
+    return pa.array(out, pa.list_(pa.int64()))
+
+
+def shard_counts(sources: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
+    """The slots of each shard: ``shard, no, first, n, drawn``: n slots of
+    source ``no``, its slots ``first ...``, of ``drawn`` that the shard drew
+    (null: slots that were left over).
+
+    ``sources (no, slots)``.  Every shard has ``shard_slots`` slots, the last
+    one what is left, and every source has its ``slots`` over all shards.  One
+    number per ``GROUP_SOURCES`` sources reaches the driver.
+    """
+    spark = sources.sparkSession
+    q = sources.select("no", "slots", F.expr(f"no div {GROUP_SOURCES}").alias("group"))
+    groups = q.groupBy("group").agg(F.sum("slots").alias("n"), F.sort_array(F.collect_list(F.struct("no", "slots"))).alias("of"))  # lists of GROUP_SOURCES
+    shares = {r[0]: r[1] for r in groups.select("group", "n").collect()}
+    total = sum(shares.values())
+    schema = "shard long, group long, n long"
+    if total:
+        p = np.array([shares.get(g, 0) for g in range(max(shares) + 1)], float)
+        drawn = spark.range(-(-total // shard_slots)).withColumnRenamed("id", "shard").mapInPandas(partial(_draw, p, total, shard_slots, seed), schema)
+    else:
+        drawn = spark.createDataFrame([], schema)
+    counts = F.arrow_udf(_draw_within, T.ArrayType(T.LongType()))(F.lit(seed), "shard", "group", "n", F.col("of.slots"))
+    drawn = drawn.join(groups.select("group", "of"), "group").select("shard", F.explode(F.arrays_zip(F.col("of.no").alias("no"), counts.alias("drawn"))).alias("x"))
+    drawn = C.written(drawn.select("shard", "x.no", "x.drawn").filter("drawn > 0"), "drawn")
+
+    # a source takes what is drawn up to its slots
+    taken = C.running_totals(drawn, "no", "shard", "drawn", "first").join(sources.select("no", "slots"), "no").filter("first < slots")
+    taken = C.written(taken.select("shard", "no", "first", F.least("drawn", F.col("slots") - F.col("first")).alias("n"), "drawn"), "taken")
+    # the slots of a shard that are free meet those that a source still lacks, both in order
+    short = sources.join(taken.groupBy("no").agg(F.sum("n").alias("had")), "no", "left").withColumn("had", F.coalesce("had", F.lit(0)))
+    short = short.select(F.lit(0).alias("_all"), "no", "had", (F.col("slots") - F.col("had")).alias("lacks"))
+    free = spark.range(-(-total // shard_slots)).withColumnRenamed("id", "shard").join(taken.groupBy("shard").agg(F.sum("n").alias("used")), "shard", "left")
+    size = F.least(F.lit(shard_slots), F.lit(total) - F.col("shard") * shard_slots)
+    free = free.select(F.lit(0).alias("_all"), "shard", (size - F.coalesce("used", F.lit(0))).alias("free"))
+
+    def cells(df: DataFrame, order: str, value: str, low: str, high: str) -> DataFrame:
+        placed = C.running_totals(df, "_all", order, value, low).filter(f"{value} > 0").withColumn(high, F.col(low) + F.col(value))
+        return placed.withColumn("cell", F.explode(F.expr(f"sequence({low} div {shard_slots}, ({high} - 1) div {shard_slots})")))
+
+    met = cells(short, "no", "lacks", "s0", "s1").join(cells(free, "shard", "free", "f0", "f1").drop("_all"), "cell")
+    met = met.withColumn("low", F.greatest("s0", "f0", F.col("cell") * shard_slots)).withColumn("high", F.least("s1", "f1", (F.col("cell") + 1) * shard_slots)).filter("low < high")
+    filled = met.select("shard", "no", (F.col("had") + F.col("low") - F.col("s0")).alias("first"), (F.col("high") - F.col("low")).alias("n"), F.lit(None).cast("long").alias("drawn"))
+    return taken.union(filled)
+
+
+def _shuffled(seed: pa.Array, i: pa.Array, size: pa.Array, shard: pa.Array) -> pa.Array:
+    seed, i, size, shard = (a.to_numpy().astype(np.int64) for a in (seed, i, size, shard))
+    return pa.array(permuted(i, size, C.mix((shard + seed).astype(_U))))
+
+
+def _to_blocks(seed: pa.Array, no: pa.Array, slot: pa.Array, full: pa.Array, blocks: pa.Array) -> pa.Array:
+    seed, no, slot, full, blocks = (a.to_numpy().astype(np.int64) for a in (seed, no, slot, full, blocks))
     turn, i = slot // blocks, slot % blocks
     out = i.copy()
     inner = i < full  # the tail, a shorter block, comes last in every pass
-    out[inner] = permuted(i[inner], full[inner], C.mix((no * 65_537 + turn + SEED).astype(_U))[inner])
+    out[inner] = permuted(i[inner], full[inner], C.mix((no * 65_537 + turn + seed).astype(_U))[inner])
     return pa.array(out)
 
 
-def plan(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def plan(rows: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """Sources with their targets, and the words that the mix takes.
 
     ``rows``: ``rid`` (unique), ``source``, ``size`` and ``h`` (a hash by which
-    a source's documents are laid out).  Taken: ``rid``, ``pass`` and the words
-    ``[a, b)`` of the document.
+    a source's documents are laid out).  Taken: ``rid``, ``pass``, the words
+    ``[a, b)`` of the document, and where they go: ``shard``, ``slot`` and ``x``,
+    the words of the slot before them.
     """
-    spark = rows.sparkSession
     summed = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows"))
     s = targets(summed)
     whole = F.round("target").cast("long")
@@ -112,7 +173,7 @@ def plan(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     by = s.withColumn("_key", key).drop("source")
 
     # where each document lies in its source's run of words
-    placed = C.join_small(rows.filter("size > 0").withColumn("_key", key), by.select("_key", "no", "n_rows"), "_key", n_sources)
+    placed = C.join_small(rows.filter("size > 0").withColumn("_key", key), by.select("_key", "no", "n_rows"), "_key", n_sources, ["rid"])
     placed = placed.withColumn("bucket", F.expr(f"pmod(h, (n_rows + {BUCKET_ROWS - 1}) div {BUCKET_ROWS})"))
     before = Window.partitionBy("no", "bucket").orderBy("h", "rid").rowsBetween(Window.unboundedPreceding, -1)
     sums = C.running_totals(placed.groupBy("no", "bucket").agg(F.sum("size").alias("words")), "no", "bucket", "words", "base")
@@ -121,29 +182,20 @@ def plan(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     pieces = placed.select("rid", "no", "size", start.alias("start")).withColumn("block", F.explode(F.expr(f"sequence(start div {BLOCK_WORDS}, (start + size - 1) div {BLOCK_WORDS})")))
     pieces = pieces.select("rid", "no", "block", "start", F.expr(f"greatest(start - block * {BLOCK_WORDS}, 0L)").alias("x"), F.expr(f"least(start + size - block * {BLOCK_WORDS}, {BLOCK_WORDS}L)").alias("y"))
 
-    # slots: drawn by shard, numbered by source, cut or filled to the source's quota
-    quotas = np.array([r[0] for r in s.select("slots", "no").orderBy("no").select("slots").collect()], np.int64)  # one number per source
-    total = int(quotas.sum()) if len(quotas) else 0
-    n_shards = -(-total // SHARD_SLOTS)
-    if total:
-        drawn = spark.range(n_shards).withColumnRenamed("id", "shard").mapInPandas(partial(_draw, quotas), "shard long, no long, n long")
-    else:
-        drawn = spark.createDataFrame([], "shard long, no long, n long")
-    drawn = C.written(drawn, "drawn")
-    ranges = C.running_totals(drawn, "no", "shard", "n", "first").select("no", "first", (F.col("first") + F.col("n")).alias("end"))
-    short = s.select("no", "slots").join(drawn.groupBy("no").agg(F.sum("n").alias("n")), "no", "left").select("no", F.coalesce("n", F.lit(0)).alias("n"), "slots").filter("n < slots")
-    filled = short.select("no", F.explode(F.expr(f"sequence(n, slots - 1, {SHARD_SLOTS}L)")).alias("first"), "slots").select("no", "first", F.expr(f"least(first + {SHARD_SLOTS}, slots)").alias("end"))
-    ranges = C.join_small(ranges.union(filled), by.select("no", "slots", "full", "blocks", "passes", "rest"), "no", n_sources)
-    ranges = ranges.withColumn("end", F.least("end", "slots")).filter("first < end")
-    slots = ranges.withColumn("slot", F.explode(F.expr("sequence(first, end - 1)")))
-    block = F.arrow_udf(_to_blocks, T.LongType())("no", "slot", "full", "blocks")
-    cut = F.expr(f"if(slot div blocks = passes, least(rest - (slot % blocks) * {BLOCK_WORDS}, {BLOCK_WORDS}L), {BLOCK_WORDS}L)")
-    slots = slots.select("no", block.alias("block"), F.expr("slot div blocks").alias("pass"), cut.alias("words"))
+    # a shard's slots, numbered over it and over the source
+    counts = C.written(shard_counts(s.select("no", "slots"), shard_slots, seed), "shards")
+    within = Window.partitionBy("shard").orderBy("no", "first")  # at most shard_slots rows
+    counts = counts.withColumn("base", F.sum("n").over(within.rowsBetween(Window.unboundedPreceding, -1))).withColumn("size", F.sum("n").over(Window.partitionBy("shard")))
+    slots = counts.withColumn("i", F.explode(F.expr("sequence(0L, n - 1)"))).select("shard", "no", "size", (F.coalesce("base", F.lit(0)) + F.col("i")).alias("at"), (F.col("first") + F.col("i")).alias("turn"))
+    slots = C.join_small(slots, by.select("no", "full", "blocks", "passes", "rest"), "no", n_sources, ["shard", "at"])
+    block = F.arrow_udf(_to_blocks, T.LongType())(F.lit(seed), "no", "turn", "full", "blocks")
+    slot = F.arrow_udf(_shuffled, T.LongType())(F.lit(seed), "at", "size", "shard")
+    cut = F.expr(f"if(turn div blocks = passes, least(rest - (turn % blocks) * {BLOCK_WORDS}, {BLOCK_WORDS}L), {BLOCK_WORDS}L)")
+    slots = slots.select("shard", slot.alias("slot"), "no", block.alias("block"), F.expr("turn div blocks").alias("pass"), cut.alias("words"))
 
     taken = pieces.join(slots, ["no", "block"]).filter("x < least(y, words)")
     offset = F.expr(f"block * {BLOCK_WORDS} - start")
-    taken = taken.select("rid", "pass", (offset + F.col("x")).alias("a"), (offset + F.least("y", "words")).alias("b"))
-    return s, taken
+    return s, taken.select("rid", "pass", (offset + F.col("x")).alias("a"), (offset + F.least("y", "words")).alias("b"), "shard", "slot", "x")
 
 
 def sized(docs: DataFrame, key: str, source: str, text: str, keep: bool) -> DataFrame:
@@ -153,9 +205,10 @@ def sized(docs: DataFrame, key: str, source: str, text: str, keep: bool) -> Data
     return C.written(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(key).alias("key"), F.col(source).cast("string").alias("source"), *of, *row), "sized")
 
 
-def mix_report(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+def mix_report(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", seed: int = SEED) -> DataFrame:
     """Per document: ``key``, ``size`` in words, ``source_size``, its source's
-    ``target`` and ``taken``, the words that the mix takes, repeats counted.
+    ``target``, ``taken``, the words that the mix takes, repeats counted, and
+    ``blocks``, the shards and slots that they go to.
 
     A source's taken words are its target rounded to a word, and a document is
     taken three times at most.  Null and empty texts have size 0 and are never
@@ -164,11 +217,12 @@ def mix_report(docs: DataFrame, key: str = "doc_id", source: str = "source", tex
     open, as they can't be told apart.  The same input gives the same mix.
     """
     rows = sized(docs, key, source, text, False)
-    s, taken = plan(rows)
-    words = taken.groupBy("rid").agg(F.sum(F.col("b") - F.col("a")).alias("taken"))
+    s, taken = plan(rows, seed=seed)
+    words = taken.groupBy("rid").agg(F.sum(F.col("b") - F.col("a")).alias("taken"), F.count("*").alias("blocks"))
     mark = F.concat(F.when(F.col("source").isNull(), "1").otherwise("0"), F.coalesce("source", F.lit("")))
-    out = C.join_small(rows.withColumn("_key", mark), s.select(mark.alias("_key"), "source_size", "target"), "_key", s.count(), "left")
-    return out.join(words, "rid", "left").select(F.col("key").alias(key), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    out = C.join_small(rows.withColumn("_key", mark), s.select(mark.alias("_key"), "source_size", "target"), "_key", s.count(), ["rid"], "left")
+    amounts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("taken", "blocks")]
+    return out.join(words, "rid", "left").select(F.col("key").alias(key), "size", "source_size", "target", *amounts)
 
 
 def _cut(text: pa.Array, size: pa.Array, ranges: pa.Array) -> pa.Array:
@@ -195,7 +249,9 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source"
     """The mix as documents: a row per document and pass over its source, with
     the columns of ``docs``; the text holds the words that the pass takes, and
     ``length`` (if there is such a column) its characters.  A document that a
-    pass takes whole stays as it is; one that no pass takes goes.
+    pass takes whole stays as it is; one that no pass takes goes, and so do
+    null and empty texts.  Nulls in other columns, repeated rows and columns of
+    any name are kept; an empty table gives none.
     """
     rows = sized(docs, key, source, text, True)
     _, taken = plan(rows)
@@ -212,3 +268,34 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source"
             col = F.char_length("cut").cast(docs.schema[c].dataType)
         cols.append(col.alias(c))
     return got.select(*cols)
+
+
+def _parts(text: pa.Array, spans: pa.Array) -> pa.Array:
+    """The words of each text's spans, with one blank between them."""
+    out = []
+    for t, some in zip(text.to_pylist(), spans.to_pylist(), strict=True):
+        view = next(C.texts(pa.array([t])))
+        s, e, _ = view.words()
+        raw = view.data.tobytes()
+        out.append([b" ".join([raw[s[i] : e[i]] for i in range(r["a"], r["b"])]).decode() for r in some])
+    return pa.array(out, pa.list_(pa.string()))
+
+
+def mixed_blocks(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
+    """The mix as packed blocks in the order of the shards: ``shard``, ``slot``,
+    ``source``, ``n_words``, ``keys`` (of the documents, in order) and ``text``.
+
+    A block has ``BLOCK_WORDS`` words of consecutive documents of one source;
+    only a source's last block and the last slot of its mix are shorter.  Null
+    and empty texts are in none; null keys and a null source stay null; an
+    empty table gives no blocks.
+    """
+    rows = sized(docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"), F.col(f"`{text}`").cast("string").alias("text")), "key", "source", "text", True)
+    _, taken = plan(rows, shard_slots, seed)
+    spans = taken.groupBy("rid").agg(F.collect_list(F.struct("a", "b", "x", "shard", "slot")).alias("spans"))
+    parts = F.arrow_udf(_parts, T.ArrayType(T.StringType()))(F.col("row.text"), "spans")
+    cut = rows.join(spans, "rid").select("key", "source", F.explode(F.arrays_zip("spans", parts.alias("part"))).alias("p"))
+    cut = cut.select("key", "source", "p.spans.*", "p.part")
+    blocks = cut.groupBy("shard", "slot").agg(F.first("source").alias("source"), F.sum(F.col("b") - F.col("a")).alias("n_words"), F.sort_array(F.collect_list(F.struct("x", "key", "part"))).alias("of"))
+    blocks = blocks.select("shard", "slot", "source", "n_words", F.col("of.key").alias("keys"), F.array_join("of.part", " ").alias("text"))
+    return blocks.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
