@@ -13,9 +13,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled URLs that are trained on at most, by the order of their hash: one
-#: half gives the suffix statistics, the other grows the trees.
-SAMPLE_ROWS = 20_000
+from atelier.llm import common as C
+
+#: Labelled URLs that grow the trees, about and by their hash: never more than
+#: half of them.  All others give the suffix statistics.
+SAMPLE_ROWS = 10_000
 TREES, DEPTH, STEP, SEED = 20, 4, 0.2, 7
 #: Labelled URLs that the overall share counts as, in a suffix's share.
 PRIOR = 5.0
@@ -24,10 +26,6 @@ BLOCK_AT = 0.5
 #: Host and path of each rule, and its verdict.
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
-#: Words of hosts that publish gambling, pills, adult content,
-#: tracking or spam.  They label URLs where no labelled ones are given.
-SEED_WORDS = "ads adult bet bets betting casino escort gambling loans pharma pills poker porn sex slots spam track viagra warez xxx".split()
-
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -92,47 +90,60 @@ def filter_urls(pages: DataFrame, labelled: DataFrame | None = None, url: str =
     """``pages`` with a struct column ``out``: ``host``, ``path``, ``rule``
     (null if none fits), ``score`` (of being blocked) and ``verdict``.
 
-    ``labelled`` has the columns ``url`` and ``label`` (1 block, 0 allow);
-    without it the pages that a rule decides are the labelled URLs.  A rule's verdict stands; else
-    the trees' does, and without labels of both kinds all is allowed.  Every
-    row stays; a column named ``out`` is replaced; null and broken URLs have an
-    empty host and path and are judged by the trees like any other.
+    ``labelled`` has the columns ``url`` and ``label`` (1 block, 0 allow; rows
+    with a null in either don't count); without it the pages that a rule
+    decides are the labelled URLs.  A rule's verdict stands; else the trees'
+    does, and without labels of both kinds all is allowed.  Every row stays; a
+    column named ``out`` is replaced; null and broken URLs have an empty host
+    and path and are judged by the trees like any other; equal URLs have equal
+    verdicts; an empty table gives none.
     """
+    model, featured = url_model(pages, labelled, url, rules, label)
     host, path = host_and_path(F.col("url"))
-    seen = pages.select(F.col(url).cast("string").alias("url")) if labelled is None else labelled.select(F.col(url).cast("string").alias("url"), F.col(label).cast("double").alias("label"))
+    row = F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row")
+    given = pages.select(row, F.col(f"`{url}`").cast("string").alias("url")).withColumn("host", host).withColumn("path", path)
+    if model is None:
+        judged = given.withColumn("score", F.lit(0.0))
+    else:
+        judged = model.transform(featured(given, ["row"])).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
+    judged = judged.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
+    verdict = F.coalesce(_verdicts(rules), F.when(F.col("score") >= BLOCK_AT, "block").otherwise("allow"))
+    keep = [c for c in pages.columns if c.lower() != out.lower()]
+    value = F.struct("host", "path", "rule", "score", verdict.alias("verdict"))
+    return judged.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], value.alias(out))
+
+
+def _verdicts(rules: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for r in rules.items() for x in r])[F.col("rule")] if rules else F.lit(None).cast("string")
+
+
+def url_model(pages: DataFrame, labelled: DataFrame | None, url: str, rules: dict[str, str], label: str):
+    """The trees (None without labels of both kinds) and the function that
+    gives them a table's features: ``(url, host, path, ...) -> features``."""
+    host, path = host_and_path(F.col("url"))
+    seen = (pages if labelled is None else labelled).select(F.col(f"`{url}`").cast("string").alias("url"), *([] if labelled is None else [F.col(f"`{label}`").cast("double").alias("label")]))
     seen = seen.withColumn("host", host).withColumn("path", path)
     if labelled is None:
-        words = F.split(F.col("host"), "[.-]")
-        seen = seen.withColumn("label", F.arrays_overlap(words, F.array(*[F.lit(w) for w in SEED_WORDS])).cast("double"))
-    seen = seen.select("url", "host", "path", "label", F.xxhash64("url").alias("h")).dropDuplicates(["h", "label"]).orderBy("h", "label").limit(SAMPLE_ROWS).persist()
+        verdict = _verdicts(rules)
+        seen = seen.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules)).withColumn("label", F.when(verdict == "block", 1.0).when(verdict == "allow", 0.0))
+    seen = C.written(seen.filter("url is not null and label in (0, 1)").select("url", "host", "path", "label", F.xxhash64("url").alias("h")), "labelled")
+    n, total = seen.agg(F.count("*"), F.avg("label")).first()
+    chosen = F.pmod("h", F.lit(1 << 20)) < int((1 << 20) * min(0.5, SAMPLE_ROWS / max(n, 1)))
     suffix = lambda h: F.substring_index(h, ".", -1)
-    first = seen.filter("pmod(h, 2) = 0")
-    total = first.agg(F.avg("label")).first()[0]
     share = (F.sum("label") + PRIOR * (total or 0.0)) / (F.count("*") + PRIOR)
-    # at most a row per sampled URL, so small enough to broadcast
-    stats = first.groupBy(suffix(F.col("host")).alias("suffix")).agg(share.alias("suffix_share"), F.log1p(F.count("*")).alias("suffix_seen"))
+    stats = C.written(seen.filter(~chosen).groupBy(suffix(F.col("host")).alias("suffix")).agg(share.alias("suffix_share"), F.log1p(F.count("*")).alias("suffix_seen")), "suffixes")
+    n_suffixes = stats.count()
 
     def featured(df: DataFrame, keep: list[str]) -> DataFrame:
         columns = lexical(F.col("url"), F.col("host"), F.col("path"))
         df = df.select(*keep, "url", "host", "path", *[c.alias(f"f_{k}") for k, c in columns.items()], suffix(F.col("host")).alias("suffix"))
-        df = df.join(F.broadcast(stats), "suffix", "left")
+        df = C.join_small(df, stats, "suffix", n_suffixes, ["url"], "left")
         df = df.withColumn("f_suffix_share", F.coalesce("suffix_share", F.lit(total or 0.0))).withColumn("f_suffix_seen", F.coalesce("suffix_seen", F.lit(0.0)))
         names = [f"f_{k}" for k in columns] + ["f_suffix_share", "f_suffix_seen"]
         return VectorAssembler(inputCols=names, outputCol="features").transform(df).select(*keep, "url", "host", "path", "features")
 
-    learn = featured(seen.filter("pmod(h, 2) = 1"), ["label"])
+    learn = featured(seen.filter(chosen).dropDuplicates(["url", "label"]), ["label"])
     model = None
     if total is not None and learn.select("label").distinct().count() == 2:
         model = GBTClassifier(featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED).fit(learn)
-    row = F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row")
-    given = pages.select(row, F.col(url).cast("string").alias("url")).withColumn("host", host).withColumn("path", path)
-    if model is None:
-        judged = given.withColumn("score", F.lit(0.0))
-    else:
-        judged = model.transform(featured(given, ["row"])).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
-    judged = judged.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
-    by_rule = F.create_map(*[F.lit(x) for r in rules.items() for x in r])[F.col("rule")] if rules else F.lit(None)
-    verdict = F.coalesce(by_rule, F.when(F.col("score") >= BLOCK_AT, "block").otherwise("allow"))
-    keep = [c for c in pages.columns if c.lower() != out.lower()]
-    value = F.struct("host", "path", "rule", "score", verdict.alias("verdict"))
-    return judged.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], value.alias(out))
+    return model, featured
