@@ -255,17 +255,19 @@ class _Index:
         return out
 
 
-_INDEXES: dict[str, _Index] = {}
+#: The indexes of one search's blocks.
+_INDEXES: dict[tuple[str, int], _Index] = {}
 
 
-def _finder(spark, items: list[tuple[int | None, str]]) -> Column:
-    shared, name = spark.sparkContext.broadcast(items), uuid.uuid4().hex
+def _finder(spark, search: str, block: int, items: list[tuple[int | None, str]]) -> Column:
+    shared = spark.sparkContext.broadcast(items)
 
     def run(text: pa.Array) -> list[pa.Array]:
-        if name not in _INDEXES:
-            _INDEXES.clear()
-            _INDEXES[name] = _Index(shared.value)
-        index, counts, hits = _INDEXES[name], [], []
+        if (search, block) not in _INDEXES:
+            for other in [k for k in _INDEXES if k[0] != search]:
+                del _INDEXES[other]
+            _INDEXES[search, block] = _Index(shared.value)
+        index, counts, hits = _INDEXES[search, block], [], []
         for t in C.texts(text):
             got = index.stretches(*index.search(t)) if index.n and len(t.data) else []
             counts.append(np.bincount(np.array([r for r, _ in got], np.int64), minlength=t.n))
@@ -304,13 +306,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     and empty texts have no hits, nor has any with an empty benchmark; items
     that are null or under 24 normalised bytes find nothing.  Repeated rows
     have equal hits, repeated items a hit each.  The benchmark goes to the
-    executors in blocks of at most 4 MiB, each of which reads all documents.
+    executors in blocks of at most 4 MiB, each of which reads all documents; a
+    worker keeps the indexes of all blocks of a search.
     """
     found = []
-    base = docs
+    base, search = docs, uuid.uuid4().hex
     for i, block in enumerate(_blocks(benchmark, item, item_text)):
         name = f"__{out}_{i}"
-        docs = docs.withColumn(name, _finder(docs.sparkSession, block)(F.col(text).cast("string")))
+        docs = docs.withColumn(name, _finder(docs.sparkSession, search, i, block)(F.col(text).cast("string")))
         found.append(F.col(name)["hits"])
     empty = F.array().cast(HITS)
     hits = F.concat(*found) if found else empty

@@ -150,11 +150,11 @@ def fit(rated: DataFrame, key: str, text: str, rating: str, grades: int, counts:
     for r in sorted(counts):
         size = 0
         for row in rated.filter(F.col("r") == r).select("t", F.xxhash64("k").alias("h"), F.xxhash64("t").alias("g")).orderBy("h", "g").limit(SAMPLE_ROWS).toLocalIterator():
-            size += len(row[0].encode())
-            if size > SAMPLE_BYTES:
-                break
-            texts.append(row[0])
-            labels.append(r)
+            n = len(row[0].encode())
+            if size + n <= SAMPLE_BYTES:  # a text that is too long is left out, not those after it
+                size += n
+                texts.append(row[0])
+                labels.append(r)
     x = np.concatenate(list(vectors(pa.array(texts, pa.string()))))
     share = np.array([counts.get(k, 0) for k in range(grades)], float)
     return train(x, np.array(labels), share / share.sum())

@@ -141,8 +141,8 @@ def references(measured: DataFrame, lang: str = "lang", q: str = "rules") -> dic
     reaches the driver.  A language without documents has no reference."""
     n, m = len(CLASSES), len(VOCABULARY) + 1
     sums = [F.sum(F.col(f"{q}.classes")[i]).alias(f"c{i}") for i in range(n)] + [F.sum(F.col(f"{q}.common")[i]).alias(f"w{i}") for i in range(m)]
-    rows = measured.filter(~base_failed(q) & F.col(lang).isin(*LANGUAGES)).groupBy(F.col(lang).alias("lang")).agg(*sums).collect()
-    return {r["lang"]: (np.array(r[1 : n + 1], float), np.array(r[n + 1 :], float)) for r in rows}
+    rows = measured.filter(~base_failed(q) & F.col(f"`{lang}`").isin(*LANGUAGES)).groupBy(F.col(f"`{lang}`").alias("_name")).agg(*sums).collect()
+    return {r["_name"]: (np.array(r[1 : n + 1], float), np.array(r[n + 1 :], float)) for r in rows}
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -177,8 +177,8 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", out:
     verdicts.  Two passes over the text: one for the references, one for the
     verdicts.
     """
-    measured = C.with_struct(docs, out, C.arrow_struct(measure, FIELDS)(F.col(text)))
-    refs = references(measured.withColumnRenamed(lang, "lang") if lang != "lang" else measured, "lang", out)
+    measured = C.with_struct(docs, out, C.arrow_struct(measure, FIELDS)(F.col(f"`{text}`")))
+    refs = references(measured, lang, out)
     fields = T.StructType(
         [f for f in FIELDS.fields if f.name not in ("classes", "common")]
         + [T.StructField("class_distance", T.DoubleType()), T.StructField("word_distance", T.DoubleType())]
@@ -194,7 +194,7 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", out:
             result.append(pa.array(far, mask=counts.sum(1) < least))
         return result
 
-    judged = C.with_struct(docs, out, C.arrow_struct(judge, fields)(F.col(text), F.col(lang).cast("string")))
+    judged = C.with_struct(docs, out, C.arrow_struct(judge, fields)(F.col(f"`{text}`"), F.col(f"`{lang}`").cast("string")))
     failed = base_failed(out)
     far = (F.coalesce(F.col(f"{out}.class_distance"), F.lit(0.0)) > MAX_CLASS_DISTANCE) | (F.coalesce(F.col(f"{out}.word_distance"), F.lit(0.0)) > MAX_WORD_DISTANCE)
     return judged.withColumn(out, F.col(out).withField("base_failed", failed).withField("kept", ~failed & ~far))

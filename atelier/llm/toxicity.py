@@ -192,10 +192,10 @@ def training_rows(labelled: DataFrame, key: str, text: str, label: str) -> tuple
         rows = labelled.filter(F.col(label) == k).select(F.col(text).cast("string").alias("t"), F.xxhash64(key).alias("h"), F.xxhash64(text).alias("g"))
         size = 0
         for r in rows.filter("t is not null").orderBy("h", "g").limit(SAMPLE_ROWS).toLocalIterator():
-            size += len(r[0].encode())
-            if size > SAMPLE_BYTES:
-                break
-            texts.setdefault(r[0], k)
+            n = len(r[0].encode())
+            if size + n <= SAMPLE_BYTES:  # a text that is too long is left out, not those after it
+                size += n
+                texts.setdefault(r[0], k)
     names = list(texts)
     order = np.random.Generator(np.random.PCG64(1)).permutation(len(names))
     return [names[i] for i in order], [texts[names[i]] for i in order]
