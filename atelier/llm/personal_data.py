@@ -94,16 +94,22 @@ def _confirmed(kind: Kind, found: str, gaps: str) -> Column:
 
     # running sums in two levels: a chunk's matches grow one short array, and chunks are joined once
     none = F.array().cast("array<struct<start:bigint,end:bigint,m:string,near:string>>")
-    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / CHUNK).cast("int")), lambda c: F.slice(parts, c * CHUNK + 1, F.lit(CHUNK)))
+
+    def once(value: Column, use: Callable[[Column], Column]) -> Column:
+        """``use`` of a value that is computed once."""
+        return F.element_at(F.transform(F.array(value), use), 1)
+
+    def chunked(p: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / CHUNK).cast("int")), lambda c: F.slice(p, c * CHUNK + 1, F.lit(CHUNK)))
 
     def located(c: Column) -> Column:
-        """Chunks (of the column ``c``) with their places in the text."""
+        """The matches of all chunks with their places in the text."""
         sizes = F.transform(c, lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda a, p: a + p["gap"] + F.coalesce(p["len"], F.lit(0))))
         begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("out"))
         bases = F.aggregate(sizes, begin, lambda a, n: F.struct((a["at"] + n).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
         return F.flatten(F.zip_with(c, bases, lambda x, b: F.aggregate(x, F.struct(b.alias("at"), none.alias("out")), place, lambda a: a["out"])))
 
-    placed = F.element_at(F.transform(F.array(chunks), located), 1)
+    placed = once(parts, lambda p: once(chunked(p), located))
 
     def rated(x: Column) -> Column:
         move = F.when(x["near"].rlike(kind.near), MOVE).otherwise(0.0) - F.when(x["near"].rlike(CONTRARY), MOVE).otherwise(0.0)
