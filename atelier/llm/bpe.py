@@ -466,21 +466,34 @@ def binaries(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(values))])
 
 
+def decoded(bpe: ByteBpe, flat: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """A string column from flat ids and how many each row has; what is no
+    UTF-8 is replaced by U+FFFD."""
+    parts = [bpe.decode(flat[i : i + IDS]) for i in range(0, len(flat), IDS)]
+    data = np.concatenate([np.zeros(0, np.uint8), *[d for d, _ in parts]])
+    total = np.concatenate([[0], *[n for _, n in parts]], dtype=np.int64).cumsum()
+    del parts
+    out = binaries(data, np.diff(total[np.concatenate([[0], np.cumsum(counts)])]))
+    try:
+        return out.cast(pa.large_string())
+    except pa.ArrowInvalid:
+        return pa.array([b.decode("utf-8", "replace") for b in out.to_pylist()], pa.large_string())
+
+
 def encode_column(path: str, text: Column, special: bool = True) -> Column:
     """``struct<n_tokens: bigint, ids: binary>`` of a text column: the ids as
     little-endian unsigned 32-bit integers.  Null and empty texts have none."""
 
     def run(column: pa.Array) -> list[pa.Array]:
         ids, counts = encoded(tokenizer(path), column, special)
-        return [pa.array(counts, pa.int64()), binaries(ids.astype("<u4"), counts).cast(pa.binary())]
+        return [pa.array(counts, pa.int64()), binaries(ids.astype("<u4", copy=False), counts).cast(pa.binary())]
 
     return C.arrow_struct(run, T.StructType().add("n_tokens", "long").add("ids", "binary"))(text.cast("string"))
 
 
 def decode_column(path: str, ids: Column) -> Column:
     """The text of a column of ids as ``encode_column`` gives them.  Null ids
-    give null; ids that the vocabulary lacks give nothing; what is no UTF-8 is
-    replaced by U+FFFD."""
+    give null; ids that the vocabulary lacks give nothing."""
 
     def run(column: pa.Array) -> pa.Array:
         column = column.cast(pa.large_binary())
@@ -488,15 +501,7 @@ def decode_column(path: str, ids: Column) -> Column:
         off = np.frombuffer(filled.buffers()[1], np.int64)[filled.offset : filled.offset + len(filled) + 1] if len(filled) else np.zeros(1, np.int64)
         raw = filled.buffers()[2]
         flat = np.frombuffer(raw, "<u4", int(off[-1] - off[0]) // 4, int(off[0])) if raw is not None and raw.size else np.zeros(0, "<u4")
-        parts = [tokenizer(path).decode(flat[i : i + IDS]) for i in range(0, len(flat), IDS)]
-        data = np.concatenate([np.zeros(0, np.uint8), *[d for d, _ in parts]])
-        total = np.concatenate([[0], *[n for _, n in parts]], dtype=np.int64).cumsum()
-        del parts
-        out = binaries(data, np.diff(total[(off - off[0]) // 4]))
-        try:
-            out = out.cast(pa.large_string())
-        except pa.ArrowInvalid:
-            out = pa.array([b.decode("utf-8", "replace") for b in out.to_pylist()], pa.large_string())
+        out = decoded(tokenizer(path), flat, np.diff(off) // 4)
         return pa.compute.if_else(column.is_valid(), out, pa.scalar(None, pa.large_string())).cast(pa.string())
 
     return F.arrow_udf(run, T.StringType()).asNondeterministic()(ids)
@@ -512,5 +517,12 @@ def bpe_round_trip(docs: DataFrame, path: str, text: str = "text", out: str = "b
     as ``out`` is replaced.  No row is shuffled; a task holds a slice of 2 MiB
     of text at a time, or a longer text in pieces, besides its Arrow batch.
     """
-    made = C.with_struct(docs, out, encode_column(path, F.col(f"`{text}`"), special))
-    return C.with_struct(made, out, F.struct(f"{out}.n_tokens", f"{out}.ids", decode_column(path, F.col(f"{out}.ids")).alias("decoded")))
+
+    def run(column: pa.Array) -> list[pa.Array]:
+        bpe = tokenizer(path)
+        ids, counts = encoded(bpe, column, special)
+        ids = ids.astype("<u4", copy=False)
+        return [pa.array(counts, pa.int64()), binaries(ids, counts).cast(pa.binary()), decoded(bpe, ids, counts).cast(pa.string())]
+
+    schema = T.StructType().add("n_tokens", "long").add("ids", "binary").add("decoded", "string")
+    return C.with_struct(docs, out, C.arrow_struct(run, schema)(F.col(f"`{text}`").cast("string")))
