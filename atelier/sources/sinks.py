@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from atelier.sources.committed import write_committed
+
 
 def write_intake(df: DataFrame, path: str) -> None:
     """Persist the intake (fixes the file-order positions for later runs)."""
@@ -22,15 +25,16 @@ def write_layout_prompts(df: DataFrame, path: str, partition_by: str | None = "s
     w.parquet(path)
 
 
-def write_artifacts(df: DataFrame, path: str, stage: str, round_: int = 0) -> None:
+def write_artifacts(df: DataFrame, path: str, stage: str, round_: int = 0, key: str | None = None) -> None:
     """Append ``(id, path, ok, stage, round, ...)`` to the artifact lineage:
     a path that ``df`` doesn't have is NULL, and an artifact is ok unless
-    ``df`` says otherwise."""
-    out = df.withColumn("stage", F.lit(stage)).withColumn("round", F.lit(round_))
+    ``df`` says otherwise.  ``key`` names the job: run again under the same key
+    it adds nothing more (see ``committed``)."""
+    out = df.withColumn("round", F.lit(round_))
     for name, value in (("path", F.lit(None).cast("string")), ("ok", F.lit(True))):
         if name not in df.columns:
             out = out.withColumn(name, value)
-    out.write.mode("append").partitionBy("stage").parquet(path)
+    write_committed(out, path, f"{stage}-{round_}-{key or uuid.uuid4().hex}", ("stage", stage))
 
 
 def copy_stage(df: DataFrame, new_stage: str) -> DataFrame:
@@ -44,14 +48,19 @@ def write_repair_summary(df: DataFrame, path: str) -> None:
     df.filter(F.size("refined_layers") > 0).write.mode("overwrite").json(path)
 
 
-def write_ledger(df: DataFrame, path: str, run_id: str | None = None, status: str = "success") -> str:
+def write_ledger(df: DataFrame, path: str, run_id: str | None = None, status: str = "success", key: str | None = None) -> str:
     """Append ``(id, pos, status, stage, ts, run_id)``; returns the run id.
 
+    The rows appear together when the job commits, and once: the same job run
+    again with the same run id and ``key`` (if a run writes its ledger in
+    several jobs, one for each) adds nothing more.  Without a run id each call
+    is a run of its own.
+
     ``pos`` and ``stage`` (where a failure happened) are taken from ``df`` if
     it has them; a ``status`` column there goes before the argument.  The
     failures in force are those of the latest run, see ``current_failures``.
     """
-    rid = run_id or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    rid = run_id or f"{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     has = lambda c, kind: F.col(c).cast(kind) if c in df.columns else F.lit(None).cast(kind)
     out = df.select(
         F.col("id").cast("string").alias("id"),
@@ -59,7 +68,6 @@ def write_ledger(df: DataFrame, path: str, run_id: str | None = None, status: st
         F.coalesce(has("status", "string"), F.lit(status)).alias("status"),
         has("stage", "string").alias("stage"),
         F.current_timestamp().alias("ts"),
-        F.lit(rid).alias("run_id"),
     )
-    out.write.mode("append").partitionBy("run_id").parquet(path)
+    write_committed(out, path, rid if key is None else f"{rid}-{key}", ("run_id", rid))
     return rid
