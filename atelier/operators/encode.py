@@ -1,9 +1,9 @@
-"""Text -> unit vector with a pluggable encoder, batched per partition.
+"""Text -> unit vector.
 
-The encoder is built once per task by ``encoder_factory()`` and must have
-``encode(list[str]) -> np.ndarray`` of shape (n, dim).  The default is a
-signed feature-hashing encoder (no model files needed); a sentence model
-plugs in through the same factory.
+By default a text's tokens are hashed into signed buckets with built-in
+functions only: no Python, no model files.  A sentence model plugs in through
+``encoder_factory``: it is built once per task and must have
+``encode(list[str]) -> np.ndarray`` of shape (n, dim).
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from atelier.functions.vectors import l2_normalize
+
 _TOKEN = re.compile(r"\w+", re.UNICODE)
 
 
@@ -45,8 +47,33 @@ def hashing_factory(dim: int = 64, seed: int = 0) -> Callable[[], HashingEncoder
     return lambda: HashingEncoder(dim, seed)
 
 
-def encode_text(df: DataFrame, text: str, out: str = "embedding", encoder_factory: Callable[[], object] = hashing_factory()) -> DataFrame:
-    """Adds ``out array<float>``: the encoder's vector for ``text``."""
+#: A token of the built-in encoder.
+TOKEN = r"[\p{L}\p{N}_]+"
+
+
+def hash_counts(df: DataFrame, text: str, out: str, dim: int = 64) -> DataFrame:
+    """Adds ``out array<double>``: signed counts of the lower-cased tokens in
+    ``dim`` buckets.  A token's first eight hexadecimal digits of MD5, modulo
+    2 * ``dim``, give its bucket and, from ``dim`` on, a minus.  Null and empty
+    texts have zeros."""
+    from pyspark.ml.feature import CountVectorizerModel
+    from pyspark.ml.functions import vector_to_array
+
+    tokens = F.regexp_extract_all(F.lower(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))), F.lit(TOKEN), F.lit(0))
+    slot = lambda t: (F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint") % (2 * dim)).cast("string")
+    # a fixed vocabulary of slots: the count of each in one pass over the tokens
+    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(2 * dim)], inputCol="_slots", outputCol="_counts")
+    counted = counter.transform(df.withColumn("_slots", F.transform(tokens, slot))).withColumn("_both", vector_to_array("_counts"))
+    signed = F.zip_with(F.slice("_both", 1, dim), F.slice("_both", dim + 1, dim), lambda a, b: a - b)
+    return counted.withColumn(out, signed).drop("_slots", "_counts", "_both")
+
+
+def encode_text(df: DataFrame, text: str, out: str = "embedding", encoder_factory: Callable[[], object] | None = None, dim: int = 64) -> DataFrame:
+    """Adds ``out array<float>``: the vector of ``text``, of length 1 or zero.
+    Without an ``encoder_factory`` it is made of ``hash_counts``."""
+    if encoder_factory is None:
+        counted = hash_counts(df, text, "_signed", dim)
+        return counted.withColumn(out, l2_normalize("_signed").cast("array<float>")).drop("_signed")
 
     @pandas_udf("array<float>")
     def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

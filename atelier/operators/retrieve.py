@@ -1,7 +1,11 @@
 """Vector retrieval and the joins from a hit to a library file.
 
-``knn_topk`` is exact inner-product top-k.  Neither side is exploded into
-query x library rows and nothing is collected to the driver:
+``knn_topk`` is exact inner-product top-k.  If either side's vectors take no
+more than ``SHIP_BYTES``, they are shipped to the tasks, and the other side is
+read where it lies, without a shuffle: with a small library each query finds
+its k at once, with few queries each task keeps a bounded best-k table over its
+part of the library, and only these are merged.  Otherwise no side is shipped
+or exploded into query x library rows, and nothing is collected to the driver:
 
 1. both sides are hashed into blocks of at most ``block_rows`` vectors
    (``qb`` query blocks, ``lb`` library blocks, from two ``count`` jobs);
@@ -21,6 +25,7 @@ k-means cells of each query (IVF) and splits hot cells into sub-blocks.
 from __future__ import annotations
 
 import math
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -33,6 +38,11 @@ from atelier.functions.text import layer_url
 from atelier.operators.agg import _cols, last_by, order_struct, ordered_concat
 from atelier.session import written
 
+#: Bytes of vectors (as doubles) that are shipped to every task at most.
+SHIP_BYTES = 64 << 20
+#: Similarities that a task computes at once.
+CELLS = 4 << 20
+
 HIT = "hit"
 NO_HIT = "NO_HIT"
 MISSING_FILE = "MISSING_FILE"
@@ -45,13 +55,12 @@ def _block_topk_fn(k: int, qkey: str, qkey_type):
         qm = np.stack(q["_qv"].to_numpy()).astype(np.float64, copy=False)
         lm = np.stack(lib["_lv"].to_numpy()).astype(np.float64, copy=False)
         pos = lib["_pos"].to_numpy(dtype=np.int64)
-        sims = qm @ lm.T
-        kk = min(k, lm.shape[0])
-        keys_out, pos_out, sim_out = [], [], []
         # order: similarity descending, then position ascending
         order_pos = np.argsort(pos, kind="stable")
-        sims = sims[:, order_pos]
         pos = pos[order_pos]
+        sims = qm @ lm[order_pos].T
+        kk = min(k, lm.shape[0])
+        keys_out, pos_out, sim_out = [], [], []
         for i in range(sims.shape[0]):
             row = sims[i]
             if kk < row.shape[0]:
@@ -68,6 +77,75 @@ def _block_topk_fn(k: int, qkey: str, qkey_type):
     return fn
 
 
+def _vectors(column: pa.Array, dim: int) -> np.ndarray:
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return np.asarray(column.flatten(), np.float64).reshape(len(column), dim)
+
+
+def _best(sims: np.ndarray, pos: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per row of ``sims`` the k best, by similarity, then position; ``pos``
+    (one or a row for each) is ascending, so that a stable order breaks ties."""
+    n = sims.shape[1]
+    if n > 4 * k:
+        # all that reach the k-th best value: ties at the edge are kept until they are ordered
+        edge = np.partition(sims, n - k, axis=1)[:, n - k]
+        rows, cols = np.nonzero(sims >= edge[:, None])
+        if len(rows) == sims.shape[0] * k:
+            cols = cols.reshape(-1, k)
+            values = np.take_along_axis(sims, cols, 1)
+            order = np.argsort(-values, axis=1, kind="stable")
+            cols = np.take_along_axis(cols, order, 1)
+            return (np.take_along_axis(pos, cols, 1) if pos.ndim == 2 else pos[cols]), np.take_along_axis(values, order, 1)
+    order = np.argsort(-sims, axis=1, kind="stable")[:, :k]
+    return (np.take_along_axis(pos, order, 1) if pos.ndim == 2 else pos[order]), np.take_along_axis(sims, order, 1)
+
+
+def _found(keys: pa.Array, pos: np.ndarray, sims: np.ndarray, qkey: str) -> pa.RecordBatch:
+    at = np.repeat(np.arange(len(keys)), pos.shape[1])
+    return pa.RecordBatch.from_arrays([keys.take(pa.array(at)), pa.array(pos.ravel()), pa.array(sims.ravel())], names=[qkey, "pos", "sim"])
+
+
+def _by_query(shipped, k: int, qkey: str, batches):
+    """All of a query's k best against the shipped library."""
+    pos, library = shipped.value
+    step = max(1, CELLS // max(len(pos), 1))
+    for batch in batches:
+        for i in range(0, batch.num_rows, step):
+            part = batch.slice(i, step)
+            found = _best(_vectors(part["_qv"], library.shape[1]) @ library.T, pos, k)
+            yield _found(part[qkey], *found, qkey)
+
+
+def _by_library(shipped, k: int, qkey: str, batches):
+    """The shipped queries' k best in this part of the library: a table of k
+    per query, into which each batch is merged."""
+    keys, queries = shipped.value
+    sims, pos = np.zeros((len(queries), 0)), np.zeros((len(queries), 0), np.int64)
+    step = max(1, CELLS // max(len(queries), 1))
+    for batch in batches:
+        for i in range(0, batch.num_rows, step):
+            part = batch.slice(i, step)
+            mine = part["_pos"].to_numpy(zero_copy_only=False)
+            order = np.argsort(mine, kind="stable")
+            new_pos, new = _best(queries @ _vectors(part["_lv"], queries.shape[1])[order].T, mine[order], k)
+            both_pos, both = np.concatenate([pos, new_pos], 1), np.concatenate([sims, new], 1)
+            by = np.lexsort((both_pos, -both), axis=1)[:, :k]
+            pos, sims = np.take_along_axis(both_pos, by, 1), np.take_along_axis(both, by, 1)
+    if pos.shape[1]:
+        yield _found(keys, pos, sims, qkey)
+
+
+def _shipped(spark, df: DataFrame, key: str, vec: str, dim: int):
+    """Keys and vectors of a side that is small enough, sorted by position."""
+    held = df.select(key, vec).toArrow()
+    keys, vectors = held[key].combine_chunks(), _vectors(held[vec], dim)
+    if vec == "_lv":
+        order = np.argsort(keys.to_numpy(), kind="stable")
+        return spark.sparkContext.broadcast((keys.to_numpy()[order], vectors[order]))
+    return spark.sparkContext.broadcast((keys, vectors))
+
+
 def _pandas_dtype(spark_type: str):
     return {"bigint": "int64", "int": "int32", "string": "object", "double": "float64"}.get(spark_type, "object")
 
@@ -122,9 +200,12 @@ def knn_topk(
     block_rows: int = 4096,
     n_queries: int | None = None,
     n_library: int | None = None,
+    ship_bytes: int = SHIP_BYTES,
 ) -> DataFrame:
     """Exact top-k by inner product: ``(query_key, rank, pos, sim)``.
 
+    All vectors have one length.
+
     ``query_key`` must be unique per query row; ``lib_pos`` unique per
     library row.  For unit vectors the inner product is the cosine
     similarity.  A query against an empty library has no rows.  The block
@@ -144,6 +225,16 @@ def knn_topk(
             query_key,
             k,
         ).select(query_key, "rank", "pos", "sim")
+    dim = lib.select(F.size("_lv")).first()[0]
+    small = min(nq, nl) * dim * 8
+    if small <= ship_bytes:
+        spark = queries.sparkSession
+        schema = f"{query_key} {dict(q.dtypes)[query_key]}, pos bigint, sim double"
+        if nl <= nq:
+            cands = q.mapInArrow(partial(_by_query, _shipped(spark, lib, "_pos", "_lv", dim), k, query_key), schema)
+        else:
+            cands = lib.mapInArrow(partial(_by_library, _shipped(spark, q, query_key, "_qv", dim), k, query_key), schema)
+        return _merge_topk(cands, query_key, k).select(query_key, "rank", "pos", "sim")
     qb = max(1, math.ceil(nq / block_rows))
     lb = max(1, math.ceil(nl / block_rows))
     cands = _block_join_topk(q, lib, k, query_key, qb, lb)

@@ -24,6 +24,7 @@ OK = "OK"
 # Ledger statuses.
 SUCCESS = "success"
 FAILURE = "failure"
+PENDING = "pending"
 
 
 def _schema(value_schema: T.StructType | str) -> T.StructType:
@@ -158,9 +159,10 @@ def run_counts(df: DataFrame, shard: str = "shard", vectors: DataFrame | None =
 
 def ledger_ids(ledger: DataFrame, id_col: str = "id", status: str | None = None) -> DataFrame:
     """Ledger rows -> distinct stripped non-empty ids (set semantics); with
-    ``status`` only rows of that status, where the ledger records one."""
+    ``status`` only rows of that status, where the ledger records one (a row
+    that records none is a success)."""
     if status is not None and "status" in ledger.columns:
-        ledger = ledger.filter(F.col("status") == status)
+        ledger = ledger.filter(F.coalesce("status", F.lit(SUCCESS)) == status)
     return ledger.select(strip(F.col(id_col).cast("string")).alias(id_col)).filter(F.col(id_col) != "").distinct()
 
 
@@ -172,6 +174,18 @@ def resume_pending(df: DataFrame, ledger: DataFrame, id_col: str = "id") -> Data
     return df.join(done, F.col(id_col).cast("string") == F.col("_lid"), "left_anti")
 
 
+def taken_ids(ledger: DataFrame, run_id: str, id_col: str = "id") -> DataFrame:
+    """Ids that another run than ``run_id`` has taken (status ``pending``) and
+    that haven't failed since."""
+    if not {"status", "run_id", "ts"} <= set(ledger.columns):
+        return ledger.select(F.col(id_col).cast("string").alias(id_col)).limit(0)
+    others = ledger.filter(F.col("status").isin(PENDING, FAILURE) & ~F.col("run_id").eqNullSafe(F.lit(run_id)))
+    # of one instant, the failure is the later
+    last = F.max(F.struct("ts", (F.col("status") == FAILURE).alias("failed")))
+    key = strip(F.col(id_col).cast("string"))
+    return others.groupBy(key.alias(id_col)).agg(last.alias("_last")).filter("not _last.failed").select(id_col)
+
+
 def current_failures(ledger: DataFrame, id_col: str = "id") -> DataFrame:
     """Failed ids of the latest run, the one with the latest time (each run
     starts its list of failures anew)."""

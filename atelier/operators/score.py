@@ -3,8 +3,8 @@
 A client is built once per partition by ``client_factory()``; it has
 ``call(request: str, options: dict) -> str`` and raises on failure.  Calls
 never raise per row: the error is classified into the output.  Concurrency
-is the number of partitions of the input; there are no retries (as in the
-original tool).  Model output is non-deterministic and paid for, so
+is the number of partitions of the input times the calls that each keeps in
+flight; there are no retries (as in the original tool).  Model output is non-deterministic and paid for, so
 ``score_and_materialize`` checkpoints the result: a lost executor never
 repeats calls that finished.
 """
@@ -12,13 +12,19 @@ repeats calls that finished.
 from __future__ import annotations
 
 import hashlib
+import threading
+import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from atelier.constants import STATUS_DEPRECATED
+from atelier.constants import PLANNER_MAX_NEW_TOKENS, PLANNER_TEMPERATURE, PLANNER_TOP_P, STATUS_DEPRECATED
+
+#: Options of a stage's requests.
+STAGE_OPTIONS = {"plan": {"max_new_tokens": PLANNER_MAX_NEW_TOKENS, "temperature": PLANNER_TEMPERATURE, "top_p": PLANNER_TOP_P}}
 
 RESULT_FIELDS = "response string, ok boolean, error_class string, error_text string"
 _RESULT = pa.struct([("response", pa.string()), ("ok", pa.bool_()), ("error_class", pa.string()), ("error_text", pa.string())])
@@ -53,31 +59,44 @@ def model_score(
     client_factory: Callable[[], object],
     options: dict | None = None,
     partitions: int | None = None,
+    in_flight: int = 1,
+    stage: str | Column | None = None,
+    stage_options: dict[str, dict] | None = None,
 ) -> DataFrame:
     """Adds ``response, ok, error_class, error_text`` to every row.
 
-    Only the request goes to Python; all other columns stay as they are.  A
-    column of ``df`` with one of the four names is replaced.
+    Only the request (and the stage) goes to Python; all other columns stay as
+    they are.  A column of ``df`` with one of the four names is replaced.
+    A partition keeps up to ``in_flight`` calls open, each on a thread with a
+    client of its own, and returns the results in the rows' order.  A request's
+    options are ``options`` with those that ``stage_options`` gives for the
+    row's ``stage`` (a column) on top.
     """
-    opts = dict(options or {})
+    opts, by_stage = dict(options or {}), dict(STAGE_OPTIONS if stage_options is None else stage_options)
     src = df.repartition(partitions) if partitions else df
 
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        client = client_factory()
-        for batch in batches:
-            out = []
-            for req in batch.to_pylist():
-                try:
-                    out.append({"response": client.call(req, opts), "ok": True, "error_class": None, "error_text": None})
-                except Exception as e:  # classified, never raised per row
-                    kind, text = classify(e)
-                    out.append({"response": None, "ok": False, "error_class": kind, "error_text": text})
-            yield pa.array(out, _RESULT)
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        own = threading.local()
+
+        def one(req: str | None, kind: str | None) -> dict:
+            try:
+                if not hasattr(own, "client"):
+                    own.client = client_factory()
+                return {"response": own.client.call(req, opts | by_stage.get(kind, {})), "ok": True, "error_class": None, "error_text": None}
+            except Exception as e:  # classified, never raised per row
+                error, text = classify(e)
+                return {"response": None, "ok": False, "error_class": error, "error_text": text}
+
+        with ThreadPoolExecutor(max(1, in_flight)) as pool:
+            for requests, stages in batches:
+                calls = zip(requests.to_pylist(), stages.to_pylist(), strict=True)
+                yield pa.array(list(pool.map(lambda c: one(*c), calls)), _RESULT)
 
+    where = F.lit(None).cast("string") if stage is None else (F.col(f"`{stage}`") if isinstance(stage, str) else stage).cast("string")
     call = F.arrow_udf(run, RESULT_FIELDS).asNondeterministic()
     names = [f.split()[0] for f in RESULT_FIELDS.split(", ")]
     keep = [c for c in src.columns if c not in names]
-    called = src.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), call(F.col(f"`{request}`").cast("string")).alias("result"))
+    called = src.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), call(F.col(f"`{request}`").cast("string"), where).alias("result"))
     return called.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], *[f"result.{n}" for n in names])
 
 
@@ -88,29 +107,32 @@ def score_and_materialize(df: DataFrame, request: str, client_factory, options=N
 
 
 def score_stage(
-    df: DataFrame, request: str, client_factory, results: str, ledger: str, stage: str, key: str = "id", run_id: str | None = None, options=None, partitions=None
+    df: DataFrame, request: str, client_factory, results: str, ledger: str, stage: str, key: str = "id", run_id: str | None = None, options=None, partitions=None, in_flight: int = 1
 ) -> DataFrame:
     """One resumable model stage: calls only for rows whose key has no success
     in the ledger of this stage, stores the results, writes successes and
     failures to the ledger, and returns the stored successes of ``df``.
 
-    ``results`` and ``ledger`` are tables in shared storage; a second run after
-    a fault or a failure repeats no call that succeeded.
+    ``results`` and ``ledger`` are tables in shared storage (see ``committed``);
+    a second run after a fault or a failure repeats no call that succeeded and
+    whose results were stored.  The calls have the options of their stage.
     """
     from atelier.operators.runs import SUCCESS, ledger_ids, resume_pending
     from atelier.session import written
     from atelier.sources.scans import read_ledger
+    from atelier.sources.committed import read_committed, write_committed
     from atelier.sources.sinks import write_ledger
 
+    run_id = run_id or uuid.uuid4().hex
     spark = df.sparkSession
     done = read_ledger(spark, ledger)
     if "stage" in done.columns:
         done = done.filter(F.col("stage") == stage)
     pending = resume_pending(df, done, key)
-    scored = written(model_score(pending.select(F.col(key).cast("string").alias("id"), F.col(request).alias("request")), "request", client_factory, options, partitions), "scored")
-    scored.filter("ok").select("id", "response").withColumn("stage", F.lit(stage)).write.mode("append").partitionBy("stage").parquet(results)
-    write_ledger(scored.select("id", F.when(F.col("ok"), SUCCESS).otherwise("failure").alias("status"), F.lit(stage).alias("stage")), ledger, run_id)
-    stored = spark.read.parquet(results).filter(F.col("stage") == stage).select(F.col("id").alias("_id"), "response")
+    scored = written(model_score(pending.select(F.col(key).cast("string").alias("id"), F.col(request).alias("request")), "request", client_factory, options, partitions, in_flight, F.lit(stage)), "scored")
+    write_committed(scored.filter("ok").select("id", "response"), results, f"{stage}-{run_id}", ("stage", stage))
+    write_ledger(scored.select("id", F.when(F.col("ok"), SUCCESS).otherwise("failure").alias("status"), F.lit(stage).alias("stage")), ledger, run_id, key=stage)
+    stored = read_committed(spark, results, "id string, response string, stage string").filter(F.col("stage") == stage).select(F.col("id").alias("_id"), "response")
     good = ledger_ids(read_ledger(spark, ledger).filter(F.col("stage") == stage), status=SUCCESS)
     stored = stored.dropDuplicates(["_id"]).join(good, F.col("_id") == F.col("id"), "left_semi")
     return df.join(stored, F.col(key).cast("string") == F.col("_id")).drop("_id")

@@ -1,7 +1,7 @@
 """Registered queries over the driver's tables.
 
 Each key runs a library operator over whole tables (no id subsets, no row
-caps) and, where SQL can express it, carries an independent DuckDB oracle
+caps; three keys of conversations read turns 0 to 4, see the README) and, where SQL can express it, carries an independent DuckDB oracle
 computed from the base rows.  Output columns are aliased identically on
 both sides and cast to bigint/double/string/boolean.
 """
@@ -28,7 +28,7 @@ def scenario(key: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from atelier.scenarios import chat, models, plans, repair, reports, retrieval, runs, text  # noqa: F401
+    from atelier.scenarios import chat, models, plans, repair, reports, retrieval, runs, storage, text  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

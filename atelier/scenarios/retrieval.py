@@ -10,7 +10,7 @@ from atelier.functions import text as T
 from atelier.functions import vectors as V
 from atelier.operators import retrieve as RT
 from atelier.operators.agg import first_by
-from atelier.operators.encode import encode_text
+from atelier.operators.encode import encode_text, hash_counts
 from atelier.operators.layers import explode_layers, parse_plan_layers
 from atelier.operators.runs import stage_outcome
 from atelier.scenarios import scenario
@@ -187,14 +187,27 @@ def copy_manifest(spark, d):
     return RT.copy_manifest(hits, "l_orderkey", "pos", "layer_id", "src").select("l_orderkey", "dst", "src")
 
 
-# ---------------------------------------------------------------- model-side keys (rows-only checks)
+# ---------------------------------------------------------------- model-side keys
 
 
-@scenario("encode_text")
+@scenario(
+    "encode_text",
+    r"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+')) AS tok FROM documents),
+h AS (SELECT doc_id, CAST('0x' || substr(md5(tok), 1, 8) AS BIGINT) % 128 AS b FROM t),
+c AS (SELECT doc_id, b % 64 AS slot, sum(CASE WHEN b < 64 THEN 1 ELSE -1 END) AS v FROM h GROUP BY ALL),
+g AS (SELECT d.doc_id, s.slot, CAST(coalesce(c.v, 0) AS BIGINT) AS v FROM documents d CROSS JOIN range(64) s(slot) LEFT JOIN c ON c.doc_id = d.doc_id AND c.slot = s.slot)
+SELECT doc_id, 64 AS dim, CASE WHEN sum(v * v) > 0 THEN 1.0 ELSE 0.0 END AS norm, CASE WHEN sum(v * v) > 0 THEN 1.0 END AS cosine,
+  string_agg(CAST(v AS VARCHAR), ',' ORDER BY slot) AS counts FROM g GROUP BY doc_id
+""",
+)
 def encode_text_q(spark, d):
+    """Signed token counts, the vector's length, and its cosine to the counts."""
     docs = table(spark, d, "documents").select("doc_id", "text")
-    e = encode_text(docs, "text", "embedding")
-    return e.select("doc_id", F.size("embedding").cast("bigint").alias("dim"), F.round(V.norm("embedding"), 6).alias("norm"))
+    e = encode_text(hash_counts(docs, "text", "n"), "text", "embedding")
+    cosine = F.try_divide(V.dot("embedding", "n"), V.norm("n"))
+    counts = F.array_join(F.transform("n", lambda x: x.cast("bigint").cast("string")), ",")
+    return e.select("doc_id", F.size("embedding").cast("bigint").alias("dim"), F.round(V.norm("embedding"), 5).alias("norm"), F.round(cosine, 5).alias("cosine"), counts.alias("counts"))
 
 
 @scenario("knn_ann")

@@ -49,10 +49,14 @@ class _Files:
 
     def begin(self) -> None:
         """A table has a log from its first job on, so that files of a job that
-        fails never count."""
+        fails never count.  Plain Parquet files that are there already do."""
         fs, at = open_fs(f"{self.path}/_log/created.json")
         if fs.get_file_info(at).type != pa.fs.FileType.File:
-            publish(fs, at, iter([json.dumps({"run": None, "files": [], "n_rows": 0}).encode()]))
+            _, top = open_fs(self.path)
+            there = fs.get_file_info(pa.fs.FileSelector(top, recursive=True, allow_not_found=True))
+            names = [f.path[len(top.rstrip("/")) + 1 :] for f in there if f.type == pa.fs.FileType.File and f.path.endswith(".parquet")]
+            plain = [n for n in names if not any(p[:1] in "._" for p in n.split("/"))]
+            publish(fs, at, iter([json.dumps({"run": None, "files": plain, "n_rows": None}).encode()]))
 
     def write_rows(self, batches: Iterator[pa.RecordBatch]) -> Written:
         name = "/".join(p for p in (self.folder, f"part-{uuid.uuid4().hex}.parquet") if p)
@@ -150,9 +154,10 @@ def write_committed(df: DataFrame, path: str, key: str, partition: tuple[str, st
 
 
 def commits(spark: SparkSession, path: str) -> DataFrame | None:
-    """The log of the table at ``path``: a row per commit; None without a log."""
+    """The log of the table at ``path``: a row per commit, and one with a null
+    ``run`` for what was there before; None without a log."""
     try:
-        return spark.read.schema(_LOG).json(f"{path.rstrip('/')}/_log").filter("run is not null")
+        return spark.read.schema(_LOG).json(f"{path.rstrip('/')}/_log")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -170,7 +175,10 @@ def read_committed(spark: SparkSession, path: str, schema: str) -> DataFrame:
             if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
             return spark.createDataFrame([], schema)
-    files = [f"{path.rstrip('/')}/{name}" for row in log.select("files").toLocalIterator() for name in row.files]  # as many as tasks wrote
-    if not files:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(*files)
+    names = [name for row in log.select("files").toLocalIterator() for name in row.files]  # as many as tasks wrote
+    found = spark.createDataFrame([], schema)
+    for in_folders in (True, False):  # files in partition folders, and plain ones
+        some = [f"{path.rstrip('/')}/{name}" for name in names if ("/" in name) == in_folders]
+        if some:
+            found = found.unionByName(spark.read.schema(schema).option("basePath", path).parquet(*some))
+    return found

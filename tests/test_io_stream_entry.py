@@ -62,6 +62,102 @@ def test_stream_intake_respects_ledger(spark):
     assert sorted(r.id for r in spark.read.parquet(f"{d}/sink").collect()) == ["1", "3"]
 
 
+def _intake(spark, d, name="intake", ckpt="ckpt"):
+    from atelier.streaming import stream_intake
+
+    q = stream_intake(spark, f"{d}/in", f"{d}/ledger", f"{d}/sink", f"{d}/{ckpt}", max_files_per_trigger=1, name=name)
+    q.awaitTermination()
+
+
+def _lines(path, *ids):
+    with open(path, "w") as f:
+        f.writelines(json.dumps({"id": i, "prompt": f"p{i}"}) + "\n" for i in ids)
+
+
+def test_stream_intake_takes_each_id_once_until_it_fails(spark, tmp_path):
+    d = str(tmp_path)
+    os.makedirs(f"{d}/in")
+    _lines(f"{d}/in/a.jsonl", "1", "2", "2")
+    _lines(f"{d}/in/b.jsonl", "2", "3")
+    _intake(spark, d)
+    sink = lambda: sorted((r.id, r.batch_id) for r in spark.read.parquet(f"{d}/sink").distinct().collect())
+    assert [i for i, _ in sink()] == ["1", "2", "3"]  # the second file's 2 was in work
+    sinks.write_ledger(spark.createDataFrame([("1",)], "id string"), f"{d}/ledger", run_id="work1")
+    sinks.write_ledger(spark.createDataFrame([("2",)], "id string"), f"{d}/ledger", run_id="work2", status="failure")
+    _lines(f"{d}/in/c.jsonl", "1", "2", "3", "4")
+    _intake(spark, d)  # goes on from the checkpoint: 1 is done, 3 in work, 2 is tried again
+    assert sink()[-3:] == [("2", 2), ("3", sink()[-2][1]), ("4", 2)] and [i for i, _ in sink()] == ["1", "2", "2", "3", "4"]
+    ledger = scans.read_ledger(spark, f"{d}/ledger")
+    assert sorted(r.id for r in ledger.filter("status = 'pending'").collect()) == ["1", "2", "2", "3", "4"]
+
+
+def test_stream_batch_that_is_repeated_adds_nothing(spark, tmp_path):
+    """A fault between the ledger's commit and the batch's end: the batch runs
+    again after the restart."""
+    import shutil
+
+    d = str(tmp_path)
+    os.makedirs(f"{d}/in")
+    _lines(f"{d}/in/a.jsonl", "1", "2")
+    _intake(spark, d)
+    _lines(f"{d}/in/b.jsonl", "3")
+    shutil.copytree(f"{d}/ckpt", f"{d}/before")
+    _intake(spark, d)
+    want = sorted(map(str, scans.read_ledger(spark, f"{d}/ledger").select("id", "status", "run_id").collect()))
+    _intake(spark, d, ckpt="before")  # the checkpoint as it was before batch 1
+    assert sorted(map(str, scans.read_ledger(spark, f"{d}/ledger").select("id", "status", "run_id").collect())) == want
+    assert sorted(r.id for r in spark.read.parquet(f"{d}/sink").collect()) == ["1", "2", "3"]
+
+
+class SlowClient:
+    def call(self, request, options):
+        import time
+
+        time.sleep(0.05)
+        if request == "r7":
+            raise ValueError("down")
+        return f"{request} {sorted(options.items())}"
+
+
+def test_calls_in_flight(spark):
+    import time
+
+    df = spark.createDataFrame([(i, f"r{i}", "plan" if i % 2 else "html") for i in range(160)], "id int, request string, kind string").coalesce(1)
+    options = {"plan": {"top_p": 0.5}, "html": {}}
+
+    def timed(k):
+        began = time.time()
+        out = model_score(df, "request", SlowClient, {"top_p": 0.9}, in_flight=k, stage="kind", stage_options=options).collect()
+        return time.time() - began, out
+
+    timed(16)  # warm
+    one, a = timed(1)
+    many, b = timed(16)
+    assert a == b and [r.id for r in a] == list(range(160)) and not a[7].ok
+    assert a[1].response == "r1 [('top_p', 0.5)]" and a[2].response == "r2 [('top_p', 0.9)]"
+    assert one > 8 and many < one / 4
+
+
+def test_native_encoder_against_python(spark):
+    import hashlib
+    import re
+
+    import numpy as np
+
+    from atelier.operators.encode import encode_text, hash_counts
+
+    texts = ["Hello hello wörld_1 42!", "", None, "... --", "a b c d e f g a b", "ÀÉ éa"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, `my text` string")
+    got = {r.i: r for r in encode_text(hash_counts(df, "my text", "n", 8), "my text", dim=8).collect()}
+    for i, t in enumerate(texts):
+        want = np.zeros(8)
+        for tok in re.findall(r"\w+", (t or "").lower()):
+            slot = int(hashlib.md5(tok.encode()).hexdigest()[:8], 16) % 16
+            want[slot % 8] += 1 if slot < 8 else -1
+        assert got[i].n == want.tolist()
+        assert np.allclose(got[i].embedding, want / (np.linalg.norm(want) or 1), atol=1e-6)
+
+
 def test_entry_runs(spark):
     import __spark_entry__ as E
 

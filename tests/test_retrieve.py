@@ -32,22 +32,49 @@ def test_knn_whole_table_matches_brute_force(spark):
     rows = [(r.vec_id, list(r.embedding)) for r in emb.collect()]
     want = brute(rows, rows, 3)
     for block in (4096, 64):  # one block, and many blocks on both sides
-        assert _got(RT.knn_topk(q, lib, k=3, block_rows=block)) == want
+        assert _got(RT.knn_topk(q, lib, k=3, block_rows=block, ship_bytes=0)) == want
+    assert _got(RT.knn_topk(q, lib, k=3)) == want  # the library is shipped
+    few = q.filter("qid % 7 = 0")  # the queries are
+    assert _got(RT.knn_topk(few, lib.repartition(5), k=3)) == {i: p for i, p in want.items() if i % 7 == 0}
+
+
+def test_knn_in_small_steps(spark, monkeypatch):
+    emb = table(spark, SF_SMALL, "embeddings").limit(120)
+    rows = [(r.vec_id, list(r.embedding)) for r in emb.collect()]
+    rows += [(1000 + i, v) for i, v in rows[:40]]  # ties
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(3)
+    monkeypatch.setattr(RT, "CELLS", 500)
+    q, lib = df.filter("vec_id < 50").selectExpr("vec_id as qid", "embedding"), df.selectExpr("vec_id as pos", "embedding")
+    for k in (1, 4, 500):
+        want = brute([(i, v) for i, v in rows if i < 50], rows, k)
+        assert _got(RT.knn_topk(q, lib, k=k)) == want
+        assert _got(RT.knn_topk(lib.selectExpr("pos as qid", "embedding"), q.selectExpr("qid as pos", "embedding"), k=k)) == brute(rows, [(i, v) for i, v in rows if i < 50], k)
+
+
+def test_knn_doesn_t_shuffle_the_large_side(spark):
+    """Shipped sides leave no exchange below the merge of candidates."""
+    emb = table(spark, SF_SMALL, "embeddings")
+    lib = emb.select(F.col("vec_id").alias("pos"), "embedding")
+    few = emb.filter("vec_id < 20").select(F.col("vec_id").alias("qid"), "embedding")
+    for queries, library in ((few, lib), (lib.withColumnRenamed("pos", "qid"), few.withColumnRenamed("qid", "pos"))):
+        plan = formatted(RT.knn_topk(queries, library, k=2)).split("(1)")[0]  # the tree: root first
+        assert "Exchange" not in plan.partition("MapInArrow")[2] and plan.count("Exchange") == 1, plan
 
 
 def test_knn_ties_zero_vector_and_small_library(spark):
     lib = spark.createDataFrame([(5, [1.0, 0.0]), (2, [1.0, 0.0]), (9, [0.0, 1.0])], "pos bigint, embedding array<float>")
     q = spark.createDataFrame([("a", [1.0, 0.0]), ("z", [0.0, 0.0])], "qid string, embedding array<float>")
-    got = _got(RT.knn_topk(q, lib, k=5))
-    assert got["a"] == [2, 5, 9]  # exact tie -> lowest position first; k > library
-    assert got["z"] == [2, 5, 9]
+    for ship in (1 << 20, 0):
+        got = _got(RT.knn_topk(q, lib, k=5, ship_bytes=ship))
+        assert got["a"] == [2, 5, 9]  # exact tie -> lowest position first; k > library
+        assert got["z"] == [2, 5, 9]
     empty = spark.createDataFrame([], "pos bigint, embedding array<float>")
     assert RT.knn_topk(q, empty, k=1).count() == 0
 
 
 def test_knn_plan_has_no_cartesian_product(spark):
     emb = table(spark, SF_SMALL, "embeddings")
-    df = RT.knn_topk(emb.select(F.col("vec_id").alias("qid"), "embedding"), emb.select(F.col("vec_id").alias("pos"), "embedding"), k=1, block_rows=64)
+    df = RT.knn_topk(emb.select(F.col("vec_id").alias("qid"), "embedding"), emb.select(F.col("vec_id").alias("pos"), "embedding"), k=1, block_rows=64, ship_bytes=0)
     plan = formatted(df)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
