@@ -250,13 +250,15 @@ def knn_ann(
     lib_pos: str = "pos",
     lib_vec: str = "embedding",
     n_cells: int | None = None,
-    nprobe: int = 2,
+    nprobe: int | None = None,
     block_rows: int = 4096,
     seed: int = 7,
     max_iter: int = 10,
 ) -> DataFrame:
     """Approximate top-k (IVF): k-means cells over the library, each query
-    scored against the library vectors of its ``nprobe`` nearest cells.
+    scored against the library vectors of its ``nprobe`` nearest cells (by
+    default a seventh of those that have vectors, two at least).  The index is
+    made for this call; ``ann`` stores one.
 
     Cells are fitted with Spark ML ``KMeans``, by default as many as the root
     of the library's size, 4096 at most; the fitted model assigns the library
@@ -280,7 +282,7 @@ def knn_ann(
     sizes = lib_c.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
     filled = np.array(sorted(r[0] for r in sizes.select("_cell").collect()))  # a number per cell
     centres = np.array(fitted.clusterCenters())[filled]
-    probes = min(nprobe, len(filled))
+    probes = min(nprobe or max(2, math.ceil(0.15 * len(filled))), len(filled))
 
     @F.arrow_udf("array<int>")
     def nearest(vectors: pa.Array) -> pa.Array:
@@ -324,8 +326,11 @@ def asset_lookup(hits: DataFrame, id_map: DataFrame, pos: str = "pos", elem_id:
 
 
 def missing_assets(hits: DataFrame, library: DataFrame, elem_id: str = "elem_id") -> DataFrame:
-    """Hits whose element has no file in the library (left anti join)."""
-    return hits.join(library.select(elem_id).distinct(), elem_id, "left_anti")
+    """Hits whose element has no file in the library (left anti join); those
+    without an element have none and don't go through the join."""
+    named = hits.filter(F.col(elem_id).isNotNull())
+    none = hits.filter(F.col(elem_id).isNull()).select(elem_id, *[c for c in hits.columns if c != elem_id])
+    return named.join(library.select(elem_id).distinct(), elem_id, "left_anti").unionByName(none)
 
 
 def asset_gate(layers: DataFrame, library: DataFrame, id_col: str, pos, elem_id: str = "elem_id") -> DataFrame:
@@ -337,9 +342,10 @@ def asset_gate(layers: DataFrame, library: DataFrame, id_col: str, pos, elem_id:
     position that is reported).
     """
     lib = library.select(F.col(elem_id).alias("_e")).distinct().withColumn("_found", F.lit(True))
-    flagged = layers.join(lib, F.col(elem_id) == F.col("_e"), "left").withColumn(
-        "_found", F.coalesce(F.col("_found"), F.lit(False))
-    )
+    # layers without an element would be one key of the join
+    named = layers.filter(F.col(elem_id).isNotNull()).join(lib, F.col(elem_id) == F.col("_e"), "left").drop("_e")
+    none = layers.filter(F.col(elem_id).isNull()).withColumn("_found", F.lit(False))
+    flagged = named.withColumn("_found", F.coalesce(F.col("_found"), F.lit(False))).unionByName(none)
     miss = ~F.col("_found")
     o = order_struct(pos)
     return flagged.groupBy(id_col).agg(

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import os
+from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,7 +64,7 @@ def sft_budget(
     """Lengths against the training budget.  Rows are cut at ``max_length``
     and the loss covers the completion only, so the kept completion is what
     fits after the prompt.  ``length_fn`` maps a string column to a length
-    (characters by default; pass a tokenizer ``pandas_udf`` for tokens)."""
+    (characters by default, ``token_length`` for tokens)."""
     pl = length_fn(F.col(prompt)).cast("bigint")
     cl = length_fn(F.col(completion)).cast("bigint")
     return df.withColumns(
@@ -74,6 +77,57 @@ def sft_budget(
     )
 
 
+@lru_cache(maxsize=4)
+def _tokenizer(path: str):
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def _token_ids(path: str, texts: pa.Array, rows: int = 256) -> Iterator[list[int] | None]:
+    """Ids of each text, without the tokenizer's own additions; None for null."""
+    for i in range(0, len(texts), rows):
+        part = texts.slice(i, rows).to_pylist()
+        made = _tokenizer(path).encode_batch_fast([t or "" for t in part], add_special_tokens=False)
+        yield from (None if t is None else e.ids for t, e in zip(part, made, strict=True))
+
+
+def token_length(path: str) -> Callable[[Column], Column]:
+    """A ``length_fn`` that counts the tokens of a tokenizer file (a path on
+    every machine)."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([None if ids is None else len(ids) for ids in _token_ids(path, texts)], pa.int64())
+
+    return lambda c: F.arrow_udf(run, "bigint")(c.cast("string"))
+
+
+def sft_tokens(df: DataFrame, path: str, prompt: str = "prompt", completion: str = "completion", max_length: int = SFT_MAX_LENGTH, out: str = "tokens") -> DataFrame:
+    """Adds ``out``: the training example as token ids, cut at ``max_length``.
+
+    ``ids``: prompt and completion, what fits; ``n_prompt`` and
+    ``n_completion``: before the cut; the loss covers ``[loss_start,
+    loss_end)``, the completion's ids that are left (none if the prompt alone
+    fills the budget).  NULL for a pair with a null side.  Both sides are
+    tokenized apart, so that the border is one between tokens.
+    """
+
+    def run(prompts: pa.Array, completions: pa.Array) -> pa.Array:
+        rows = []
+        for p, c in zip(_token_ids(path, prompts), _token_ids(path, completions), strict=True):
+            if p is None or c is None:
+                rows.append(None)
+                continue
+            start = min(len(p), max_length)
+            ids = (p + c)[:max_length]
+            rows.append({"ids": ids, "n_prompt": len(p), "n_completion": len(c), "loss_start": start, "loss_end": max(start, len(ids))})
+        return pa.array(rows, pa.struct([("ids", pa.list_(pa.int32())), *((n, pa.int64()) for n in ("n_prompt", "n_completion", "loss_start", "loss_end"))]))
+
+    schema = "ids array<int>, n_prompt bigint, n_completion bigint, loss_start bigint, loss_end bigint"
+    return df.withColumn(out, F.arrow_udf(run, schema)(F.col(prompt).cast("string"), F.col(completion).cast("string")))
+
+
 def training_columns(df: DataFrame, blocks: Sequence[str] = PLAN_TAGS) -> DataFrame:
     """Per training row: each block non-null, and each tagged exactly once
     with its own tag (``<b>`` and ``</b>`` once each)."""

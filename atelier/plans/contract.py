@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from atelier.constants import PLAN_TAGS, PY_WHITESPACE_CLASS
 from atelier.functions.jsonparse import TEXT_ELEMENT
 from atelier.functions.text import _col, strip, tag_count
+from atelier.functions.variants import ABSENT, MISTYPED, NULL, field_status
 
 
 def tag_multiplicity(text, tags: Sequence[str] = PLAN_TAGS) -> Column:
@@ -125,6 +126,30 @@ def text_elements(elements: DataFrame, id_col: str, items: str) -> DataFrame:
     return flat.withColumn("missing", missing.cast("bigint"))
 
 
+def text_field_status(blocks: DataFrame, id_col: str, block: str, fields: str = TEXT_ELEMENT) -> DataFrame:
+    """Per element of a JSON array (the body of a text block): ``id_col``,
+    ``epos``, ``element`` (VARIANT) and ``status``, a struct of each field's
+    status: OK, ABSENT, NULL or MISTYPED.  A block that is no JSON array has no
+    elements."""
+    items = F.try_variant_get(F.try_parse_json(F.col(block)), "$", "array<variant>")
+    flat = blocks.select(id_col, F.posexplode(items).alias("epos", "element"))
+    kinds = [f.split(":") for f in fields[len("struct<") : -1].split(",")]
+    status = F.struct(*[field_status(F.col("element"), name, kind).alias(name) for name, kind in kinds])
+    return flat.select(id_col, F.col("epos").cast("bigint").alias("epos"), "element", status.alias("status"))
+
+
+def text_field_report(checked: DataFrame, fields: Sequence[str] = TEXT_FIELDS) -> DataFrame:
+    """One row per field over all elements of ``text_field_status``: ``elements``,
+    ``absent``, ``null``, ``mistyped``, and ``types``, the type that holds all
+    values of the field."""
+    aggs = [F.count(F.lit(1)).alias("elements")]
+    for f in fields:
+        aggs += [F.count_if(F.col(f"status.{f}") == s).alias(f"{f}__{s}") for s in (ABSENT, NULL, MISTYPED)]
+        aggs.append(F.schema_of_variant_agg(F.try_variant_get("element", f"$.{f}", "variant")).alias(f"{f}__types"))
+    rows = F.array(*[F.struct(F.lit(f).alias("field"), F.col("elements"), *[F.col(f"{f}__{s}").alias(n) for s, n in ((ABSENT, "absent"), (NULL, "null"), (MISTYPED, "mistyped"), ("types", "types"))]) for f in fields])
+    return checked.agg(*aggs).select(F.inline(rows))
+
+
 def plan_report(flags: DataFrame, id_col: str, rules: Sequence[str]) -> DataFrame:
     """One row per rule: plans checked and plans failing it (``flags`` has a
     boolean column per rule, true = passed)."""

@@ -167,6 +167,20 @@ def sft_budget(spark, d):
     return S.sft_budget(pairs).select("doc_id", "prompt_len", "completion_len", "over_budget", "kept_completion_len")
 
 
+@scenario("sft_tokens")
+def sft_tokens(spark, d):
+    """Token counts, the cut at the training length and the loss span of
+    prompt and answer pairs: each assistant turn with the turn before it."""
+    import public_tokenizers
+
+    c = table(spark, d, "conversations")
+    before = c.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("asked"))
+    pairs = c.filter("role = 'assistant'").join(before, ["conv_id", "turn"]).select("conv_id", "turn", CH.chat_render(F.array(CH.message("user", F.col("asked")))).alias("prompt"), F.concat("text", F.lit("<|im_end|>\n")).alias("completion"))
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    made = S.sft_budget(S.sft_tokens(pairs, path, max_length=512), max_length=512, length_fn=S.token_length(path))
+    return made.select("conv_id", "turn", "prompt_len", "completion_len", "over_budget", "kept_completion_len", F.size("tokens.ids").alias("n_kept"), "tokens.loss_start", "tokens.loss_end")
+
+
 @scenario(
     "chat_messages",
     f"""

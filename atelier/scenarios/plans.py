@@ -133,6 +133,34 @@ def group_binding(spark, d):
     )
 
 
+_KEY_CASES = "p_partkey % 10 = 0", "p_partkey % 7 = 0", "p_partkey % 11 = 0", "p_partkey % 13 = 0"
+_CLEAN = [f for f in C.TEXT_FIELDS if f not in ("width", "font", "font_size", "capitalize")]
+
+
+@scenario(
+    "text_field_report",
+    "SELECT f.field, p.elements, f.absent, f.nulls AS \"null\", f.mistyped FROM (SELECT count(*) AS elements FROM part) p, ("
+    + " UNION ALL ".join(
+        [f"SELECT 'width' AS field, count(*) FILTER ({_KEY_CASES[0]}) AS absent, 0 AS nulls, 0 AS mistyped FROM part", f"SELECT 'font', 0, count(*) FILTER ({_KEY_CASES[1]}), 0 FROM part"]
+        + [f"SELECT '{f}', 0, 0, count(*) FILTER ({c}) FROM part" for f, c in (("font_size", _KEY_CASES[2]), ("capitalize", _KEY_CASES[3]))]
+        + [f"SELECT '{f}', 0, 0, 0" for f in _CLEAN]
+    )
+    + ") f",
+)
+def text_field_report(spark, d):
+    """Every part as a text element whose fields are now and then left out,
+    null, or of another type."""
+    given = {"layer_id": "1", "type": '"TextElement"', "height": "10", "opacity": "0.5", "text": '"a, \\"b\\""', "text_align": '"center"', "angle": "-0.25", "line_height": "1.0", "letter_spacing": "1e-3"}
+    fixed = ", ".join(f'"{k}": {v}' for k, v in given.items())
+    left_out, null, text, number = (F.expr(c) for c in _KEY_CASES)
+    body = F.concat(
+        F.lit(" [{" + fixed), F.when(left_out, "").otherwise(', "width": 12.5'), F.when(null, ', "font": null').otherwise(', "font": "Arial"'),
+        F.when(text, ', "font_size": "12"').otherwise(', "font_size": 12'), F.when(number, ', "capitalize": 1').otherwise(', "capitalize": false'), F.lit("}]"),
+    )
+    checked = C.text_field_status(table(spark, d, "part").select("p_partkey", body.alias("block")), "p_partkey", "block")
+    return C.text_field_report(checked).select("field", "elements", "absent", "null", "mistyped")
+
+
 @scenario(
     "text_elements",
     """

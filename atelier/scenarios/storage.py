@@ -9,11 +9,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from atelier.operators import retrieve as RT
+from atelier.operators.files import render_ready_files as ready_files
 from atelier.scenarios import scenario
+from atelier.scenarios.text import _TOKEN, _container_sql
 from atelier.session import scratch_path, table
 from atelier.sources import scans, sinks
 from atelier.sources.storage import copy_files as copy
-from atelier.sources.storage import write_files
+from atelier.sources.storage import list_files, write_files
 from atelier.streaming.intake import stream_intake
 
 
@@ -56,6 +58,17 @@ def copy_files(spark, d):
     return both.select("id", "dst", "status", "again", "n_bytes", F.col("bytes").alias("sha256"))
 
 
+@scenario("render_ready_files", f"SELECT page_id, page_id % 5 != 0 AND {_container_sql(_TOKEN)} AS ready FROM (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN replace(html, 'class=\"ad\"', '') ELSE html END AS html FROM pages)")
+def render_ready_files(spark, d):
+    """Pages with the container whose file is there; every third has lost it."""
+    root = _page_files(spark, d, ".html")
+    rel = F.regexp_extract("path", "[^/]+/[^/]+$", 0)
+    files = list_files(spark, root).select(rel.alias("path"))
+    html = F.when(F.col("page_id") % 3 == 0, F.replace("html", F.lit('class="ad"'), F.lit(""))).otherwise(F.col("html"))
+    pages = table(spark, d, "pages").select("page_id", html.alias("html"), F.concat(_folder(), F.lit("/page"), F.col("page_id").cast("string"), F.lit(".html")).alias("path"))
+    return ready_files(pages, "html", "path", files, _TOKEN).select("page_id", "ready")
+
+
 @scenario("library_scan", "SELECT 'page' || CAST(page_id AS VARCHAR) AS elem_id, 'site' || CAST(page_id % 16 AS VARCHAR) AS folder FROM pages WHERE page_id % 5 != 0")
 def library_scan(spark, d):
     found = scans.library_scan(spark, _page_files(spark, d))

@@ -122,3 +122,62 @@ def test_leaderboard_golden(spark):
     assert marks[("Broad", "Text", "best")] == "GPT-5.1"
     delta = {(r.dataset, r.method, r.metric): r.delta for r in RE.ablation_delta(RE.results_long(wide, ["dataset", "method"], RE.METRIC_DIRECTIONS), "Ours").collect()}
     assert abs(delta[("Crello", "GPT-5", "Val")] - (0.6931 - 0.9521)) < 1e-12
+
+
+def test_token_budget_against_the_tokenizer(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from atelier.operators import sft as S
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    rows = [(0, "a prompt", "its answer, longer than the prompt"), (1, "word " * 50, "tail"), (2, "", "x y z"), (3, "p", ""), (4, None, "x"), (5, "x", None), (6, "é😀", "ünï " * 30)]
+    df = spark.createDataFrame(rows, "i int, prompt string, completion string")
+    got = {r.i: r for r in S.sft_budget(S.sft_tokens(df, path, max_length=20), max_length=20, length_fn=S.token_length(path)).collect()}
+    for i, p, c in rows:
+        if p is None or c is None:
+            assert got[i].tokens is None
+            continue
+        a, b = (t.encode(x, add_special_tokens=False).ids for x in (p, c))
+        k = got[i].tokens
+        assert k.ids == (a + b)[:20] and (k.n_prompt, k.n_completion) == (len(a), len(b))
+        assert k.ids[k.loss_start : k.loss_end] == b[: max(0, 20 - len(a))]
+        assert (got[i].prompt_len, got[i].completion_len, got[i].kept_completion_len) == (len(a), len(b), k.loss_end - k.loss_start)
+        assert got[i].over_budget == (len(a) + len(b) > 20)
+
+
+def test_text_fields_absent_null_and_mistyped_differ(spark):
+    from atelier.plans import contract as C
+
+    whole = {f: 1 if f == "layer_id" else True if f == "capitalize" else "t" if f in ("type", "text", "font", "text_align") else 1.5 for f in C.TEXT_FIELDS}
+    import json
+
+    blocks = [
+        [whole, {**whole, "layer_id": "7", "width": 3, "capitalize": None}],
+        [{k: v for k, v in whole.items() if k != "font"}, {**whole, "layer_id": 1.5, "text": 5, "angle": "0"}, "no object", None],
+    ]
+    texts = [json.dumps(b) for b in blocks] + ["{}", "[", None, "[]"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, block string")
+    checked = C.text_field_status(df, "i", "block").cache()
+    got = {(r.i, r.epos): r.status for r in checked.collect()}
+    assert set(got) == {(0, 0), (0, 1), (1, 0), (1, 1), (1, 2), (1, 3)}
+    assert set(got[0, 0]) == {"OK"}
+    odd = lambda k: {f: s for f, s in got[k].asDict().items() if s != "OK"}
+    assert odd((0, 1)) == {"layer_id": "MISTYPED", "capitalize": "NULL"}
+    assert odd((1, 0)) == {"font": "ABSENT"} and odd((1, 1)) == {"layer_id": "MISTYPED", "text": "MISTYPED", "angle": "MISTYPED"}
+    assert set(got[1, 2]) == {"ABSENT"} == set(got[1, 3])
+    report = {r.field: (r.elements, r.absent, r.null, r.mistyped) for r in C.text_field_report(checked).collect()}
+    assert report["layer_id"] == (6, 2, 0, 2) and report["font"] == (6, 3, 0, 0) and report["capitalize"] == (6, 2, 1, 0)
+    types = {r.field: r.types for r in C.text_field_report(checked).collect()}
+    assert types["font"] == "STRING" and types["layer_id"] == "VARIANT"
+
+
+def test_render_needs_the_file(spark):
+    from atelier.operators.files import render_ready_files
+
+    box = '<div class="poster">x</div>'
+    df = spark.createDataFrame([(1, box, "a"), (2, box, "b"), (3, "<p>", "a"), (4, box, None), (5, None, "a")], "i int, html string, path string")
+    files = spark.createDataFrame([("a",), ("a",), ("c",)], "path string")
+    got = {r.i: r.ready for r in render_ready_files(df, "html", "path", files).collect()}
+    assert got == {1: True, 2: False, 3: False, 4: False, 5: False}

@@ -106,3 +106,49 @@ def test_asset_lookup_gate_and_copies(spark):
     copies = spark.createDataFrame([("a", 0, 3, "s0"), ("a", 1, 3, "s1"), ("a", 2, 4, "s2")], "id string, pos int, layer_id bigint, src string")
     got = {r.dst: r.src for r in RT.copy_manifest(copies, "id", "pos").collect()}
     assert got == {"generated_images/layer3.png": "s1", "generated_images/layer4.png": "s2"}
+
+
+def _clustered(n, seed=1, dim=32):
+    """Unit vectors around n / 50 centres, and queries near some of them."""
+    rnd = np.random.default_rng(seed)
+    centres = rnd.normal(size=(max(n // 50, 2), dim))
+    v = centres[rnd.integers(0, len(centres), n)] + 0.6 * rnd.normal(size=(n, dim))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    q = v[:: max(n // 200, 1)] + 0.15 * rnd.normal(size=(len(v[:: max(n // 200, 1)]), dim))
+    return v, q
+
+
+def test_ann_recall_with_defaults_at_two_sizes(spark, tmp_path):
+    from atelier.operators import ann
+
+    for n in (600, 6000):
+        v, q = _clustered(n)
+        lib = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "pos bigint, embedding array<float>")
+        queries = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(q)], "qid bigint, embedding array<double>")
+        exact = RT.knn_topk(queries, lib, k=1).cache()
+        path = f"{tmp_path}/{n}"
+        cells = ann.build_index(lib.filter("pos % 3 > 0"), path)
+        for _ in range(2):
+            ann.add_vectors(lib.filter("pos % 3 = 0"), path, "third")
+        assert spark.read.parquet(f"{path}/centres").count() == cells
+        for found in (ann.search_index(queries, path), RT.knn_ann(queries, lib, k=1)):
+            assert found.count() == len(q)
+            assert RT.knn_recall(found, exact).first().recall >= 0.9
+        # what is searched is compared exactly, and more cells are never worse
+        got = {(r.qid, r.pos): r.sim for r in ann.search_index(queries, path, k=3, nprobe=cells).collect()}
+        assert len(got) == 3 * len(q)
+        assert all(abs(s - float(np.dot(q[i], v[p].astype(np.float32)))) < 1e-6 for (i, p), s in got.items())
+    emb = table(spark, SF_SMALL, "embeddings")
+    lib = emb.select(F.col("vec_id").alias("pos"), "embedding")
+    ann.build_index(lib, f"{tmp_path}/emb")
+    q = emb.select(F.col("vec_id").alias("qid"), "embedding")
+    assert RT.knn_recall(ann.search_index(q, f"{tmp_path}/emb"), RT.knn_topk(q, lib)).first().recall >= 0.9
+
+
+def test_layers_without_element_are_missing(spark):
+    rows = [("a", i, None) for i in range(500)] + [("b", 0, "x"), ("b", 1, None), ("c", 0, "x")]
+    layers = spark.createDataFrame(rows, "id string, pos int, elem_id string")
+    lib = spark.createDataFrame([("x",), (None,)], "elem_id string")
+    gate = {r.id: (r.ok, r.n_layers, r.n_missing, r.first_missing_pos) for r in RT.asset_gate(layers, lib, "id", "pos").collect()}
+    assert gate == {"a": (False, 500, 500, 0), "b": (False, 2, 1, 1), "c": (True, 1, 0, None)}
+    assert RT.missing_assets(layers, lib).count() == 501
