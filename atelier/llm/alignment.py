@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import groupby
 from operator import itemgetter
 
@@ -40,7 +39,7 @@ from atelier.llm import common as C
 #: Radixes of the B id, links that a task buffers, and runs that are merged together.
 RADIXES, BUFFER_LINKS, MERGED_RUNS = 8, 2_000_000, 16
 #: Bytes of text that are aligned at once.
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: A pair is (B id) * PAIR + (A id).
 PAIR = 1 << 21
 #: Bits for the documents of one run.
@@ -72,12 +71,6 @@ class Pieces:
         return self.blob[B.ragged(self.offset[ids], size)], size
 
 
-@lru_cache(maxsize=2)
-def pieces(path: str) -> Pieces:
-    return Pieces(path)
-
-
-@lru_cache(maxsize=1)
 def _decimals(ids: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The bytes of every id in decimal with each ending: ``, | ;`` or none."""
     made = [f"{i}{end}".encode() for i in range(ids) for end in (",", "|", ";", "")]
@@ -92,6 +85,11 @@ def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return total[end] - total[end - counts]
 
 
+def _tables(a_path: str, b_path: str) -> tuple:
+    a, b = B.ByteBpe(a_path), Pieces(b_path)
+    return a, b, _decimals(max(len(a.size), len(b.size)))
+
+
 class Aligned:
     """Tokens, groups and links of consecutive non-empty texts."""
 
@@ -118,7 +116,7 @@ class Aligned:
         self.n_links = _sums(self.ends_a.astype(np.int64), n_a)
         self.pairs = self.ids_b[self.ends_b] * PAIR + self.ids_a[self.ends_a]
 
-    def groups(self) -> pa.Array:
+    def groups(self, decimals: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.Array:
         """``a1,a2|b1;a3|b2,b3`` of each row."""
         na, nb = len(self.ids_a), len(self.ids_b)
         # in a group B's tokens follow A's
@@ -130,7 +128,7 @@ class Aligned:
         kind = np.where(self.ends_b, 2, 0)
         kind[(np.cumsum(self.n_b) - 1)[self.n_b > 0]] = 3
         code[np.arange(nb) + after_a[group_b]] = self.ids_b * 4 + kind
-        blob, offset, size = _decimals(1 << int(max(self.ids_a.max(initial=0), self.ids_b.max(initial=0)) + 1).bit_length())
+        blob, offset, size = decimals
         size = size[code]
         return B.binaries(blob[B.ragged(offset[code], size)], _sums(size, self.n_a + self.n_b)).cast(pa.large_string())
 
@@ -226,7 +224,8 @@ def _slices(text: pa.Array) -> Iterator[tuple[int, int]]:
 
 
 def _align(a_path: str, b_path: str, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    a, b, runs = B.tokenizer(a_path), pieces(b_path), Runs()
+    a, b, decimals = C.kept(("pair", a_path, b_path), lambda: _tables(a_path, b_path))
+    runs = Runs()
     task = TaskContext.get().partitionId()
 
     def rows(**columns) -> pa.RecordBatch:
@@ -248,7 +247,8 @@ def _align(a_path: str, b_path: str, schema: pa.Schema, batches: Iterator[pa.Rec
             counts = {name: np.zeros(e - s, np.int64) for name in ("n_a", "n_b", "n_links")}
             for name, n in counts.items():
                 n[some] = getattr(made, name)
-            texts = made.groups() if len(some) == e - s else _spread(made.groups(), some, e - s)
+            texts = made.groups(decimals)
+            texts = texts if len(some) == e - s else _spread(texts, some, e - s)
             yield rows(rid=part["rid"], key=part["key"], groups=texts, **counts)
             yield from packed(runs.add(rids[some], made.n_links, made.pairs))
     yield from packed(runs.flush())

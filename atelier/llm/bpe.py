@@ -29,7 +29,7 @@ from atelier.llm import common as C
 
 #: Bytes of text that are encoded at once, and ids that are decoded at once.
 IDS = 1 << 20
-SLICE = 2 << 20
+SLICE = 1 << 20
 LETTER, NUMBER, SPACE, OTHER = range(4)
 #: Ends that the split pattern cuts off behind an apostrophe.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -424,10 +424,9 @@ class ByteBpe:
         return self.blob[ragged(self.offset[ids], size)], size
 
 
-@lru_cache(maxsize=4)
 def tokenizer(path: str) -> ByteBpe:
     """The tables of a tokenizer file, made once in a worker."""
-    return ByteBpe(path)
+    return C.kept(("bytes", path), lambda: ByteBpe(path))
 
 
 def cuts(data: np.ndarray, most: int) -> np.ndarray:
@@ -488,7 +487,7 @@ def encode_column(path: str, text: Column, special: bool = True) -> Column:
         ids, counts = encoded(tokenizer(path), column, special)
         return [pa.array(counts, pa.int64()), binaries(ids.astype("<u4", copy=False), counts).cast(pa.binary())]
 
-    return C.arrow_struct(run, T.StructType().add("n_tokens", "long").add("ids", "binary"))(text.cast("string"))
+    return C.arrow_struct(run, T.StructType().add("n_tokens", "long").add("ids", "binary"), tables=True)(text.cast("string"))
 
 
 def decode_column(path: str, ids: Column) -> Column:
@@ -514,7 +513,7 @@ def bpe_round_trip(docs: DataFrame, path: str, text: str = "text", out: str = "b
     ``path`` names a tokenizer file on every machine.  Null texts count as
     empty: no ids, empty text.  Rows are independent: ties, repeated rows and
     null keys have their own results, an empty table gives none; a column named
-    as ``out`` is replaced.  No row is shuffled; a task holds a slice of 2 MiB
+    as ``out`` is replaced.  No row is shuffled; a task holds a slice of 1 MiB
     of text at a time, or a longer text in pieces, besides its Arrow batch.
     """
 
@@ -525,4 +524,4 @@ def bpe_round_trip(docs: DataFrame, path: str, text: str = "text", out: str = "b
         return [pa.array(counts, pa.int64()), binaries(ids, counts).cast(pa.binary()), decoded(bpe, ids, counts).cast(pa.string())]
 
     schema = T.StructType().add("n_tokens", "long").add("ids", "binary").add("decoded", "string")
-    return C.with_struct(docs, out, C.arrow_struct(run, schema)(F.col(f"`{text}`").cast("string")))
+    return C.with_struct(docs, out, C.arrow_struct(run, schema, tables=True)(F.col(f"`{text}`").cast("string")))

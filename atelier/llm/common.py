@@ -4,9 +4,12 @@ written intermediate tables, prefix sums, and a flat numpy view of Arrow text.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager, suppress
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +39,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession, what: str) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which all executors
     see.  Without that setting a cluster raises; a local session makes one."""
-    return f"{(_GROUP[-1] if _GROUP else scratch_root(spark)).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    return f"{(_GROUP.get() or scratch_root(spark)).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
-#: Folders of the groups of written tables that are open.
-_GROUP: list[str] = []
+#: Folder of the group of written tables that is open in this thread.
+_GROUP: ContextVar[str | None] = ContextVar("group", default=None)
 
 
 @contextmanager
@@ -49,11 +52,11 @@ def short_lived(spark: SparkSession, what: str) -> Iterator[None]:
     end: nothing that is used later may read them.  A file system that Arrow
     can't open keeps the folder."""
     folder = shared_dir(spark, what)
-    _GROUP.append(folder)
+    before = _GROUP.set(folder)
     try:
         yield
     finally:
-        _GROUP.remove(folder)
+        _GROUP.reset(before)
     with suppress(pa.ArrowInvalid, FileNotFoundError):
         fs, path = pa.fs.FileSystem.from_uri(folder)
         fs.delete_dir(path)
@@ -138,16 +141,43 @@ def running_totals(df: DataFrame, group: str, order: str, value: str, out: str,
     return inside.join(bases, [group, "_block"]).withColumn(out, F.col("_base") + F.col("_inside")).drop("_block", "_base", "_inside")
 
 
-def arrow_struct(fn: Callable[..., list], schema: T.StructType) -> Callable[..., Column]:
+#: What a Python worker keeps between batches and tasks, for one operator.
+_KEPT: dict[object, object] = {}
+
+
+def kept(name: object, make: Callable[[], object]):
+    """A worker's tables: made once under ``name``, until an operator with
+    other tables, or with none (see ``release``), runs in that worker."""
+    if name not in _KEPT:
+        release()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def release() -> None:
+    """Gives back the memory of tables that another operator has left in a
+    worker, which Spark uses again for whatever comes next."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+
+def arrow_struct(fn: Callable[..., list], schema: T.StructType, tables: bool = False) -> Callable[..., Column]:
     """An Arrow UDF that returns a struct; ``fn`` gets Arrow arrays and gives
     one Arrow array per field.  Marked non-deterministic so that a filter on
-    its result doesn't make Spark evaluate it twice."""
+    its result doesn't make Spark evaluate it twice.  ``tables``: whether it
+    uses ``kept`` ones."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     names = [f.name for f in schema.fields]
     kinds = [to_arrow_type(f.dataType) for f in schema.fields]
 
     def run(it: Iterator[tuple]) -> Iterator[pa.Array]:
+        if not tables:
+            release()
         for arrays in it:
             arrays = arrays if isinstance(arrays, tuple) else (arrays,)
             out = [a if a.type == k else a.cast(k) for a, k in zip(fn(*arrays), kinds, strict=True)]

@@ -255,19 +255,14 @@ class _Index:
         return out
 
 
-#: The indexes of one search's blocks.
-_INDEXES: dict[tuple[str, int], _Index] = {}
-
-
 def _finder(spark, search: str, block: int, items: list[tuple[int | None, str]]) -> Column:
     shared = spark.sparkContext.broadcast(items)
 
     def run(text: pa.Array) -> list[pa.Array]:
-        if (search, block) not in _INDEXES:
-            for other in [k for k in _INDEXES if k[0] != search]:
-                del _INDEXES[other]
-            _INDEXES[search, block] = _Index(shared.value)
-        index, counts, hits = _INDEXES[search, block], [], []
+        indexes = C.kept(search, dict)
+        if block not in indexes:
+            indexes[block] = _Index(shared.value)
+        index, counts, hits = indexes[block], [], []
         for t in C.texts(text):
             got = index.stretches(*index.search(t)) if index.n and len(t.data) else []
             counts.append(np.bincount(np.array([r for r, _ in got], np.int64), minlength=t.n))
@@ -278,7 +273,7 @@ def _finder(spark, search: str, block: int, items: list[tuple[int | None, str]])
         np.cumsum(np.concatenate(counts)[: len(text)], out=off[1:])
         return [pa.ListArray.from_arrays(pa.array(off), pa.StructArray.from_arrays(fields, names=[f.name for f in HITS.elementType.fields]))]
 
-    return C.arrow_struct(run, T.StructType([T.StructField("hits", HITS)]))
+    return C.arrow_struct(run, T.StructType([T.StructField("hits", HITS)]), tables=True)
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str):

@@ -15,7 +15,6 @@ from __future__ import annotations
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -78,10 +77,10 @@ def _draw(shares: np.ndarray, total: int, slots: int, seed: int, batches):
     """Multinomial counts over the groups of sources for each shard."""
     p = shares / shares.sum()
     for batch in batches:
-        for shard in batch["shard"]:
+        for shard in batch["shard"].to_pylist():
             n = np.random.Generator(np.random.PCG64([seed, int(shard)])).multinomial(min(slots, total - slots * int(shard)), p)
             some = np.flatnonzero(n)
-            yield pd.DataFrame({"shard": np.int64(shard), "group": some.astype(np.int64), "n": n[some].astype(np.int64)})
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), shard)), pa.array(some), pa.array(n[some])], names=["shard", "group", "n"])
 
 
 def _draw_within(seed: pa.Array, shard: pa.Array, group: pa.Array, n: pa.Array, quotas: pa.Array) -> pa.Array:
@@ -110,7 +109,7 @@ def shard_counts(sources: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int =
     schema = "shard long, group long, n long"
     if total:
         p = np.array([shares.get(g, 0) for g in range(max(shares) + 1)], float)
-        drawn = spark.range(-(-total // shard_slots)).withColumnRenamed("id", "shard").mapInPandas(partial(_draw, p, total, shard_slots, seed), schema)
+        drawn = spark.range(-(-total // shard_slots)).withColumnRenamed("id", "shard").mapInArrow(partial(_draw, p, total, shard_slots, seed), schema)
     else:
         drawn = spark.createDataFrame([], schema)
     counts = F.arrow_udf(_draw_within, T.ArrayType(T.LongType()))(F.lit(seed), "shard", "group", "n", F.col("of.slots"))

@@ -311,6 +311,11 @@ def _joined(active: DataFrame, member: DataFrame, sets: DataFrame, percent: int)
     return C.written(found.distinct(), "joined")
 
 
+def _text_key():
+    """128 bits of a text: two texts of one key would lose a node's set."""
+    return F.unhex(F.md5("text"))
+
+
 def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """Components of documents whose sets of ``size``-word shingles have a
     Jaccard similarity of ``percent`` / 100 or more.
@@ -324,7 +329,7 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
     gives an empty result; other columns aren't read.
     """
     docs = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    made = docs.select("key", F.xxhash64("text").alias("text_key"), _sketch(size)("text").alias("s"))
+    made = docs.select("key", _text_key().alias("text_key"), _sketch(size)("text").alias("s"))
     sketches = C.written(made.select("key", "text_key", "s.*"), "sketches")
     nodes = (
         sketches.filter("n_shingles > 0")
@@ -345,7 +350,7 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
     active = C.written(nodes.join(shared.hint("merge"), "nid", "left_semi").select("nid", "set_id", "text_key", "n_shingles", "registers"), "active")
     wanted = active.select("nid", "set_id", "text_key").hint("merge")
     # copies of a text meet map-side first, so that a hot text is no hot task
-    texts = docs.groupBy(F.xxhash64("text").alias("text_key")).agg(F.first("text").alias("text")).join(wanted, "text_key")
+    texts = docs.groupBy(_text_key().alias("text_key")).agg(F.first("text").alias("text")).join(wanted, "text_key")
     sets = texts.select("nid", "set_id", _sets(size)("text").alias("made")).filter("made.set_id = set_id")
     sets = C.written(sets.select("nid", "made.shingles"), "sets")
 

@@ -65,6 +65,7 @@ KINDS = (
     Kind("card", r"[0-9](?:[ -]?+[0-9]){15,}+", lambda m: F.length(digits(m)).between(16, 19) & luhn(m), 0.9, _CARD_WORDS, ""),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", lambda m: F.length(digits(m)).between(8, 15), 0.8, r"\btel|phone|call|fax|mobil|telefon|llam", "+"),
     Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", lambda m: F.length(F.replace(m, F.lit(" "), F.lit(""))).between(15, 34) & mod97(m), 0.9, "iban|bank|account|konto|compte|cuenta", "", False, 0.5),
+    Kind("secret", r"(?<![A-Za-z0-9])(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key)[\"']?[ ]?[:=][ ]?[\"']?[A-Za-z0-9+/_=-]{16,}+", lambda m: F.length(digits(m)) >= 4, 0.8, "auth|login|bearer|credential", "", False, 0.5),
     Kind("card13", r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?+[0-9]){12,14}+(?![ -]?[0-9])", luhn, 0.3, _CARD_WORDS, "", False, 0.5),
 )
 BASE = tuple(k for k in KINDS if k.base)
@@ -126,8 +127,9 @@ def find_personal_data(docs: DataFrame, text: str = "text", out: str = "found")
     (start, end, score), in code points, end exclusive, in order.
 
     Base kinds keep all spans that pass their check, whatever the score; the
-    added kinds (account numbers by mod 97, cards of 13 to 15 digits by Luhn)
-    keep those of 0.5 or more.  Every row stays; a column named ``out`` is
+    added kinds (account numbers by mod 97, cards of 13 to 15 digits by Luhn,
+    values of 16 or more characters with four digits that are assigned to a
+    token, key or password) keep those of 0.5 or more.  Every row stays; a column named ``out`` is
     replaced.  Null and empty texts have no spans.  No shuffle, no Python.
     """
     keep = [c for c in docs.columns if c.lower() != out.lower()]

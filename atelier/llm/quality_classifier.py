@@ -160,9 +160,6 @@ def fit(rated: DataFrame, key: str, text: str, rating: str, grades: int, counts:
     return train(x, np.array(labels), share / share.sum())
 
 
-_LOADED: dict[str, Model] = {}
-
-
 def grade_quality(docs: DataFrame, rated: DataFrame, key: str = "doc_id", text: str = "text", rating: str = "rating", grades: int = 3, out: str = "quality", counts: dict[int, int] | None = None) -> DataFrame:
     """``docs`` with a struct column ``out``: the ``expected`` grade, the
     ``tail`` probability of grade GRADE or more, the likeliest ``grade`` and
@@ -175,12 +172,10 @@ def grade_quality(docs: DataFrame, rated: DataFrame, key: str = "doc_id", text:
     model, name = docs.sparkSession.sparkContext.broadcast(fit(rated, key, text, rating, grades, counts)), uuid.uuid4().hex
 
     def run(column: pa.Array) -> list[pa.Array]:
-        if name not in _LOADED:
-            _LOADED.clear()
-            _LOADED[name] = model.value
-        q = np.concatenate([_LOADED[name].reach(x) for x in vectors(column)] or [np.zeros((0, grades - 1))])
+        fitted = C.kept(name, lambda: model.value)
+        q = np.concatenate([fitted.reach(x) for x in vectors(column)] or [np.zeros((0, grades - 1))])
         full = np.concatenate([np.ones((len(q), 1)), q, np.zeros((len(q), 1))], 1)
         return [pa.array(q.sum(1)), pa.array(q[:, GRADE - 1]), pa.array((full[:, :-1] - full[:, 1:]).argmax(1).astype(np.int32))]
 
-    value: Column = C.arrow_struct(run, SCORED)(F.col(text).cast("string"))
+    value: Column = C.arrow_struct(run, SCORED, tables=True)(F.col(text).cast("string"))
     return C.with_struct(docs, out, value).withColumn(out, F.col(out).withField("selected", F.col(f"{out}.tail") >= SELECT_AT))

@@ -46,7 +46,8 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(table(spark, sf_dir, "documents"))
     counts = [F.size(f"found.{k.name}").cast("long").alias(f"n_{k.name}") for k in BASE]
     return found.select(
-        "doc_id", *counts, F.sha2(named_spans("found", BASE), 256).alias("base_sha256"), named_spans("found", KINDS).alias("spans"), named_spans("found", KINDS, True).alias("scores")
+        "doc_id", *counts, F.sha2(named_spans("found", BASE), 256).alias("base_sha256"), named_spans("found", KINDS).alias("spans"), named_spans("found", KINDS, True).alias("scores"),
+        sum((F.size(f"found.{k.name}") for k in KINDS), F.lit(0)).cast("long").alias("n_found"),
     )
 
 

@@ -24,7 +24,6 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 from urllib.parse import quote
 
 import numpy as np
@@ -41,7 +40,7 @@ from atelier.llm.bpe import Merges, byte_chars, ragged
 INDEX, SEEK, FOOT = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 FRAME_IDS = 1 << 20
 #: Bytes of text that are encoded at once, and of a shard's texts at most (a longer text apart).
-SLICE, SHARD_BYTES = 4 << 20, 512 << 20
+SLICE, SHARD_BYTES = 2 << 20, 512 << 20
 #: Words of letters that are encoded as one text, and bytes that are read at once.
 RUN, READ_BYTES = 200, 8 << 20
 LEVEL = 3
@@ -212,10 +211,9 @@ class WordEncoder:
                 at = to
 
 
-@lru_cache(maxsize=1)
 def word_encoder(path: str) -> WordEncoder:
     """The tables of a tokenizer file, made once in a worker."""
-    return WordEncoder(path)
+    return C.kept(("words", path), lambda: WordEncoder(path))
 
 
 def _open(path: str) -> tuple[pa.fs.FileSystem, str]:

@@ -201,9 +201,6 @@ def training_rows(labelled: DataFrame, key: str, text: str, label: str) -> tuple
     return [names[i] for i in order], [texts[names[i]] for i in order]
 
 
-_LOADED: dict[str, tuple] = {}
-
-
 def toxicity_score(model: Model, text: Column) -> Column:
     """The model's score of each whole text, from 0 to 1; null and empty texts
     get that of a text without windows."""
@@ -211,10 +208,7 @@ def toxicity_score(model: Model, text: Column) -> Column:
 
     @F.arrow_udf(T.DoubleType())
     def score(column: pa.Array) -> pa.Array:
-        if name not in _LOADED:
-            _LOADED.clear()
-            _LOADED[name] = model.compressors()
-        return pa.array(model.score(features(_LOADED[name], column.to_pylist())))
+        return pa.array(model.score(features(C.kept(name, model.compressors), column.to_pylist())))
 
     return score(text.cast("string"))
 

@@ -168,3 +168,58 @@ def test_trees_learn_labelled_urls(spark):
     pages = spark.createDataFrame([(u, y) for u, y in rows[900:]], "url string, y double")
     got = filter_urls(pages, labelled, rules={}).collect()
     assert np.mean([(r["filter"].verdict == "block") == (r.y == 1) for r in got]) > 0.97
+
+
+def test_very_many_matches_and_secrets(spark):
+    """200,000 matches in one text: the places are running sums."""
+    text = " ".join(f"a{i}@b.cd" for i in range(200_000))
+    r = find_personal_data(spark.createDataFrame([(text,)], "text string")).select("found.email").first().email
+    assert len(r) == 200_000 and all(text[x.start : x.end] == f"a{i}@b.cd" for i, x in enumerate(r) if i % 997 == 0)
+    texts = ['the token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" x', "API_KEY: abcdefgh12345678", "token = short1", "password: aaaaaaaaaaaaaaaaaaaa", "mytoken=aaaa1111bbbb2222"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    got = [r.s for r in find_personal_data(df).orderBy("i").select(named_spans("found", tuple(k for k in KINDS if k.name == "secret")).alias("s")).collect()]
+    assert got == ["secret:4:53", "secret:0:25", "", "", ""]
+
+
+def test_rules_with_other_column_names(spark):
+    df = edge_table(spark, True).withColumnsRenamed({"text": "body", "lang": "language"}).withColumn("lang", F.lit("zz")).withColumn("text", F.lit(1))
+    a = quality_rules(df, text="body", lang="language").select("doc_id", "rules.*").collect()
+    b = quality_rules(edge_table(spark)).select("doc_id", "rules.*").collect()
+    assert sorted(map(str, a)) == sorted(map(str, b))
+
+
+def test_url_features_against_python(spark):
+    import math
+    from collections import Counter
+
+    from atelier.llm import url_filter as U
+
+    urls = ["https://a-b.example.com/x_1/y?q=1&r=2#f", "http://h", "no url", "", "ftp://É.org/é/7?a", "x://y/?&&", "http://aab"]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    host, path = U.host_and_path(F.col("url"))
+    df = df.withColumn("host", host).withColumn("path", path)
+    bits = lambda s: -sum(c / len(s) * math.log2(c / len(s)) for c in Counter(s).values()) if s else 0.0
+    for r in df.select("*", *[c.alias(f"f_{k}") for k, c in U.lexical(F.col("url"), F.col("host"), F.col("path")).items()]).collect():
+        u, h, p = r.url, r.host, r.path
+        assert (h, p) == split_url(u)
+        q = re.search(r"\?([^#]*)", u)
+        q = q.group(1) if q else ""
+        want = {
+            "length": len(u), "host_length": len(h), "path_length": len(p), "labels": h.count(".") + 1, "depth": p.count("/"), "digit_ratio": len(re.findall("[0-9]", u)) / max(len(u), 1),
+            "hyphens": len(re.findall("[-_]", u)), "host_hyphens": h.count("-"), "parameters": q.count("&") + 1 if q else 0, "query_length": len(q), "fragment": "#" in u, "secure": u.startswith("https:"),
+            "entropy": bits(u), "host_entropy": bits(h),
+        }
+        assert {k: round(float(v), 9) for k, v in want.items()} == {k: round(r[f"f_{k}"], 9) for k in want}
+
+
+def test_trees_on_held_out_urls(spark):
+    """Labels by depth and parameters; suffix shares from labelled rows only."""
+    rnd = random.Random(3)
+    rows = []
+    for i in range(1500):
+        bad = rnd.random() < 0.5
+        suffix = rnd.choice(["com", "org", "zip", "zip"] if bad else ["com", "org", "com", "dev"])
+        rows.append((f"http://{'h' * rnd.randrange(1, 40)}{i}.{suffix}/" + "/".join(["p"] * rnd.randrange(*((4, 9) if bad else (0, 4)))) + ("?" + "&".join(["a=1"] * 5) if bad and rnd.random() < 0.7 else ""), int(bad)))
+    labelled = spark.createDataFrame([*rows[:1000], (None, 1), ("http://n.com/", None)], "url string, label int")
+    got = filter_urls(spark.createDataFrame(rows[1000:], "url string, truth int"), labelled, rules={}).select("truth", "filter.*").collect()
+    assert np.mean([(r.verdict == "block") == r.truth for r in got]) > 0.9

@@ -220,3 +220,37 @@ def test_passage_edges(spark):
     out = S.substring_dedup(df)
     assert out.count() == len(EDGES) and "repeats" in out.columns
     assert S.substring_dedup(empty_table(spark)).count() == 0
+
+
+def test_repeated_passages_query_against_plain_counts(spark):
+    """The registered query against the chunks of every document, counted
+    without Spark."""
+    from atelier.llm import registry
+    from atelier.llm import substring_dedup as S
+    from tests.conftest import SF_SMALL
+
+    docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect())
+    digest, start, end, words = (c.to_pylist() for c in S.chunks(pa.array([t for _, t in docs])))
+    holders = {}
+    for (key, _), some in zip(docs, digest, strict=True):
+        for d in some:
+            holders.setdefault(d, set()).add(key)
+    want = set()
+    for (key, _), d, s, e, w in zip(docs, digest, start, end, words, strict=True):
+        i = 0
+        while i < len(d):
+            j = i
+            while j < len(d) and len(holders[d[j]]) > 1:
+                j += 1
+            total = sum(w[i:j])
+            a = i
+            while a < j and total >= S.LEAST_WORDS:
+                first = min(holders[d[a]]) == key
+                b = a
+                while b < j and (min(holders[d[b]]) == key) == first:
+                    b += 1
+                want.add((key, s[a], e[b - 1], total, first))
+                a = b
+            i = max(j, i + 1)
+    got = registry.op5_repeated_passages(spark, SF_SMALL).collect()
+    assert {(r.doc_id, r.start, r.end, r.n_words, r.first) for r in got} == want and len(got) == len(want)
