@@ -14,6 +14,7 @@ from atelier.constants import (
     CRITIC_SYSTEM_PROMPT,
     CRITIQUE_TEMPLATE,
     GENERATION_ROLE,
+    IMAGE_ENHANCE_PROMPT,
     IMAGE_SYSTEM_PROMPT,
     KEY_COLOUR_QUESTION,
     LAYOUT_SYSTEM_PROMPT,
@@ -130,6 +131,11 @@ def refine_messages(html, rendered_url, reference_url) -> Column:
     )
 
 
+def enhance_request(image_url, prompt: str = IMAGE_ENHANCE_PROMPT) -> Column:
+    """The image edit that a refinement round begins with: prompt and image."""
+    return F.struct(F.lit(prompt).alias("prompt"), _col(image_url).alias("image"))
+
+
 def key_colour_messages(image_url) -> Column:
     """The request that asks whether an image has the key colour."""
     return F.struct(

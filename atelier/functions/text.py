@@ -12,8 +12,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from atelier.constants import (
+    AFTER_IMAGE_REFINE_HTML,
+    INIT_HTML,
     LAYER_URL_FORMAT,
+    LAYOUT_PROMPT_FILE,
     PY_WHITESPACE_CLASS,
+    REFERENCE_IMAGE_FORMAT,
+    REFINED_HTML_FORMAT,
+    REPAIR_SUMMARY_FILE,
     TEMP_LAYER_URL_FORMAT,
 )
 
@@ -109,6 +115,25 @@ def artifact_path(c, suffix: str = ".png") -> Column:
     return F.concat(path_root(c), F.lit(suffix))
 
 
+def example_paths(id_col) -> Column:
+    """``struct(layout_prompt, init_html, repaired_html, repair_summary)``: the
+    files of an example, in the folder that its id names."""
+    in_folder = lambda name: F.concat(_col(id_col).cast("string"), F.lit(f"/{name}"))
+    return F.struct(
+        in_folder(LAYOUT_PROMPT_FILE).alias("layout_prompt"), in_folder(INIT_HTML).alias("init_html"),
+        in_folder(AFTER_IMAGE_REFINE_HTML).alias("repaired_html"), in_folder(REPAIR_SUMMARY_FILE).alias("repair_summary"),
+    )
+
+
+def round_paths(id_col, round_) -> Column:
+    """``struct(reference, html)``: the files of a refinement round (from 1)."""
+    def named(pattern: str) -> Column:
+        before, after = pattern.split("{}")
+        return F.concat(_col(id_col).cast("string"), F.lit(f"/{before}"), _col(round_).cast("string"), F.lit(after))
+
+    return F.struct(named(REFERENCE_IMAGE_FORMAT).alias("reference"), named(REFINED_HTML_FORMAT).alias("html"))
+
+
 def data_url(content, mime: str = "image/png") -> Column:
     """``data:<mime>;base64,<payload>`` without the CRLF breaks that Spark's
     ``base64`` inserts every 76 characters."""

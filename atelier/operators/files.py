@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atelier.constants import LISTING_SUFFIX, POSTER_CLASS, REFINED_LISTING_PREFIX
+from atelier.constants import LISTING_SUFFIX, POSTER_CLASS
 from atelier.functions.html import render_ready
 
+#: Prefix of the files that a listing shows, unless told otherwise.
+REFINED_LISTING_PREFIX = "refined_"
+
 
 def render_ready_files(examples: DataFrame, html: str, path: str, files: DataFrame, token: str = POSTER_CLASS, out: str = "ready") -> DataFrame:
     """Adds ``out``: an example can be rendered if its HTML file (``path``)

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from atelier.constants import RETRIEVAL_K
 from atelier.functions.chat import format_manifest_json, manifest_entry
 from atelier.functions.text import layer_url
 from atelier.operators.agg import _cols, last_by, order_struct, ordered_concat
@@ -192,7 +193,7 @@ def _merge_topk(cands: DataFrame, qkey: str, k: int) -> DataFrame:
 def knn_topk(
     queries: DataFrame,
     library: DataFrame,
-    k: int = 1,
+    k: int = RETRIEVAL_K,
     query_key: str = "qid",
     query_vec: str = "embedding",
     lib_pos: str = "pos",

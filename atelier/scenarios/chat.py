@@ -8,6 +8,7 @@ from atelier.constants import (
     ASSISTANT_SYSTEM_PROMPT,
     CRITIC_SYSTEM_PROMPT,
     CRITIQUE_TEMPLATE,
+    IMAGE_ENHANCE_PROMPT,
     IMAGE_SYSTEM_PROMPT,
     KEY_COLOUR_QUESTION,
     LAYOUT_SYSTEM_PROMPT,
@@ -364,6 +365,22 @@ def key_colour_request(spark, d):
     return docs.select("doc_id", "m.system", _parts("m.user").alias("parts"))
 
 
+@scenario("enhance_request", f"SELECT doc_id, {sql_literal(IMAGE_ENHANCE_PROMPT)} AS prompt, {_URL_A} AS image FROM documents")
+def enhance_request(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", CH.enhance_request(F.expr(_URL_A)).alias("m"))
+    return docs.select("doc_id", "m.*")
+
+
+@scenario(
+    "example_paths",
+    """SELECT event_id, user_id || '/layout_prompt.txt' AS layout_prompt, user_id || '/init_result.html' AS init_html, user_id || '/after_image_refine.html' AS repaired_html,
+  user_id || '/image_refine_summary.json' AS repair_summary, user_id || '/reference_' || (event_id % 3 + 1) || '.png' AS reference, user_id || '/refined_' || (event_id % 3 + 1) || '.html' AS html FROM events""",
+)
+def example_paths(spark, d):
+    e = table(spark, d, "events").select("event_id", T.example_paths("user_id").alias("a"), T.round_paths("user_id", F.col("event_id") % 3 + 1).alias("b"))
+    return e.select("event_id", "a.*", "b.*")
+
+
 @scenario(
     "critic_request",
     f"""SELECT doc_id, {sql_literal(CRITIC_SYSTEM_PROMPT)} AS system,
