@@ -17,6 +17,7 @@ from atelier.operators.encode import encode_text, hash_counts
 from atelier.operators.layers import explode_layers, parse_plan_layers
 from atelier.operators.runs import stage_outcome
 from atelier.scenarios import scenario
+from atelier.scenarios.text import _VARIANT_SQL, _status_case_sql
 from atelier.session import materialize, scratch_path, table
 
 
@@ -259,7 +260,36 @@ def plan_documents(spark, d):
     return plan_texts(spark, d)
 
 
-@scenario("layout_prompts")
+_LAYOUT_SQL = (
+    f"WITH c AS (SELECT *, {_VARIANT_SQL} AS v FROM conversations),"
+    + r"""
+p AS (
+  SELECT conv_id, any_value(v) AS v, arg_min(text, turn) FILTER (WHERE role = 'user') AS u,
+    string_agg('{"layer_id": ' || turn || ', "layer_prompt": ' || CAST(to_json(text) AS VARCHAR) || '}', ', ' ORDER BY turn) AS body,
+    string_agg('{"layer_id": ' || turn || ', "url": "generated_images/layer' || turn || '.png"}', ', ' ORDER BY turn) AS man
+  FROM c GROUP BY conv_id),
+t AS (SELECT conv_id, turn, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+')) AS tok FROM c WHERE v = 'CLEAN'),
+h AS (SELECT conv_id, turn, CAST('0x' || substr(md5(tok), 1, 8) AS BIGINT) % 128 AS b FROM t),
+k AS (SELECT conv_id, turn, b % 64 AS slot, sum(CASE WHEN b < 64 THEN 1 ELSE -1 END) AS n FROM h GROUP BY ALL),
+e AS (SELECT vec_id, unnest(range(64)) AS slot, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+s AS (SELECT conv_id, turn, vec_id, sum(n * x) AS sim FROM k JOIN e USING (slot) GROUP BY ALL),
+b AS (SELECT conv_id, turn, vec_id FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY sim DESC, vec_id) AS rn FROM s) WHERE rn = 1),
+g AS (
+  SELECT c.conv_id, count(*) AS n_layers, count(*) FILTER (WHERE p_partkey IS NULL) AS n_missing FROM c LEFT JOIN b ON b.conv_id = c.conv_id AND b.turn = c.turn
+  LEFT JOIN part ON p_size <= 45 AND p_partkey = coalesce(b.vec_id, (SELECT min(vec_id) FROM embeddings)) WHERE v = 'CLEAN' GROUP BY c.conv_id)
+SELECT p.conv_id, """
+    + _status_case_sql()
+    + r""" AS parse_status, coalesce(n_missing = 0, false) AS ok,
+  CASE WHEN v <> 'CLEAN' THEN 'plan' WHEN n_missing > 0 THEN 'retrieval' END AS failed_stage, n_layers, n_missing,
+  CASE WHEN n_missing = 0 THEN '<user_input>' || chr(10) || u || chr(10) || '</user_input>' || chr(10)
+    || '<layout_thought>plan</layout_thought>' || chr(10) || '<image_generator>' || chr(10) || '[' || body || ']' || chr(10) || '</image_generator>' || chr(10)
+    || '<image_generator_result>' || chr(10) || '[' || man || ']' || chr(10) || '</image_generator_result>' END AS layout_prompt
+FROM p LEFT JOIN g USING (conv_id)
+"""
+)
+
+
+@scenario("layout_prompts", _LAYOUT_SQL)
 def layout_prompts(spark, d):
     """Flagship: plan text -> parsed layers -> text vectors -> nearest
     library vector -> element id -> all-or-nothing asset gate -> manifest
