@@ -52,9 +52,9 @@ def write_ledger(df: DataFrame, path: str, run_id: str | None = None, status: st
     """Append ``(id, pos, status, stage, ts, run_id)``; returns the run id.
 
     The rows appear together when the job commits, and once: the same job run
-    again with the same run id and ``key`` (if a run writes its ledger in
-    several jobs, one for each) adds nothing more.  Without a run id each call
-    is a run of its own.
+    again with the same run id and ``key`` (the status, unless a run writes its
+    successes or failures in several jobs) adds nothing more.  Without a run id
+    each call is a run of its own.
 
     ``pos`` and ``stage`` (where a failure happened) are taken from ``df`` if
     it has them; a ``status`` column there goes before the argument.  The
@@ -69,5 +69,5 @@ def write_ledger(df: DataFrame, path: str, run_id: str | None = None, status: st
         has("stage", "string").alias("stage"),
         F.current_timestamp().alias("ts"),
     )
-    write_committed(out, path, rid if key is None else f"{rid}-{key}", ("run_id", rid))
+    write_committed(out, path, f"{rid}-{key or status}", ("run_id", rid))
     return rid
