@@ -85,6 +85,64 @@ def test_mix_edges(spark):
     assert [r.taken for r in M.mix_report(blank).collect()] == [0, 0] and M.mixed_documents(blank).count() == 0
 
 
+def test_shards_keep_what_they_draw(spark):
+    quotas = {0: 50, 1: 3, 2: 200, 3: 0, 4: 37}
+    df = spark.createDataFrame(list(quotas.items()), "no long, slots long")
+    total, seen = sum(quotas.values()), []
+    for seed in (1, 2):
+        rows = M.shard_counts(df, 16, seed).collect()
+        shards, taken, lacks = {}, {k: [] for k in quotas}, dict(quotas)
+        for r in rows:
+            shards[r.shard] = shards.get(r.shard, 0) + r.n
+            taken[r.no].append((r.first, r.first + r.n))
+        assert shards == {k: min(16, total - 16 * k) for k in range(-(-total // 16))}
+        for no, spans in taken.items():  # a source's slots, each once
+            spans.sort()
+            assert [a for a, _ in spans] == [0, *(b for _, b in spans[:-1])][: len(spans)] and (spans[-1][1] if spans else 0) == quotas[no]
+        drawn = {(r.shard, r.no): (r.n, r.drawn) for r in rows if r.drawn is not None}
+        for k in sorted(shards):
+            rng = np.random.Generator(np.random.PCG64([seed, k, 0]))
+            q = np.array([quotas[i] for i in range(5)], float)
+            for no, n in enumerate(rng.multinomial(shards[k], q / q.sum())):
+                n, want = int(n), min(int(n), lacks[no])
+                lacks[no] -= want
+                assert drawn.get((k, no), (0, n)) == (want, n)
+        seen.append(sorted((r.shard, r.no, r.n) for r in rows))
+    assert seen[0] != seen[1]
+    assert M.shard_counts(df.limit(0), 16).count() == 0
+
+
+def test_blocks_are_runs_of_documents(spark):
+    docs = C.table(spark, SF_SMALL, "documents")
+    words = {d.doc_id: re.findall(WORD, d.text or "") for d in docs.collect()}
+    source = {d.doc_id: d.source for d in docs.collect()}
+    got = {seed: M.mixed_blocks(docs, shard_slots=16, seed=seed).collect() for seed in (1, 2)}
+    for rows in got.values():
+        assert sorted((r.shard, r.slot) for r in rows) == [(i // 16, i % 16) for i in range(len(rows))]
+        short = {}
+        for r in rows:
+            mine = re.findall(WORD, r.text)
+            assert len(mine) == r.n_words <= M.BLOCK_WORDS and {source[k] for k in r["keys"]} == {r.source}
+            inner = [w for k in r["keys"][1:-1] for w in words[k]]
+            first, last = words[r["keys"][0]], words[r["keys"][-1]]
+            ends = [n for n in range(1, len(first) + 1) if len(r["keys"]) == 1 or first[-n:] + inner == mine[: n + len(inner)]]
+            if len(r["keys"]) == 1:
+                assert any(first[i : i + len(mine)] == mine for i in range(len(first) - len(mine) + 1))
+            else:
+                assert any(mine[n + len(inner) :] == last[: len(mine) - n - len(inner)] for n in ends)
+            short[r.source] = short.get(r.source, 0) + (r.n_words < M.BLOCK_WORDS)
+        assert max(short.values()) <= 4  # a source's tail, once a pass, and its last slot
+    report = {}
+    for r in M.mix_report(docs).collect():
+        report[source[r.doc_id]] = report.get(source[r.doc_id], 0) + r.taken
+    for rows in got.values():
+        taken = {}
+        for r in rows:
+            taken[r.source] = taken.get(r.source, 0) + r.n_words
+        assert taken == {k: v for k, v in report.items() if v}
+    assert [r.text for r in got[1]] != [r.text for r in got[2]]
+
+
 def test_permutations():
     for n in (1, 2, 3, 5, 64, 1000):
         i = np.arange(n)
