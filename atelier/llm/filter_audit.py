@@ -26,7 +26,7 @@ FILTERS = "ABCDE"
 LEAST_WORDS, LEAST_DISTINCT, MOST_CAPITALS = 200, 50, 2
 SYMBOLS = b"#$%&*|"
 #: Bytes of text that a trie holds before it is handed on.
-TRIE_BYTES = 32 << 20
+TRIE_BYTES = 16 << 20
 #: Shares of a shuffle partition's mean bytes that may have one prefix, bytes
 #: that always may, and the prefix lengths tried.
 SHARES, RANGE_BYTES, PREFIXES = 4, 1 << 20, (16, 64, 256, 1024)
@@ -142,6 +142,7 @@ def _insert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if held:
             yield _texts(held)
 
+    C.release()
     for batch in batches:
         keys = batch["key"].to_pylist()
         at = 0
@@ -184,7 +185,9 @@ def _least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             some = held[i : i + 10_000]
             yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in some], pa.int64()), pa.array([least[t] for _, t in some], pa.int64())], schema=schema)
 
-    for batch in batches:
+    C.release()
+    parts = (batch.slice(i, 500) for batch in batches for i in range(0, batch.num_rows, 500))
+    for batch in parts:
         for prefix, number, least, text in zip(*(batch[c].to_pylist() for c in ("prefix", "number", "least", "text")), strict=True):
             if trie.bytes >= TRIE_BYTES and prefix != last:
                 yield from found()
