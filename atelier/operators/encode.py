@@ -53,18 +53,26 @@ TOKEN = r"[\p{L}\p{N}_]+"
 
 def hash_counts(df: DataFrame, text: str, out: str, dim: int = 64) -> DataFrame:
     """Adds ``out array<double>``: signed counts of the lower-cased tokens in
-    ``dim`` buckets.  A token's first eight hexadecimal digits of MD5, modulo
-    2 * ``dim``, give its bucket and, from ``dim`` on, a minus.  Null and empty
-    texts have zeros."""
+    ``dim`` buckets, a power of two.  A token's first hexadecimal digits of MD5
+    (as many as tell 2 * ``dim`` slots apart), modulo 2 * ``dim``, give its
+    bucket and, from ``dim`` on, a minus.  Null and empty texts have zeros."""
+    if dim < 1 or dim & (dim - 1):
+        raise ValueError("dim is a power of two")
     from pyspark.ml.feature import CountVectorizerModel
     from pyspark.ml.functions import vector_to_array
 
     tokens = F.regexp_extract_all(F.lower(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))), F.lit(TOKEN), F.lit(0))
-    slot = lambda t: (F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint") % (2 * dim)).cast("string")
-    # a fixed vocabulary of slots: the count of each in one pass over the tokens
-    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(2 * dim)], inputCol="_slots", outputCol="_counts")
-    counted = counter.transform(df.withColumn("_slots", F.transform(tokens, slot))).withColumn("_both", vector_to_array("_counts"))
-    signed = F.zip_with(F.slice("_both", 1, dim), F.slice("_both", dim + 1, dim), lambda a, b: a - b)
+    digits = -(-(2 * dim - 1).bit_length() // 4)
+    # a fixed vocabulary of digits: the count of each in one pass over the tokens
+    names = [f"{i:0{digits}x}" for i in range(16**digits)]
+    counter = CountVectorizerModel.from_vocabulary(names, inputCol="_slots", outputCol="_counts")
+    counted = counter.transform(df.withColumn("_slots", F.transform(tokens, lambda t: F.substring(F.md5(t), 1, digits)))).withColumn("_both", vector_to_array("_counts"))
+
+    def bucket(j):
+        at = [F.get("_both", j + k) for k in range(0, len(names), dim)]
+        return sum(at[2::2], at[0]) - sum(at[3::2], at[1])
+
+    signed = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), bucket)
     return counted.withColumn(out, signed).drop("_slots", "_counts", "_both")
 
 

@@ -198,7 +198,7 @@ def copy_manifest(spark, d):
     "encode_text",
     r"""
 WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+')) AS tok FROM documents),
-h AS (SELECT doc_id, CAST('0x' || substr(md5(tok), 1, 8) AS BIGINT) % 128 AS b FROM t),
+h AS (SELECT doc_id, CAST('0x' || substr(md5(tok), 1, 2) AS BIGINT) % 128 AS b FROM t),
 c AS (SELECT doc_id, b % 64 AS slot, sum(CASE WHEN b < 64 THEN 1 ELSE -1 END) AS v FROM h GROUP BY ALL),
 g AS (SELECT d.doc_id, s.slot, CAST(coalesce(c.v, 0) AS BIGINT) AS v FROM documents d CROSS JOIN range(64) s(slot) LEFT JOIN c ON c.doc_id = d.doc_id AND c.slot = s.slot)
 SELECT doc_id, 64 AS dim, CASE WHEN sum(v * v) > 0 THEN 1.0 ELSE 0.0 END AS norm, CASE WHEN sum(v * v) > 0 THEN 1.0 END AS cosine,
@@ -269,7 +269,7 @@ p AS (
     string_agg('{"layer_id": ' || turn || ', "url": "generated_images/layer' || turn || '.png"}', ', ' ORDER BY turn) AS man
   FROM c GROUP BY conv_id),
 t AS (SELECT conv_id, turn, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+')) AS tok FROM c WHERE v = 'CLEAN'),
-h AS (SELECT conv_id, turn, CAST('0x' || substr(md5(tok), 1, 8) AS BIGINT) % 128 AS b FROM t),
+h AS (SELECT conv_id, turn, CAST('0x' || substr(md5(tok), 1, 2) AS BIGINT) % 128 AS b FROM t),
 k AS (SELECT conv_id, turn, b % 64 AS slot, sum(CASE WHEN b < 64 THEN 1 ELSE -1 END) AS n FROM h GROUP BY ALL),
 e AS (SELECT vec_id, unnest(range(64)) AS slot, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
 s AS (SELECT conv_id, turn, vec_id, sum(n * x) AS sim FROM k JOIN e USING (slot) GROUP BY ALL),
