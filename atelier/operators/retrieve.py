@@ -18,8 +18,9 @@ or exploded into query x library rows, and nothing is collected to the driver:
 4. the per-pair candidates (k x lb per query) are merged with a top-k window.
 
 Ties are broken by the lowest library position, so results are exact and
-deterministic.  ``knn_ann`` restricts step 2 to the ``nprobe`` closest
-k-means cells of each query (IVF) and splits hot cells into sub-blocks.
+deterministic.  ``knn_ann`` looks only into the ``nprobe`` closest k-means
+cells of each query (IVF): small cells are put together into blocks, hot ones
+are cut, and a query goes once to each block that holds a cell of its.
 """
 
 from __future__ import annotations
@@ -41,8 +42,12 @@ from atelier.session import written
 
 #: Bytes of vectors (as doubles) that are shipped to every task at most.
 SHIP_BYTES = 64 << 20
-#: Similarities that a task computes at once.
-CELLS = 4 << 20
+#: Similarities that a task computes at once; library vectors of one product.
+CELLS, TILE = 4 << 20, 4096
+#: Vectors of the library's cells, and queries, that a task of a search holds.
+LIBRARY_ROWS, QUERY_ROWS = 1 << 16, 1 << 14
+#: Row of a result that there isn't.
+NOWHERE = np.iinfo(np.int64).max
 
 HIT = "hit"
 NO_HIT = "NO_HIT"
@@ -242,6 +247,135 @@ def knn_topk(
     return _merge_topk(cands, query_key, k).select(query_key, "rank", "pos", "sim")
 
 
+def _nearest(v: np.ndarray, centres: np.ndarray, k: int) -> np.ndarray:
+    far = (centres**2).sum(1)[None, :] - 2 * v @ centres.T
+    return far.argmin(1)[:, None] if k == 1 else np.argsort(far, axis=1, kind="stable")[:, :k]
+
+
+def _cell_blocks(sizes: dict[int, int], rows: int) -> tuple[list[tuple[int, int, int]], list[list[int]]]:
+    """Blocks of at most about ``rows`` vectors: ``(cell, its first block, its
+    number of blocks)``, and the cells of each block.  A larger cell is cut,
+    smaller ones are put together, so that a query goes once to all of them."""
+    placed, members, filled = [], [], rows + 1
+    for cell, n in sorted(sizes.items()):
+        cuts = math.ceil(n / rows)
+        if cuts > 1 or filled + n > rows:
+            placed.append((cell, len(members), cuts))
+            members += [[cell] for _ in range(cuts)]
+            filled = n if cuts == 1 else rows + 1
+        else:
+            placed.append((cell, len(members) - 1, 1))
+            members[-1].append(cell)
+            filled += n
+    return placed, members
+
+
+def _probe(shipped, probes: int, key: str, batches):
+    """Each query once for every block that holds a cell it looks into, and
+    which of the block's cells these are, as bits."""
+    centres, cells, members = shipped.value
+    at = [np.searchsorted(cells, m) for m in members]
+    step = max(1, CELLS // len(cells))
+    for batch in batches:
+        for i in range(0, batch.num_rows, step):
+            part = batch.slice(i, step)
+            looks = np.zeros((part.num_rows, len(cells)), bool)
+            np.put_along_axis(looks, _nearest(_vectors(part["_qv"], centres.shape[1]), centres, probes), True, 1)
+            for block, columns in enumerate(at):
+                mine = looks[:, columns]
+                rows = np.nonzero(mine.any(1))[0]
+                if len(rows):
+                    bits = pa.array([r.tobytes() for r in np.packbits(mine[rows], axis=1)], pa.binary())
+                    some = [part[c].take(pa.array(rows)) for c in (key, "_qv")]
+                    yield pa.RecordBatch.from_arrays([*some, pa.array(np.full(len(rows), block), pa.int64()), bits], names=[key, "_qv", "_block", "_looks"])
+
+
+def _best_of_cells(queries: np.ndarray, looks: np.ndarray, vectors: np.ndarray, cell: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best rows and similarities of each query among the vectors whose
+    cell (a column of ``looks``) it looks into, ties by row; ``NOWHERE`` where
+    there are fewer.  No more than ``CELLS`` similarities are held at once, and
+    of these only rows that reach their k-th best so far are ordered."""
+    sims, found = np.full((len(queries), k), -np.inf, queries.dtype), np.full((len(queries), k), NOWHERE)
+    if looks.all():
+        cell = np.zeros(len(cell), np.int64)  # as one cell
+    order = np.argsort(cell, kind="stable")
+    edges = [0, *(np.nonzero(np.diff(cell[order]))[0] + 1), len(cell)]
+    for a, b in zip(edges, edges[1:]):
+        mine = np.nonzero(looks[:, cell[order[a]]])[0]
+        for c in range(a, b, TILE):
+            at = order[c : min(c + TILE, b)]
+            v = vectors[at].T
+            step = max(1, CELLS // len(at))
+            for i in range(0, len(mine), step):
+                rows = mine[i : i + step]
+                new = queries[rows] @ v
+                better = ~(new.max(1) < sims[rows, -1])
+                rows = rows[better]
+                new_at, new = _best(new if better.all() else new[better], at, k)
+                both_at, both = np.concatenate([found[rows], new_at], 1), np.concatenate([sims[rows], new], 1)
+                by = np.lexsort((both_at, -both), axis=1)[:, :k]
+                found[rows], sims[rows] = np.take_along_axis(both_at, by, 1), np.take_along_axis(both, by, 1)
+    return found, sims
+
+
+def _compare_block(dim: int, k: int, key: str, shipped, decode, queries: pa.Table, library: pa.Table) -> pa.Table:
+    """The best of each query of one block of queries in one block of cells."""
+    if not len(queries) or not len(library):
+        return pa.table({key: queries[key].slice(0, 0), "cell": pa.array([], pa.int32()), "pos": pa.array([], pa.int64()), "sim": pa.array([], pa.float64())})
+    members = shipped.value[2][queries["_block"][0].as_py()]
+    pos = library["_pos"].to_numpy()
+    order = np.argsort(pos, kind="stable")
+    pos, cell, vectors = pos[order], library["_cell"].to_numpy()[order], decode(library, dim)[order]
+    bits = np.frombuffer(b"".join(queries["_looks"].to_pylist()), np.uint8).reshape(len(queries), -1)
+    looks = np.unpackbits(bits, axis=1, count=len(members)).astype(bool)
+    found, sims = _best_of_cells(_vectors(queries["_qv"], dim).astype(vectors.dtype, copy=False), looks, vectors, np.searchsorted(members, cell), k)
+    row, col = np.nonzero(found != NOWHERE)
+    at = found[row, col]
+    return pa.table({key: queries[key].combine_chunks().take(pa.array(row)), "cell": cell[at], "pos": pos[at], "sim": sims[row, col].astype(np.float64)})
+
+
+def _doubles(library: pa.Table, dim: int) -> np.ndarray:
+    return _vectors(library["_lv"], dim)
+
+
+def search_cells(
+    queries: DataFrame,
+    library: DataFrame,
+    sizes: dict[int, int],
+    centres: np.ndarray,
+    probes: int,
+    k: int,
+    qkey: str,
+    decode=_doubles,
+    library_rows: int | None = None,
+    query_rows: int | None = None,
+) -> DataFrame:
+    """Candidates ``(qkey, cell, pos, sim)``: of each query the k best of every
+    block among the cells that it looks into, the ``probes`` nearest.
+
+    ``queries``: ``qkey, _qv``; ``library``: ``_cell, _pos`` and what
+    ``decode`` makes vectors of; ``sizes``: the filled cells' vectors, and
+    ``centres`` a row for each, by cell.  Cells are dealt to blocks of about
+    ``library_rows`` vectors and queries to blocks of about ``query_rows``; a
+    task holds one of each, however many there are.
+    """
+    spark, kind = queries.sparkSession, dict(queries.dtypes)[qkey]
+    placed, members = _cell_blocks(sizes, library_rows or LIBRARY_ROWS)
+    shipped = spark.sparkContext.broadcast((centres, np.array(sorted(sizes), np.int64), members))
+    n = math.ceil(queries.count() / (query_rows or QUERY_ROWS)) or 1
+    probed = queries.mapInArrow(partial(_probe, shipped, probes, qkey), f"{qkey} {kind}, _qv array<double>, _block bigint, _looks binary")
+    probed = probed.withColumn("_part", F.pmod(F.xxhash64(qkey), F.lit(n)).cast("bigint"))
+    blocks = F.broadcast(spark.createDataFrame(placed, "_cell int, _first bigint, _cuts bigint"))  # a row per cell
+    dealt = library.join(blocks, "_cell").withColumn("_block", F.col("_first") + F.pmod(F.xxhash64("_pos"), F.col("_cuts"))).drop("_first", "_cuts")
+    dealt = dealt.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))))
+    dim = centres.shape[1]
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _compare_block(dim, k, qkey, shipped, decode, left, right)
+
+    return probed.groupBy("_block", "_part").cogroup(dealt.groupBy("_block", "_part")).applyInArrow(compare, f"{qkey} {kind}, cell int, pos bigint, sim double")
+
+
 def knn_ann(
     queries: DataFrame,
     library: DataFrame,
@@ -252,9 +386,10 @@ def knn_ann(
     lib_vec: str = "embedding",
     n_cells: int | None = None,
     nprobe: int | None = None,
-    block_rows: int = 4096,
+    block_rows: int | None = None,
     seed: int = 7,
     max_iter: int = 10,
+    query_rows: int | None = None,
 ) -> DataFrame:
     """Approximate top-k (IVF): k-means cells over the library, each query
     scored against the library vectors of its ``nprobe`` nearest cells (by
@@ -265,7 +400,8 @@ def knn_ann(
     of the library's size, 4096 at most; the fitted model assigns the library
     without a shuffle.  Queries probe cells that have vectors, so none is lost.
     The centre and size tables have a row per cell, so they are safe to ship.
-    A hot cell is split into sub-blocks of about ``block_rows``.
+    ``block_rows`` and ``query_rows``: vectors that a task holds of either side
+    (see ``search_cells``).
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
@@ -280,30 +416,11 @@ def knn_ann(
         return _merge_topk(none, query_key, k).select(query_key, "rank", "pos", "sim")
     # kept once in the shared folder: sizes, and the cells' vectors
     lib_c = written(fitted.transform(lib).select("_cell", "_pos", "_lv"), "cells")
-    sizes = lib_c.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
-    filled = np.array(sorted(r[0] for r in sizes.select("_cell").collect()))  # a number per cell
-    centres = np.array(fitted.clusterCenters())[filled]
-    probes = min(nprobe or max(2, math.ceil(0.15 * len(filled))), len(filled))
-
-    @F.arrow_udf("array<int>")
-    def nearest(vectors: pa.Array) -> pa.Array:
-        v = np.asarray(vectors.values, np.float64).reshape(len(vectors), -1) if len(vectors) else np.zeros((0, centres.shape[1]))
-        far = (centres**2).sum(1)[None, :] - 2 * v @ centres.T
-        best = np.argsort(far, axis=1, kind="stable")[:, :probes]
-        return pa.array(filled[best].tolist(), pa.list_(pa.int32()))
-
-    subs = F.ceil(F.col("_n") / F.lit(block_rows))
-    lib_c = lib_c.join(F.broadcast(sizes), "_cell").withColumn("_sub", F.pmod(F.xxhash64("_pos"), subs))
-    q = queries.select(F.col(query_key), F.col(query_vec).alias("_qv"))
-    qc = q.withColumn("_cell", F.explode(nearest("_qv"))).join(F.broadcast(sizes), "_cell")
-    qc = qc.withColumn("_sub", F.explode(F.sequence(F.lit(0).cast("bigint"), subs - 1)))
-    fn = _block_topk_fn(k, query_key, _pandas_dtype(qkey_type))
-    cands = (
-        qc.select("_cell", "_sub", query_key, "_qv")
-        .groupBy("_cell", "_sub")
-        .cogroup(lib_c.select("_cell", "_sub", "_pos", "_lv").groupBy("_cell", "_sub"))
-        .applyInPandas(fn, f"{query_key} {qkey_type}, pos bigint, sim double")
-    )
+    sizes = {r["_cell"]: r["count"] for r in lib_c.groupBy("_cell").count().collect()}  # a row per cell
+    centres = np.array(fitted.clusterCenters())[sorted(sizes)]
+    probes = min(nprobe or max(2, math.ceil(0.15 * len(sizes))), len(sizes))
+    q = queries.select(F.col(query_key), F.col(query_vec).cast("array<double>").alias("_qv"))
+    cands = search_cells(q, lib_c, sizes, centres, probes, k, query_key, library_rows=block_rows, query_rows=query_rows)
     return _merge_topk(cands, query_key, k).select(query_key, "rank", "pos", "sim")
 
 

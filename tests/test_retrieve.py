@@ -152,3 +152,42 @@ def test_layers_without_element_are_missing(spark):
     gate = {r.id: (r.ok, r.n_layers, r.n_missing, r.first_missing_pos) for r in RT.asset_gate(layers, lib, "id", "pos").collect()}
     assert gate == {"a": (False, 500, 500, 0), "b": (False, 2, 1, 1), "c": (True, 1, 0, None)}
     assert RT.missing_assets(layers, lib).count() == 501
+
+
+def test_search_of_all_cells_holds_blocks_only(spark):
+    """Every query looks into every cell: a task's memory depends on the blocks,
+    not on the number of queries."""
+    import tracemalloc
+
+    rnd = np.random.default_rng(3)
+    v, q = rnd.normal(size=(9000, 8)), rnd.normal(size=(12000, 8))
+    cell = rnd.integers(0, 3, len(v))
+    tracemalloc.start()
+    found, sims = RT._best_of_cells(q, np.ones((len(q), 3), bool), v, cell, 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6 < 8 * len(q) * len(v)
+    some = rnd.integers(0, len(q), 50)
+    assert (found[some, 0] == (q[some] @ v.T).argmax(1)).all()
+    placed, members = RT._cell_blocks({0: 5, 2: 40, 3: 6, 5: 7, 9: 2}, 15)
+    assert placed == [(0, 0, 1), (2, 1, 3), (3, 4, 1), (5, 4, 1), (9, 4, 1)] and members == [[0], [2], [2], [2], [3, 5, 9]]
+
+    lib = spark.createDataFrame([(i % 590, x.tolist()) for i, x in enumerate(v[:600])], "pos bigint, embedding array<float>")
+    queries = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(q[:150])], "qid bigint, embedding array<double>")
+    want = _got(RT.knn_topk(queries, lib, k=3))
+    for library_rows, query_rows in ((40, 25), (1000, 1000), (40, 1000)):
+        assert _got(RT.knn_ann(queries, lib, k=3, n_cells=9, nprobe=9, block_rows=library_rows, query_rows=query_rows)) == want
+    few = [_got(RT.knn_ann(queries, lib, k=2, n_cells=9, nprobe=3, block_rows=r, query_rows=r)) for r in (50, 5000)]
+    assert few[0] == few[1]  # the cells decide, not the blocks
+
+
+def test_index_search_of_all_cells_in_blocks(spark, tmp_path, monkeypatch):
+    from atelier.operators import ann
+
+    v, q = _clustered(700)
+    lib = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "pos bigint, embedding array<float>")
+    queries = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(q)], "qid bigint, embedding array<double>")
+    ann.build_index(lib, f"{tmp_path}/i", n_cells=6)
+    monkeypatch.setattr(RT, "LIBRARY_ROWS", 60)
+    monkeypatch.setattr(RT, "QUERY_ROWS", 30)
+    assert _got(ann.search_index(queries, f"{tmp_path}/i", nprobe=6)) == _got(RT.knn_topk(queries, lib, k=1))
