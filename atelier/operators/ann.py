@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atelier.functions.vectors import dot
-from atelier.operators.retrieve import _best, _merge_topk, _vectors
+from atelier.operators.retrieve import CELLS, _merge_topk, _nearest, _vectors, search_cells
 from atelier.session import written
 from atelier.sources.committed import read_committed, write_committed
 
@@ -29,8 +29,8 @@ from atelier.sources.committed import read_committed, write_committed
 SAMPLE_ROWS = 100_000
 #: Cells at most, and the share of the filled cells that a query looks into.
 MOST_CELLS, PROBE_SHARE = 4096, 0.15
-#: Candidates per result that are compared exactly; vectors of one block.
-RERANK, BLOCK_ROWS = 8, 4096
+#: Candidates per result that are compared exactly.
+RERANK = 8
 
 _CODES = "cell int, pos bigint, scale float, code binary"
 _VECTORS = "cell int, pos bigint, embedding array<float>"
@@ -60,19 +60,18 @@ def _centres(spark: SparkSession, path: str) -> np.ndarray:
     return np.array([r.centre for r in spark.read.parquet(f"{path}/centres").orderBy("cell").collect()])
 
 
-def _nearest(v: np.ndarray, centres: np.ndarray, k: int) -> np.ndarray:
-    return np.argsort((centres**2).sum(1)[None, :] - 2 * v @ centres.T, axis=1, kind="stable")[:, :k]
-
-
 def _coded(centres, batches):
     """Cell, scale and code of each vector."""
     c = centres.value
-    for batch in batches:
-        v = _vectors(batch["embedding"], c.shape[1])
-        top = np.abs(v).max(1, initial=0) / 127
-        code = np.rint(v / np.where(top > 0, top, 1)[:, None]).astype(np.int8)
-        columns = [pa.array(_nearest(v, c, 1)[:, 0], pa.int32()), batch["pos"], pa.array(top, pa.float32()), pa.array([r.tobytes() for r in code], pa.binary()), batch["embedding"]]
-        yield pa.RecordBatch.from_arrays(columns, names=["cell", "pos", "scale", "code", "embedding"])
+    step = max(1, CELLS // len(c))
+    for whole in batches:
+        for i in range(0, whole.num_rows, step):
+            batch = whole.slice(i, step)
+            v = _vectors(batch["embedding"], c.shape[1])
+            top = np.abs(v).max(1, initial=0) / 127
+            code = np.rint(v / np.where(top > 0, top, 1)[:, None]).astype(np.int8)
+            columns = [pa.array(_nearest(v, c, 1)[:, 0], pa.int32()), batch["pos"], pa.array(top, pa.float32()), pa.array([r.tobytes() for r in code], pa.binary()), batch["embedding"]]
+            yield pa.RecordBatch.from_arrays(columns, names=["cell", "pos", "scale", "code", "embedding"])
 
 
 def add_vectors(library: DataFrame, path: str, key: str, pos: str = "pos", vec: str = "embedding") -> None:
@@ -87,27 +86,9 @@ def add_vectors(library: DataFrame, path: str, key: str, pos: str = "pos", vec:
     write_committed(sorted_.select("cell", "pos", "embedding"), f"{path}/vectors", key)
 
 
-def _probe(centres, cells, k, key, batches):
-    """Each query once for every cell that it looks into."""
-    c = centres.value
-    for batch in batches:
-        near = cells[_nearest(_vectors(batch["_qv"], c.shape[1]), c[cells], k)]
-        at = pa.array(np.repeat(np.arange(batch.num_rows), near.shape[1]))
-        yield pa.RecordBatch.from_arrays([batch[key].take(at), batch["_qv"].take(at), pa.array(near.ravel(), pa.int32())], names=[key, "_qv", "cell"])
-
-
-def _compare(dim: int, k: int, key: str, queries: pa.Table, codes: pa.Table) -> pa.Table:
-    """The best candidates of each query in one block of a cell, by the codes."""
-    if not len(queries) or not len(codes):
-        return pa.table({key: queries[key].slice(0, 0), "cell": pa.array([], pa.int32()), "pos": pa.array([], pa.int64()), "sim": pa.array([], pa.float64())})
-    pos = codes["pos"].to_numpy()
-    order = np.argsort(pos, kind="stable")
+def _decoded(codes: pa.Table, dim: int) -> np.ndarray:
     raw = np.frombuffer(b"".join(codes["code"].to_pylist()), np.int8).reshape(-1, dim)
-    vectors = raw[order] * codes["scale"].to_numpy()[order][:, None].astype(np.float32)
-    found, sims = _best(_vectors(queries["_qv"], dim).astype(np.float32) @ vectors.T, pos[order], k)
-    at = np.repeat(np.arange(len(queries)), found.shape[1])
-    cell = np.full(len(at), codes["cell"][0].as_py(), np.int32)
-    return pa.table({key: queries[key].combine_chunks().take(pa.array(at)), "cell": cell, "pos": found.ravel(), "sim": sims.ravel().astype(np.float64)})
+    return raw * codes["scale"].to_numpy()[:, None].astype(np.float32)
 
 
 def search_index(queries: DataFrame, path: str, k: int = 1, query_key: str = "qid", query_vec: str = "embedding", nprobe: int | None = None, rerank: int = RERANK) -> DataFrame:
@@ -115,30 +96,20 @@ def search_index(queries: DataFrame, path: str, k: int = 1, query_key: str = "qi
     ``rerank`` * k candidates of its ``nprobe`` nearest cells (by default
     ``PROBE_SHARE`` of those that have vectors, two at least); ``sim`` is exact.
 
-    Queries and codes meet by cell; a cell of more than ``BLOCK_ROWS`` vectors
-    is cut into blocks, so a hot cell spreads over tasks.
+    Queries and codes meet in blocks of cells (see ``search_cells``): a hot
+    cell spreads over tasks, and a task's share of either side is bounded.
     """
     spark = queries.sparkSession
     centres = _centres(spark, path)
     codes = read_committed(spark, f"{path}/codes", _CODES)
-    sizes = codes.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).alias("blocks"))
-    filled = {r.cell: r.blocks for r in sizes.collect()}  # a row per cell
+    filled = {r["cell"]: r["count"] for r in codes.groupBy("cell").count().collect()}  # a row per cell
     kind = dict(queries.dtypes)[query_key]
     if not filled:
         return _merge_topk(spark.createDataFrame([], f"{query_key} {kind}, pos bigint, sim double"), query_key, k).select(query_key, "rank", "pos", "sim")
-    cells = np.array(sorted(filled), np.int64)
-    probes = min(len(cells), nprobe or max(2, math.ceil(PROBE_SHARE * len(cells))))
-    blocks = F.broadcast(spark.createDataFrame(sorted(filled.items()), "cell int, blocks bigint"))
+    probes = min(len(filled), nprobe or max(2, math.ceil(PROBE_SHARE * len(filled))))
     q = queries.select(query_key, F.col(query_vec).cast("array<double>").alias("_qv"))
-    probed = q.mapInArrow(partial(_probe, spark.sparkContext.broadcast(centres), cells, probes, query_key), f"{query_key} {kind}, _qv array<double>, cell int")
-    probed = probed.join(blocks, "cell").withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
-    dealt = codes.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("pos"), F.col("blocks")))
-    dim = centres.shape[1]
-
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _compare(dim, k * rerank, query_key, left, right)
-
-    near = probed.select("cell", "block", query_key, "_qv").groupBy("cell", "block").cogroup(dealt.select("cell", "block", "pos", "scale", "code").groupBy("cell", "block")).applyInArrow(compare, f"{query_key} {kind}, cell int, pos bigint, sim double")
+    stored = codes.select(F.col("cell").alias("_cell"), F.col("pos").alias("_pos"), "scale", "code")
+    near = search_cells(q, stored, filled, centres[sorted(filled)], probes, k * rerank, query_key, _decoded)
     chosen = written(_merge_topk(near, query_key, k * rerank).select(query_key, "cell", "pos"), "candidates")
     vectors = read_committed(spark, f"{path}/vectors", _VECTORS).withColumnRenamed("embedding", "_lv")
     exact = chosen.join(vectors, ["cell", "pos"]).join(q, query_key).select(query_key, "pos", dot("_qv", "_lv").alias("sim"))
