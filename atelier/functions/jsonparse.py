@@ -61,9 +61,13 @@ def strict_json(text, value_type: str, stripped: bool = True) -> Column:
 
         def on_parsed(p: Column) -> Column:
             single = F.size(F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<string>", STRICT_OPTIONS)) == 1
-            valid = F.coalesce((p["_end"] == 1) & single, F.lit(False))
-            typed = valid & p["_corrupt_record"].isNull() & p["v"].isNotNull()
-            return F.struct(valid.alias("valid"), typed.alias("typed"), F.when(valid, p["v"]).alias("v"))
+            sound = F.coalesce((p["_end"] == 1) & single, F.lit(False))
+
+            def on_valid(valid: Column) -> Column:
+                typed = valid & p["_corrupt_record"].isNull() & p["v"].isNotNull()
+                return F.struct(valid.alias("valid"), typed.alias("typed"), F.when(valid, p["v"]).alias("v"))
+
+            return let(sound, on_valid)
 
         return let(F.from_json(wrapped, schema, STRICT_OPTIONS), on_parsed)
 

@@ -53,20 +53,21 @@ def intake_lines(
     read = lines.select(
         *keep,
         raw.alias("_line"),
+        strip(raw).alias("_s"),
         strict_json(raw, schema.simpleString(), stripped=False).alias("_p"),
         F.from_json(raw, "map<string,string>", STRICT_OPTIONS).alias("_m"),
     )
     keys, typed = F.coalesce(F.map_keys("_m"), F.array().cast("array<string>")), F.col("_p.v")
     has = lambda k: F.array_contains(keys, k)
     value = lambda k: F.get(F.map_values("_m"), F.array_position(keys, k).cast("int") - 1)
-    missing = ~F.startswith(strip(F.col("_line")), F.lit("{"))
+    missing = ~F.startswith(F.col("_s"), F.lit("{"))
     for k in required:
         missing = missing | ~has(k)
     mistyped = F.lit(False)
     for f in schema.names:
         mistyped = mistyped | (has(f) & value(f).isNotNull() & typed[f].isNull())
     status = (
-        F.when(F.col("_line").isNull() | (strip(F.col("_line")) == ""), F.lit(BLANK))
+        F.when(F.col("_line").isNull() | (F.col("_s") == ""), F.lit(BLANK))
         .when(~F.col("_p.valid"), F.lit(MALFORMED))
         .when(missing, F.lit(MISSING_KEY))
         .when(mistyped, F.lit(MISTYPED))
@@ -76,7 +77,8 @@ def intake_lines(
     for k in required:
         null = null | (has(k) & value(k).isNull())
     good = F.col("status") == OK
-    out = read.select(*keep, status.alias("status"), null.alias("_null"), typed.alias("_t"))
+    # one generated row per line: a filter on the status, pushed below the parses, would repeat them for each of its terms
+    out = read.select(*keep, F.inline(F.array(F.struct(status.alias("status"), null.alias("_null"), typed.alias("_t")))))
     return out.select(*keep, "status", F.when(good, F.col("_null")).alias("has_null"), *[F.when(good, F.col("_t")[f]).alias(f) for f in schema.names])
 
 

@@ -177,3 +177,13 @@ def test_resume_and_promote(spark):
     failed = spark.createDataFrame([("2",)], "id string")
     promoted = sorted(r.id for r in R.promote_success(prompts.select("id"), failed, "id").collect())
     assert promoted == ["0", "1", "3", "4", "5"]
+
+
+def test_intake_parses_a_line_once(spark):
+    """A filter on the status isn't pushed below the parses, where each of its
+    terms would parse the line again."""
+    lines = spark.createDataFrame([('{"id": "1", "prompt": "a"}',), (" ",), (None,), ('{"id": "2"}',), ("{",), ('{"id": 1, "prompt": null}',)], "value string")
+    good = R.intake_lines(lines).filter("status = 'OK'").select("id", "prompt")
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 3, plan
+    assert [tuple(r) for r in good.collect()] == [("1", "a"), ("1", None)]
