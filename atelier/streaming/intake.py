@@ -10,6 +10,7 @@ is repeated after a fault takes the same ids again and adds nothing twice.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,10 +52,11 @@ def stream_intake(
         pending = resume_pending(good, ledger, "id")
         taken = taken_ids(ledger, run).withColumnRenamed("id", "_taken")
         pending = pending.join(taken, F.col("id").cast("string") == F.col("_taken"), "left_anti")
+        # the lines are parsed once: the sink and the ledger both take the kept rows
+        pending = pending.select(*_schema(value_schema).names).persist(StorageLevel.DISK_ONLY)
         # a retried micro-batch rewrites only its own partition: idempotent
         (
-            pending.select(*_schema(value_schema).names)
-            .withColumn("batch_id", F.lit(batch_id))
+            pending.withColumn("batch_id", F.lit(batch_id))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id")
@@ -62,6 +64,7 @@ def stream_intake(
         )
         mine = batch.sparkSession.read.schema(_schema(value_schema)).parquet(f"{sink_path}/batch_id={batch_id}") if not pending.isEmpty() else pending
         write_ledger(mine.select("id").distinct(), ledger_path, run_id=run, status=PENDING)
+        pending.unpersist()
 
     writer = lines.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
