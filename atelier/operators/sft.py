@@ -6,7 +6,9 @@ import os
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,12 +87,23 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def _token_ids(path: str, texts: pa.Array, rows: int = 256) -> Iterator[list[int] | None]:
+def _slices(*columns: pa.Array, rows: int = 256, size: int = 1 << 20) -> Iterator[list[pa.Array]]:
+    """Consecutive rows of the columns, of about ``size`` bytes of text."""
+    n = len(columns[0])
+    ends = sum(np.cumsum(np.asarray(pc.fill_null(pc.binary_length(c), 0), np.int64)) for c in columns)
+    i = 0
+    while i < n:
+        until = int(np.searchsorted(ends, (ends[i - 1] if i else 0) + size, "right"))
+        j = min(max(until, i + 1), i + rows, n)
+        yield [c.slice(i, j - i) for c in columns]
+        i = j
+
+
+def _token_ids(path: str, texts: pa.Array) -> list[list[int] | None]:
     """Ids of each text, without the tokenizer's own additions; None for null."""
-    for i in range(0, len(texts), rows):
-        part = texts.slice(i, rows).to_pylist()
-        made = _tokenizer(path).encode_batch_fast([t or "" for t in part], add_special_tokens=False)
-        yield from (None if t is None else e.ids for t, e in zip(part, made, strict=True))
+    part = texts.to_pylist()
+    made = _tokenizer(path).encode_batch_fast([t or "" for t in part], add_special_tokens=False)
+    return [None if t is None else e.ids for t, e in zip(part, made, strict=True)]
 
 
 def token_length(path: str) -> Callable[[Column], Column]:
@@ -98,7 +111,7 @@ def token_length(path: str) -> Callable[[Column], Column]:
     every machine)."""
 
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([None if ids is None else len(ids) for ids in _token_ids(path, texts)], pa.int64())
+        return pa.array([None if ids is None else len(ids) for (part,) in _slices(texts) for ids in _token_ids(path, part)], pa.int64())
 
     return lambda c: F.arrow_udf(run, "bigint")(c.cast("string"))
 
@@ -113,16 +126,19 @@ def sft_tokens(df: DataFrame, path: str, prompt: str = "prompt", completion: str
     tokenized apart, so that the border is one between tokens.
     """
 
+    kind = pa.struct([("ids", pa.list_(pa.int32())), *((n, pa.int64()) for n in ("n_prompt", "n_completion", "loss_start", "loss_end"))])
+
+    def example(p: list[int] | None, c: list[int] | None) -> dict | None:
+        if p is None or c is None:
+            return None
+        start = min(len(p), max_length)
+        ids = (p + c)[:max_length]
+        return {"ids": ids, "n_prompt": len(p), "n_completion": len(c), "loss_start": start, "loss_end": max(start, len(ids))}
+
     def run(prompts: pa.Array, completions: pa.Array) -> pa.Array:
-        rows = []
-        for p, c in zip(_token_ids(path, prompts), _token_ids(path, completions), strict=True):
-            if p is None or c is None:
-                rows.append(None)
-                continue
-            start = min(len(p), max_length)
-            ids = (p + c)[:max_length]
-            rows.append({"ids": ids, "n_prompt": len(p), "n_completion": len(c), "loss_start": start, "loss_end": max(start, len(ids))})
-        return pa.array(rows, pa.struct([("ids", pa.list_(pa.int32())), *((n, pa.int64()) for n in ("n_prompt", "n_completion", "loss_start", "loss_end"))]))
+        # a slice's ids are Python numbers, those of a whole batch never
+        made = [pa.array([example(p, c) for p, c in zip(_token_ids(path, a), _token_ids(path, b), strict=True)], kind) for a, b in _slices(prompts, completions)]
+        return pa.concat_arrays(made) if made else pa.array([], kind)
 
     schema = "ids array<int>, n_prompt bigint, n_completion bigint, loss_start bigint, loss_end bigint"
     return df.withColumn(out, F.arrow_udf(run, schema)(F.col(prompt).cast("string"), F.col(completion).cast("string")))

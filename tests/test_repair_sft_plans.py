@@ -181,3 +181,26 @@ def test_render_needs_the_file(spark):
     files = spark.createDataFrame([("a",), ("a",), ("c",)], "path string")
     got = {r.i: r.ready for r in render_ready_files(df, "html", "path", files).collect()}
     assert got == {1: True, 2: False, 3: False, 4: False, 5: False}
+
+
+def test_tokens_are_made_in_slices_of_bounded_text(spark):
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from atelier.operators import sft as S
+
+    a = pa.array(["drop", "x" * 700, None, "y", "", "z" * 30, "w"]).slice(1)
+    cut = [[c.to_pylist() for c in part] for part in S._slices(a, a, rows=3, size=1000)]
+    assert [x for part in cut for x in part[0]] == a.to_pylist() and all(x == y for x, y in cut)
+    assert [len(x) for x, _ in cut] == [1, 3, 2]
+    assert [len(x) for (x,) in S._slices(pa.array(["t" * 300_000] * 10))] == [3, 3, 3, 1]
+    assert not list(S._slices(pa.array([], pa.string())))
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = [(i, "word " * (i % 7), f"text {i} " * (4000 if i == 5 else 3)) for i in range(600)]
+    df = spark.createDataFrame(rows, "i int, prompt string, completion string").coalesce(1)
+    t = Tokenizer.from_file(path)
+    got = {r.i: r for r in S.sft_tokens(df, path, max_length=40).select("i", "tokens", S.token_length(path)(df.completion).alias("n")).collect()}
+    for i, p, c in rows[::37] + rows[5:6]:
+        x, y = (t.encode(s, add_special_tokens=False).ids for s in (p, c))
+        assert got[i].tokens.ids == (x + y)[:40] and got[i].n == got[i].tokens.n_completion == len(y)
