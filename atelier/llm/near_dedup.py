@@ -187,6 +187,13 @@ def _hopeful(threshold: float):
     return run
 
 
+def _met(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """A merge join, at every size.  All tables here grow with the documents,
+    and Spark sizes one too low after an explode (48 bands a node) or from
+    Parquet's packed bytes: left to itself it broadcasts them from the driver."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(id, component)`` for the nodes of ``edges (a, b)``; a component is
     named by its least node.
@@ -204,7 +211,7 @@ def components(edges: DataFrame) -> DataFrame:
         parent = C.written(ends.groupBy("id").agg(F.min("other").alias("o")).select("id", F.least("id", "o").alias("root")), "parents")
         while True:
             up = parent.select(F.col("id").alias("root"), F.col("root").alias("up"))
-            jumped = C.written(parent.join(up, "root").select("id", F.col("up").alias("root"), (F.col("up") != F.col("root")).alias("moved")), "parents")
+            jumped = C.written(_met(parent, up, "root").select("id", F.col("up").alias("root"), (F.col("up") != F.col("root")).alias("moved")), "parents")
             parent = jumped.select("id", "root")
             if jumped.filter("moved").isEmpty():
                 break
@@ -212,15 +219,10 @@ def components(edges: DataFrame) -> DataFrame:
         if labels is None:
             labels = parent.select("id", F.col("root").alias("component"))
         else:
-            labels = C.written(labels.join(root_of, "component", "left").select("id", F.coalesce("root", "component").alias("component")), "labels")
-        edges = (
-            edges.join(parent.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a")
-            .join(parent.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b")
-            .filter("ra <> rb")
-            .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
-            .distinct()
-        )
-        edges = C.written(edges, "edges")
+            labels = C.written(_met(labels, root_of, "component", "left").select("id", F.coalesce("root", "component").alias("component")), "labels")
+        edges = _met(edges, parent.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a")
+        edges = _met(edges, parent.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b").filter("ra <> rb")
+        edges = C.written(edges.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "edges")
     return labels if labels is not None else edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
 
 
@@ -281,32 +283,32 @@ def _joined(active: DataFrame, member: DataFrame, sets: DataFrame, percent: int)
     each other.  Tests run in pairs of blocks inside the tasks and give links
     only, not pairs.
     """
-    banded = active.join(member, "nid").select("nid", "component", F.explode(_bands()("registers")["keys"]).alias("bucket"))
+    banded = _met(active, member, "nid").select("nid", "component", F.explode(_bands()("registers")["keys"]).alias("bucket"))
     split = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).filter("n > 2 and x < y")
-    apart = C.written(banded.join(split.select("bucket"), "bucket"), "apart")
+    apart = C.written(_met(banded, split.select("bucket"), "bucket"), "apart")
     sizes = apart.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     top = C.written(sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top")).select("bucket", F.col("top.component").alias("top")), "top")
-    outside = C.written(apart.join(top, "bucket").filter("component <> top"), "outside")
+    outside = C.written(_met(apart, top, "bucket").filter("component <> top"), "outside")
 
     # outside nodes and the largest component
     satellites = C.written(outside.select(F.col("top").alias("g"), "nid", "component").distinct(), "satellites")
     n_right = satellites.groupBy("g").agg(F.count("*").alias("n_right"))
-    counts = C.written(n_right.join(member.groupBy(F.col("component").alias("g")).agg(F.count("*").alias("n_left")), "g"), "counts")
+    counts = C.written(_met(n_right, member.groupBy(F.col("component").alias("g")).agg(F.count("*").alias("n_left")), "g"), "counts")
     counts = counts.select("g", _blocks("n_left").alias("n_left"), _blocks("n_right").alias("n_right"))
     place = lambda n: F.expr(f"pmod(xxhash64(nid), {n})")
     every = lambda n: F.explode(F.expr(f"sequence(0L, {n} - 1)"))
-    inner = member.withColumn("g", F.col("component")).join(counts, "g").select("g", "nid", "component", F.lit(0).alias("side"), place("n_left").alias("i"), every("n_right").alias("j"))
-    outer = satellites.join(counts, "g").select("g", "nid", "component", F.lit(1).alias("side"), every("n_left").alias("i"), place("n_right").alias("j"))
+    inner = _met(member.withColumn("g", F.col("component")), counts, "g").select("g", "nid", "component", F.lit(0).alias("side"), place("n_left").alias("i"), every("n_right").alias("j"))
+    outer = _met(satellites, counts, "g").select("g", "nid", "component", F.lit(1).alias("side"), every("n_left").alias("i"), place("n_right").alias("j"))
 
     # outside nodes of one bucket
     several = outside.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
     several = C.written(several.select("bucket", _blocks("n").alias("n")), "several")
-    own = outside.join(several, "bucket").select(F.col("bucket").alias("g"), "nid", "component", place("n").alias("own"), "n")
+    own = _met(outside, several, "bucket").select(F.col("bucket").alias("g"), "nid", "component", place("n").alias("own"), "n")
     first = own.select("g", "nid", "component", F.lit(0).alias("side"), F.col("own").alias("i"), F.explode(F.expr("sequence(own, n - 1)")).alias("j"))
     second = own.select("g", "nid", "component", F.lit(1).alias("side"), F.explode(F.expr("sequence(0L, own)")).alias("i"), F.col("own").alias("j"))
 
     tests = inner.union(outer).withColumn("kind", F.lit(0)).union(first.union(second).withColumn("kind", F.lit(1)))
-    tests = C.written(tests, "tests").join(sets, "nid")
+    tests = _met(C.written(tests, "tests"), sets, "nid")
     found = tests.groupBy("kind", "g", "i", "j").applyInArrow(_linked(percent), "a long, b long")
     return C.written(found.distinct(), "joined")
 
@@ -342,36 +344,35 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
     # each node of a band bucket with the bucket's least node, the pivot
     banded = nodes.select("nid", F.explode(_bands()("registers")["keys"]).alias("bucket"))
     pivots = banded.groupBy("bucket").agg(F.min("nid").alias("pivot"), F.max("nid").alias("last")).filter("pivot < last").drop("last")
-    pairs = C.written(banded.join(pivots, "bucket").filter("nid <> pivot").select(F.col("pivot").alias("a"), F.col("nid").alias("b")).distinct(), "pairs")
+    pairs = C.written(_met(banded, pivots, "bucket").filter("nid <> pivot").select(F.col("pivot").alias("a"), F.col("nid").alias("b")).distinct(), "pairs")
 
-    # the nodes that share a bucket, and their sets, each from one of its documents' texts;
-    # merge joins, for the same plan at every size
+    # the nodes that share a bucket, and their sets, each from one of its documents' texts
     shared = C.written(pairs.select(F.col("a").alias("nid")).union(pairs.select("b")).distinct(), "shared")
-    active = C.written(nodes.join(shared.hint("merge"), "nid", "left_semi").select("nid", "set_id", "text_key", "n_shingles", "registers"), "active")
-    wanted = active.select("nid", "set_id", "text_key").hint("merge")
+    active = C.written(_met(nodes, shared, "nid", "left_semi").select("nid", "set_id", "text_key", "n_shingles", "registers"), "active")
+    wanted = active.select("nid", "set_id", "text_key")
     # copies of a text meet map-side first, so that a hot text is no hot task
-    texts = docs.groupBy(_text_key().alias("text_key")).agg(F.first("text").alias("text")).join(wanted, "text_key")
+    texts = _met(docs.groupBy(_text_key().alias("text_key")).agg(F.first("text").alias("text")), wanted, "text_key")
     sets = texts.select("nid", "set_id", _sets(size)("text").alias("made")).filter("made.set_id = set_id")
     sets = C.written(sets.select("nid", "made.shingles"), "sets")
 
     side = lambda c: active.select(F.col("nid").alias(c), F.col("registers").alias(f"r{c}"), F.col("n_shingles").alias(f"n{c}"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b").filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
+    near = _met(_met(pairs, side("a"), "a"), side("b"), "b").filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
     near = C.written(near.filter(_hopeful(percent / 100)("ra", "rb", "na", "nb")).select("a", "b"), "candidates")
     left = sets.select(F.col("nid").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("nid").alias("b"), F.col("shingles").alias("sb"))
-    both = near.join(left, "a").join(right, "b").select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("i"), F.size("sa").alias("na"), F.size("sb").alias("nb"))
+    both = _met(_met(near, left, "a"), right, "b").select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("i"), F.size("sa").alias("na"), F.size("sb").alias("nb"))
     links = C.written(both.filter(f"100 * i >= {percent} * (na + nb - i)").select("a", "b"), "links")
 
     # components by these links, then the links that are left between them
     found = components(links).withColumnRenamed("id", "nid")
-    member = C.written(active.select("nid").join(found, "nid", "left").select("nid", F.coalesce("component", "nid").alias("component")), "members")
+    member = C.written(_met(active.select("nid"), found, "nid", "left").select("nid", F.coalesce("component", "nid").alias("component")), "members")
     merged = components(_joined(active.select("nid", "registers"), member, sets, percent)).select(F.col("id").alias("component"), F.col("component").alias("root"))
-    member = member.join(merged, "component", "left").select("nid", F.coalesce("root", "component").alias("component"))
+    member = _met(member, merged, "component", "left").select("nid", F.coalesce("root", "component").alias("component"))
 
-    named = nodes.select("set_id", "nid", "least").join(member, "nid", "left").select("set_id", "least", F.coalesce("component", "nid").alias("component"))
+    named = _met(nodes.select("set_id", "nid", "least"), member, "nid", "left").select("set_id", "least", F.coalesce("component", "nid").alias("component"))
     named = C.written(named, "named")
     least = C.written(named.groupBy("component").agg(F.min("least").alias("component_id")), "least")
-    out = sketches.select("key", "n_shingles", "set_id").join(named.select("set_id", "component").join(least, "component"), "set_id", "left")
+    out = _met(sketches.select("key", "n_shingles", "set_id"), _met(named.select("set_id", "component"), least, "component"), "set_id", "left")
     single = F.col("set_id").isNull()
     least_key = F.when(single, F.col("key")).otherwise(F.col("component_id"))
     return out.select(
@@ -394,5 +395,4 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     path = C.shared_dir(docs.sparkSession, "kept")
     with C.short_lived(docs.sparkSession, "near_dedup"):
         kept = C.written(near_dedup(named, "key", "text", size, percent).filter("kept").select("key.rid"), "kept", path)
-    # the same plan at every size
-    return rows.join(kept.hint("merge"), "rid", "left_semi").select("row.*")
+    return _met(rows, kept, "rid", "left_semi").select("row.*")

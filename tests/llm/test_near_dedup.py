@@ -152,3 +152,22 @@ def test_links_between_texts_are_not_lost_by_case(spark):
     t = prose(9, 90)
     got = N.near_dedup(spark.createDataFrame([(1, t), (2, t.upper())], "doc_id long, text string"), size=2)
     assert got.select(F.max("component_id")).first()[0] == 1
+
+
+def test_no_table_of_documents_is_broadcast(spark, monkeypatch):
+    """These tables are small enough for Spark to broadcast; it sizes the bands of a node as one row."""
+    rnd = random.Random(7)
+    base = prose(5, 150)
+    rows = [(i, edited(base, rnd.choice([0.0, 0.02, 0.04, 0.06, 0.1]), rnd)) for i in range(60)] + [(100 + i, prose(100 + i, 80)) for i in range(10)]
+    plans, kept = {}, C.written
+
+    def seen(df, what, *path):
+        plans[what] = plans.get(what, "") + df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, what, *path)
+
+    monkeypatch.setattr(C, "written", seen)
+    out = N.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    plans["result"] = out._jdf.queryExecution().executedPlan().toString()
+    assert {w for w, p in plans.items() if "SortMergeJoin" in p} >= {"pairs", "active", "sets", "candidates", "links", "parents", "members", "apart", "tests", "joined", "named", "kept", "result"}
+    assert [w for w, p in plans.items() if "Broadcast" in p] == []
+    assert out.count() == len(set(brute(rows, 5)[1]))
