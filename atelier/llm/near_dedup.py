@@ -188,9 +188,11 @@ def _hopeful(threshold: float):
 
 
 def _met(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
-    """A merge join, at every size.  All tables here grow with the documents,
-    and Spark sizes one too low after an explode (48 bands a node) or from
-    Parquet's packed bytes: left to itself it broadcasts them from the driver."""
+    """A merge join, at every size, for tables with a row per document, node,
+    band or pair: Spark takes the 48 bands of a node for one row after an
+    explode, and digests for their packed bytes, and would broadcast them from
+    the driver.  Tables of links and components are left to Spark, which has
+    their rows in files and is off by no more than Parquet's packing."""
     return left.join(right.hint("merge"), on, how)
 
 
@@ -211,7 +213,7 @@ def components(edges: DataFrame) -> DataFrame:
         parent = C.written(ends.groupBy("id").agg(F.min("other").alias("o")).select("id", F.least("id", "o").alias("root")), "parents")
         while True:
             up = parent.select(F.col("id").alias("root"), F.col("root").alias("up"))
-            jumped = C.written(_met(parent, up, "root").select("id", F.col("up").alias("root"), (F.col("up") != F.col("root")).alias("moved")), "parents")
+            jumped = C.written(parent.join(up, "root").select("id", F.col("up").alias("root"), (F.col("up") != F.col("root")).alias("moved")), "parents")
             parent = jumped.select("id", "root")
             if jumped.filter("moved").isEmpty():
                 break
@@ -219,10 +221,15 @@ def components(edges: DataFrame) -> DataFrame:
         if labels is None:
             labels = parent.select("id", F.col("root").alias("component"))
         else:
-            labels = C.written(_met(labels, root_of, "component", "left").select("id", F.coalesce("root", "component").alias("component")), "labels")
-        edges = _met(edges, parent.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a")
-        edges = _met(edges, parent.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b").filter("ra <> rb")
-        edges = C.written(edges.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "edges")
+            labels = C.written(labels.join(root_of, "component", "left").select("id", F.coalesce("root", "component").alias("component")), "labels")
+        edges = (
+            edges.join(parent.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a")
+            .join(parent.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b")
+            .filter("ra <> rb")
+            .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
+            .distinct()
+        )
+        edges = C.written(edges, "edges")
     return labels if labels is not None else edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
 
 
@@ -288,22 +295,22 @@ def _joined(active: DataFrame, member: DataFrame, sets: DataFrame, percent: int)
     apart = C.written(_met(banded, split.select("bucket"), "bucket"), "apart")
     sizes = apart.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     top = C.written(sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top")).select("bucket", F.col("top.component").alias("top")), "top")
-    outside = C.written(_met(apart, top, "bucket").filter("component <> top"), "outside")
+    outside = C.written(apart.join(top, "bucket").filter("component <> top"), "outside")
 
     # outside nodes and the largest component
     satellites = C.written(outside.select(F.col("top").alias("g"), "nid", "component").distinct(), "satellites")
     n_right = satellites.groupBy("g").agg(F.count("*").alias("n_right"))
-    counts = C.written(_met(n_right, member.groupBy(F.col("component").alias("g")).agg(F.count("*").alias("n_left")), "g"), "counts")
+    counts = C.written(n_right.join(member.groupBy(F.col("component").alias("g")).agg(F.count("*").alias("n_left")), "g"), "counts")
     counts = counts.select("g", _blocks("n_left").alias("n_left"), _blocks("n_right").alias("n_right"))
     place = lambda n: F.expr(f"pmod(xxhash64(nid), {n})")
     every = lambda n: F.explode(F.expr(f"sequence(0L, {n} - 1)"))
-    inner = _met(member.withColumn("g", F.col("component")), counts, "g").select("g", "nid", "component", F.lit(0).alias("side"), place("n_left").alias("i"), every("n_right").alias("j"))
-    outer = _met(satellites, counts, "g").select("g", "nid", "component", F.lit(1).alias("side"), every("n_left").alias("i"), place("n_right").alias("j"))
+    inner = member.withColumn("g", F.col("component")).join(counts, "g").select("g", "nid", "component", F.lit(0).alias("side"), place("n_left").alias("i"), every("n_right").alias("j"))
+    outer = satellites.join(counts, "g").select("g", "nid", "component", F.lit(1).alias("side"), every("n_left").alias("i"), place("n_right").alias("j"))
 
     # outside nodes of one bucket
     several = outside.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
     several = C.written(several.select("bucket", _blocks("n").alias("n")), "several")
-    own = _met(outside, several, "bucket").select(F.col("bucket").alias("g"), "nid", "component", place("n").alias("own"), "n")
+    own = outside.join(several, "bucket").select(F.col("bucket").alias("g"), "nid", "component", place("n").alias("own"), "n")
     first = own.select("g", "nid", "component", F.lit(0).alias("side"), F.col("own").alias("i"), F.explode(F.expr("sequence(own, n - 1)")).alias("j"))
     second = own.select("g", "nid", "component", F.lit(1).alias("side"), F.explode(F.expr("sequence(0L, own)")).alias("i"), F.col("own").alias("j"))
 
@@ -367,7 +374,7 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
     found = components(links).withColumnRenamed("id", "nid")
     member = C.written(_met(active.select("nid"), found, "nid", "left").select("nid", F.coalesce("component", "nid").alias("component")), "members")
     merged = components(_joined(active.select("nid", "registers"), member, sets, percent)).select(F.col("id").alias("component"), F.col("component").alias("root"))
-    member = _met(member, merged, "component", "left").select("nid", F.coalesce("root", "component").alias("component"))
+    member = member.join(merged, "component", "left").select("nid", F.coalesce("root", "component").alias("component"))
 
     named = _met(nodes.select("set_id", "nid", "least"), member, "nid", "left").select("set_id", "least", F.coalesce("component", "nid").alias("component"))
     named = C.written(named, "named")
