@@ -87,14 +87,15 @@ def join_small(big: DataFrame, small: DataFrame, key: str, n_small: int, by: lis
 
     ``n_small`` is the counted size of ``small``: it is broadcast up to
     ``SMALL_ROWS`` rows.  Beyond that both sides are dealt by (key, salt), each
-    small row repeated ``salt`` times, so that a hot key spreads over tasks.
+    small row repeated ``salt`` times, so that a hot key spreads over tasks; a
+    merge join, as Spark would size the repeated rows as if each came once.
     The salt is a hash of the columns ``by``, so a task that runs again deals
     its rows as before.
     """
     if n_small <= SMALL_ROWS:
         return big.join(F.broadcast(small), key, how)
     salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    return big.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(salt)).cast("int")).join(salted, [key, "_salt"], how).drop("_salt")
+    return big.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(salt)).cast("int")).join(salted.hint("merge"), [key, "_salt"], how).drop("_salt")
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, label: str, classes: list[int], most: int) -> tuple[DataFrame, dict[int, int]]:

@@ -176,7 +176,8 @@ def plan(rows: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> t
     placed = placed.withColumn("bucket", F.expr(f"pmod(h, (n_rows + {BUCKET_ROWS - 1}) div {BUCKET_ROWS})"))
     before = Window.partitionBy("no", "bucket").orderBy("h", "rid").rowsBetween(Window.unboundedPreceding, -1)
     sums = C.running_totals(placed.groupBy("no", "bucket").agg(F.sum("size").alias("words")), "no", "bucket", "words", "base")
-    placed = placed.select("rid", "size", "no", "bucket", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("inside")).join(sums.select("no", "bucket", "base"), ["no", "bucket"])
+    # merge joins at every size: a row per document or slot is no table for the driver, and Spark sizes what is exploded too low
+    placed = placed.select("rid", "size", "no", "bucket", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("inside")).join(sums.select("no", "bucket", "base").hint("merge"), ["no", "bucket"])
     start = F.col("base") + F.col("inside")
     pieces = placed.select("rid", "no", "size", start.alias("start")).withColumn("block", F.explode(F.expr(f"sequence(start div {BLOCK_WORDS}, (start + size - 1) div {BLOCK_WORDS})")))
     pieces = pieces.select("rid", "no", "block", "start", F.expr(f"greatest(start - block * {BLOCK_WORDS}, 0L)").alias("x"), F.expr(f"least(start + size - block * {BLOCK_WORDS}, {BLOCK_WORDS}L)").alias("y"))
@@ -192,7 +193,7 @@ def plan(rows: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> t
     cut = F.expr(f"if(turn div blocks = passes, least(rest - (turn % blocks) * {BLOCK_WORDS}, {BLOCK_WORDS}L), {BLOCK_WORDS}L)")
     slots = slots.select("shard", slot.alias("slot"), "no", block.alias("block"), F.expr("turn div blocks").alias("pass"), cut.alias("words"))
 
-    taken = pieces.join(slots, ["no", "block"]).filter("x < least(y, words)")
+    taken = pieces.join(slots.hint("merge"), ["no", "block"]).filter("x < least(y, words)")
     offset = F.expr(f"block * {BLOCK_WORDS} - start")
     return s, taken.select("rid", "pass", (offset + F.col("x")).alias("a"), (offset + F.least("y", "words")).alias("b"), "shard", "slot", "x")
 
@@ -255,7 +256,7 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source"
     rows = sized(docs, key, source, text, True)
     _, taken = plan(rows)
     spans = taken.groupBy("rid", "pass").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    got = rows.join(spans, "rid")
+    got = rows.join(spans.hint("merge"), "rid")
     value = F.arrow_udf(_cut, T.StringType())(F.col(f"row.`{text}`").cast("string"), "size", "spans")
     got = got.select("row", value.alias("cut"))
     cols = []

@@ -112,6 +112,29 @@ def test_shards_keep_what_they_draw(spark):
     assert M.shard_counts(df.limit(0), 16).count() == 0
 
 
+def test_mix_broadcasts_counted_tables_only(spark):
+    """A row per document or slot is not broadcast, also where Spark takes it for small; a row per source is."""
+    df = spark.createDataFrame([(i, prose(i, 700), "a") for i in range(40)], "doc_id long, text string, source string")
+    _, taken = M.plan(M.sized(df, "doc_id", "source", "text", False))
+    mixed = M.mixed_documents(df)
+    for out, keys in ((taken, ["no, bucket", "no, block"]), (mixed, ["no, bucket", "no, block", "rid"])):
+        assert len(out.collect()) > 0
+        plan = re.sub(r"#\d+L?", "", out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0])
+        assert all(f"SortMergeJoin [{k}], [{k}]" in plan for k in keys)
+        assert not [k for k in keys if f"BroadcastHashJoin [{k}]" in plan]
+
+
+def test_join_of_too_many_keys_is_no_broadcast(spark):
+    """Small rows come 32 times each, which Spark counts once."""
+    big = spark.range(1000).select(F.col("id").alias("rid"), (F.col("id") % 60).alias("k"))
+    small = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 7).alias("v"))
+    want = sorted((i, i % 60, i % 60 * 7 if i % 60 < 50 else None) for i in range(1000))
+    for n in (50, C.SMALL_ROWS + 1):
+        out = C.join_small(big, small, "k", n, ["rid"], "left").select("rid", "k", "v")
+        assert sorted(map(tuple, out.collect())) == want
+        assert ("BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()) == (n == 50)
+
+
 def test_blocks_are_runs_of_documents(spark):
     docs = C.table(spark, SF_SMALL, "documents")
     words = {d.doc_id: re.findall(WORD, d.text or "") for d in docs.collect()}
